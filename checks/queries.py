@@ -233,8 +233,9 @@ def keyword_sentiment(spark, sf):
 
 @query
 def keyword_confidence(spark, sf):
-    return clean_comments(V.sentiments(spark, sf)).select(
-        "comment_id", M.keyword_confidence(F.col("text_clean")).alias("confidence"))
+    counted = SC.with_hits(clean_comments(V.sentiments(spark, sf)), "text_clean")
+    return counted.select("comment_id", M.confidence_from_hits(
+        F.col("_up"), F.col("_down")).alias("confidence"))
 
 
 @query

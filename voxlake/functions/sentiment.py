@@ -23,10 +23,10 @@ def keyword_hits(text: Column, keywords, whole_words: bool = False) -> Column:
     return reduce(add, [F.when(found(k), 1).otherwise(0) for k in keywords], F.lit(0))
 
 
-def _hits(text: Column, whole_words: bool) -> tuple[Column, Column]:
-    lowered = F.lower(F.coalesce(text, F.lit("")))
-    return (keyword_hits(lowered, POSITIVE_KEYWORDS, whole_words),
-            keyword_hits(lowered, NEGATIVE_KEYWORDS, whole_words))
+def sentiment_hits(text: Column, whole_words: bool = False) -> tuple[Column, Column]:
+    """(positive, negative) hit counts of a lower-case text."""
+    return (keyword_hits(text, POSITIVE_KEYWORDS, whole_words),
+            keyword_hits(text, NEGATIVE_KEYWORDS, whole_words))
 
 
 def _percent(part: Column, whole: Column) -> Column:
@@ -45,13 +45,8 @@ def prediction_from_hits(positive: Column, negative: Column) -> Column:
         label.alias("sentiment"))
 
 
-def keyword_sentiment(text: Column, whole_words: bool = False) -> Column:
-    return prediction_from_hits(*_hits(text, whole_words))
-
-
-def keyword_confidence(text: Column, whole_words: bool = False) -> Column:
+def confidence_from_hits(positive: Column, negative: Column) -> Column:
     """Share of the winning side among all hits; 0 without a hit."""
-    positive, negative = _hits(text, whole_words)
     total = positive + negative
     return F.when(total == 0, F.lit(0.0)).otherwise(F.greatest(positive, negative) / total)
 

@@ -25,12 +25,16 @@ class SlangTerm:
     term: str
     replacement: str
 
+    @property
+    def is_word(self) -> bool:
+        """Terms with a Latin letter or digit stand alone; others match anywhere."""
+        return any(c.isascii() and c.isalnum() for c in self.term)
+
     @property
     def pattern(self) -> str:
+        # The letters come first, then the look at both sides: Java finds plain letters fastest.
         quoted = rf"\Q{self.term}\E"
-        if any(c.isascii() and c.isalnum() for c in self.term):
-            return rf"(?<!{WORD}){quoted}(?!{WORD})"
-        return quoted
+        return rf"{quoted}(?<!{WORD}{quoted})(?!{WORD})" if self.is_word else quoted
 
     @property
     def inserted(self) -> str:
@@ -82,16 +86,47 @@ def expand_stretched(text: Column) -> Column:
     ).otherwise(raw))
 
 
+def _one_of(terms: Iterable[str]) -> str:
+    """Pattern for any of the terms, common beginnings written once, so that few are tried."""
+    by_first: dict[str, list[str]] = {}
+    for term in terms:
+        by_first.setdefault(term[:1], []).append(term[1:])
+    optional = "?" if by_first.pop("", None) else ""
+    branches = [rf"\x{{{ord(first):x}}}{_one_of(rest)}" for first, rest in by_first.items()]
+    return f"(?:{'|'.join(branches)}){optional}" if branches else ""
+
+
+def _may_hold(text: Column, terms: list[SlangTerm]) -> Column:
+    """False only where no term occurs."""
+    words = [t.term for t in terms if t.is_word]
+    others = [t.term for t in terms if not t.is_word]
+    found = F.lit(False)
+    if words:
+        found = found | text.rlike(rf"(?<!{WORD}){_one_of(words)}(?!{WORD})")
+    if others:
+        # one range check per character is cheaper than the terms themselves
+        lowest = min(ord(term[0]) for term in others)
+        found = found | text.rlike(rf"[\x{{{lowest:x}}}-\x{{10ffff}}]")
+    return found
+
+
 def replace_terms(text: Column, terms: list[SlangTerm]) -> Column:
-    """Apply the terms one after the other. A term is only tried where its letters occur."""
+    """Apply the terms one after the other.
+
+    A text without any term stays as it is after one look. In the others a term is only tried
+    where its letters occur.
+    """
     table = F.array(*[
         F.struct(F.lit(t.term).alias("term"), F.lit(t.pattern).alias("pattern"),
                  F.lit(t.inserted).alias("inserted")) for t in terms])
-    replaced = F.aggregate(
-        table, text,
-        lambda acc, t: F.when(
+
+    def one_by_one(raw: Column) -> Column:
+        return F.aggregate(table, raw, lambda acc, t: F.when(
             F.contains(acc, t["term"]), F.regexp_replace(acc, t["pattern"], t["inserted"])
         ).otherwise(acc))
+
+    replaced = _bind(text, lambda raw: F.when(
+        _may_hold(raw, terms), one_by_one(raw)).otherwise(raw))
     return F.trim(F.regexp_replace(replaced, ANY_BLANK, " "))
 
 

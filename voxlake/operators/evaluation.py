@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from voxlake.fixed_values import SENTIMENTS
 from voxlake.functions.cleaning import squeeze
-from voxlake.functions.sentiment import keyword_confidence, keyword_sentiment, normalize_label
+from voxlake.functions.sentiment import (
+    confidence_from_hits, normalize_label, prediction_from_hits)
 from voxlake.functions.slang import SlangTerm, evaluation_text
+from voxlake.operators.scoring import with_hits
 from voxlake.schemas import EVALUATION_DETAIL
 
 
@@ -30,10 +32,10 @@ def prepare_labelled(rows: DataFrame, label_column: str,
 
 def keyword_predictions(rows: DataFrame) -> DataFrame:
     """Add predicted_label and predicted_confidence of the keyword scorer."""
-    text = F.col("text_clean")
-    return rows.withColumns({
-        "predicted_label": keyword_sentiment(text)["sentiment"],
-        "predicted_confidence": keyword_confidence(text)})
+    up, down = F.col("_up"), F.col("_down")
+    return with_hits(rows, "text_clean").withColumns({
+        "predicted_label": prediction_from_hits(up, down)["sentiment"],
+        "predicted_confidence": confidence_from_hits(up, down)}).drop("_up", "_down")
 
 
 def evaluation_detail(predicted: DataFrame, notes_column: str = "reviewer_notes",

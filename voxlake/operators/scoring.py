@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxlake.fixed_values import NEGATIVE_KEYWORDS, POSITIVE_KEYWORDS, SENTIMENTS
-from voxlake.functions.sentiment import keyword_sentiment
+from voxlake.functions.sentiment import prediction_from_hits, sentiment_hits
 from voxlake.functions.slang import SlangTerm, scoring_text
 from voxlake.schemas import PREDICTION_FIELDS
 from voxlake.settings import ScoringSettings
@@ -93,12 +93,22 @@ def predictor_column(text, factory: Callable[[], Predictor], batch_size: int = 1
     return F.pandas_udf(score, PREDICTION_FIELDS)(text)
 
 
+def with_hits(rows: DataFrame, text: str) -> DataFrame:
+    """Add the keyword hits _up and _down of a lower-case text.
+
+    They are columns of their own, so that what is made of them does not search the text again.
+    """
+    up, down = sentiment_hits(F.col(text))
+    return rows.withColumns({"_up": up, "_down": down})
+
+
 def score(comments: DataFrame, scorer: Scorer, terms: Sequence[SlangTerm] = ()) -> DataFrame:
     """Add positive_score, negative_score, sentiment and the scorer's name."""
     source = scoring_text(F.col("text"), list(terms)) if terms else F.col("text_clean")
     readable = comments.withColumn("_reads", source)
     if scorer.factory is None:
-        prediction = keyword_sentiment(F.col("_reads"))
+        readable = with_hits(readable, "_reads")
+        prediction = prediction_from_hits(F.col("_up"), F.col("_down"))
     else:
         prediction = predictor_column(F.col("_reads"), scorer.factory, scorer.batch_size)
     return (readable.withColumn("_prediction", prediction)

@@ -22,7 +22,11 @@ def decode_json(raw: DataFrame, schema: T.StructType = RECORD, value: str = "val
     parsed = raw.withColumn("_p", F.from_json(F.col(value).cast("string"), extended, options))
     fields = [F.col("_p")[n] for n in schema.names]
     nothing_read = F.coalesce(*[f.cast("string") for f in fields]).isNull()
-    malformed = F.col("_p")[_CORRUPT].isNotNull() & nothing_read
+    # Only a suspicious row is parsed again: an object with nothing but bad fields is no broken text
+    is_object = F.startswith(
+        F.schema_of_variant(F.try_parse_json(F.col(value).cast("string"))), F.lit("OBJECT"))
+    malformed = (F.col("_p")[_CORRUPT].isNotNull() & nothing_read
+                 & ~F.coalesce(is_object, F.lit(False)))
     return (parsed.withColumn("malformed", F.coalesce(malformed, F.lit(False)))
             .withColumn("record", F.when(F.col("_p").isNotNull() & ~F.col("malformed"), F.struct(
                 *[f.alias(n) for f, n in zip(fields, schema.names)])))
