@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from voxlake.fixed_values import SLANG
 from voxlake.functions.cleaning import ANY_BLANK, normalize_text
 
-WORD = r"[\p{L}\p{N}_]"
+# U+10000 is a letter anyway; named outright it makes Java look back by characters, not half ones
+WORD = "[\\p{L}\\p{N}_\U00010000]"
 ESCAPE = r"\\u[0-9a-fA-F]{4}|\\U[0-9a-fA-F]{8}"
 STRETCH = r"([a-z])\1{2,}"
 # A surrogate half is no character of its own; it shows as the replacement character.

@@ -42,7 +42,7 @@ def evaluation_detail(predicted: DataFrame, notes_column: str = "reviewer_notes"
                       review_column: str | None = None) -> DataFrame:
     """One line per labelled row, as kept in the detail file."""
     bucket = squeeze(F.col(review_column)) if review_column else F.lit("")
-    notes = F.col(notes_column) if notes_column in predicted.columns else F.lit("")
+    notes = F.coalesce(notes_column, F.lit("")) if notes_column in predicted.columns else F.lit("")
     matches = F.col("actual_label") == F.col("predicted_label")
     return predicted.select(
         F.col("idx").cast("string").alias("idx"), "comment_id", "video_id", "text",
