@@ -24,7 +24,8 @@ from voxlake.operators.cleaning import clean_comments, clean_fields
 from voxlake.operators.dedup import first_per_key
 from voxlake.operators.scoring import KeywordPredictor, Scorer, score
 from voxlake.operators.threads import flatten_threads
-from voxlake.plans.lakehouse import refresh_gold, silver_at_rest, silver_comments
+from voxlake.plans.lakehouse import (
+    refresh_gold, scored_comments, silver_at_rest, silver_comments)
 from voxlake.schemas import API_PAGE, GOLD_SUMMARY
 from voxlake.settings import TableLayout, shared_folder
 from voxlake.sources import records as REC
@@ -58,7 +59,14 @@ def _portable(result: DataFrame) -> DataFrame:
 
 
 def _silver(spark: SparkSession, sf: str) -> DataFrame:
-    return silver_comments(V.duplicated(spark, sf))
+    """Silver for readers of its numbers."""
+    return scored_comments(V.duplicated(spark, sf))
+
+
+def _silver_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Silver as it is written."""
+    rows = V.duplicated(spark, sf).withColumn("ingested_at", F.current_timestamp())
+    return silver_at_rest(silver_comments(rows, by_date=True))
 
 
 # --- sources, sinks, catalog -------------------------------------------------------------------
@@ -81,25 +89,21 @@ def bootstrap_empty(spark, sf):
     """Create-if-missing leaves a filled table alone."""
     layout = TableLayout(shared_folder(spark, "bootstrap"))
     TAB.ensure_tables(spark, layout)
-    TAB.append_table(silver_at_rest(_stamped(_silver(spark, sf))), layout.silver)
+    TAB.append_table(_silver_rows(spark, sf), layout.silver, gathered=True)
     TAB.ensure_tables(spark, layout)
     return Q.layer_counts({
         name: TAB.read_table(spark, path, schema) for name, path, schema in TAB.contracts(layout)})
 
 
-def _stamped(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("ingested_at", F.current_timestamp())
-
-
 @query
 def gold_incremental(spark, sf):
     """Two arrivals, top-level comments and then replies; the second refreshes its dates only."""
     layout = TableLayout(shared_folder(spark, "incremental"))
     TAB.ensure_tables(spark, layout)
-    silver = silver_at_rest(_stamped(_silver(spark, sf)))
+    silver = _silver_rows(spark, sf)
     for arrival in (~F.col("is_reply"), F.col("is_reply")):
         rows = silver.filter(arrival)
-        TAB.append_table(rows, layout.silver)
+        TAB.append_table(rows, layout.silver, gathered=True)
         refresh_gold(spark, layout, G.touched_dates(rows))
     return TAB.read_table(spark, layout.summary, GOLD_SUMMARY)
 
@@ -160,8 +164,8 @@ def catalog_register(spark, sf):
     """Registered tables, asked by name in SQL."""
     layout = TableLayout(shared_folder(spark, "catalog"), database="checks_lakehouse")
     TAB.ensure_tables(spark, layout)
-    silver = silver_at_rest(_stamped(_silver(spark, sf)))
-    TAB.append_table(silver, layout.silver)
+    silver = _silver_rows(spark, sf)
+    TAB.append_table(silver, layout.silver, gathered=True)
     refresh_gold(spark, layout)
     TAB.register_tables(spark, layout)
     return spark.sql(f"""
@@ -488,7 +492,7 @@ def dedup_first(spark, sf):
 
 @query
 def latest_n(spark, sf):
-    return R.latest(_silver(spark, sf), 20, "collected_at",
+    return R.latest(silver_comments(V.duplicated(spark, sf)), 20, "collected_at",
                     ["comment_id", "video_id", "author", "text_clean", "sentiment",
                      "collected_at"])
 
@@ -500,7 +504,7 @@ def top_positive_authors(spark, sf):
 
 @query
 def negative_sample(spark, sf):
-    return R.negative_sample(_silver(spark, sf))
+    return R.negative_sample(silver_comments(V.duplicated(spark, sf)))
 
 
 @query

@@ -3,6 +3,8 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voxlake.sources.tables import spread_small
+
 START = 1704067200
 
 
@@ -14,7 +16,7 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     """C_doc: with negative likes, early or missing collection times, replies without parent."""
     n = F.col("doc_id")
     is_reply = n % 4 == 0
-    return table(spark, sf, "documents").select(
+    return spread_small(table(spark, sf, "documents")).select(
         n.cast("string").alias("comment_id"),
         F.col("source").alias("video_id"),
         F.concat(F.lit("u"), (n % 97).cast("string")).alias("author"),

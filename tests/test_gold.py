@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from voxlake.operators import gold as G
 from voxlake.operators import quality as Q
 from voxlake.operators import reports as R
-from voxlake.plans.lakehouse import build_lakehouse, refresh_gold, silver_at_rest, silver_comments
+from voxlake.plans.lakehouse import (
+    build_lakehouse, refresh_gold, scored_comments, silver_at_rest, silver_comments)
 from voxlake.schemas import BRONZE_STORED, GOLD_BREAKDOWN, GOLD_SUMMARY, SILVER_STORED
 from voxlake.sources import tables as TAB
 
@@ -80,9 +81,22 @@ def test_summary_reads_only_its_columns(spark, tmp_path, bronze):
 
 
 def test_texts_are_not_shuffled_for_gold(bronze):
-    plan = G.gold_summary(silver_comments(bronze))._jdf.queryExecution().optimizedPlan().toString()
-    window = plan[plan.index("Window"):].splitlines()[1]
-    assert "text_clean" not in window.split("xxhash64")[0]
+    plan = G.gold_summary(scored_comments(bronze))._jdf.queryExecution().executedPlan()
+    shuffled = plan.toString().split("Exchange hashpartitioning(video_id")[1].splitlines()[1:4]
+    assert not re.search(r"\btext(_clean)?#\d+[,\]]", shuffled[1])
+
+
+def test_one_text_is_shuffled_for_silver(bronze):
+    rows = silver_at_rest(silver_comments(
+        bronze.withColumn("ingested_at", F.current_timestamp()), by_date=True))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("Exchange"):]
+    assert "REBALANCE" in below and "text_clean#" not in below
+
+
+def test_both_silver_plans_agree(bronze):
+    assert scored_comments(bronze).exceptAll(
+        silver_comments(bronze).select(*scored_comments(bronze).columns)).isEmpty()
 
 
 def test_refresh_is_exact_repeatable_and_local(spark, layout, bronze):
@@ -93,7 +107,7 @@ def test_refresh_is_exact_repeatable_and_local(spark, layout, bronze):
 
     more = frame(spark, [comment("6", "poor", event_time=LATER, author="cy")])
     arrival = silver_at_rest(silver_comments(more.withColumn("ingested_at", F.lit(T0))))
-    TAB.append_table(arrival, layout.silver)
+    TAB.append_table(arrival, layout.silver, gathered=False)
     kept = set(_files(layout.summary, "event_date=2026-04-11"))
     for _ in range(2):
         refresh_gold(spark, layout, G.touched_dates(arrival))

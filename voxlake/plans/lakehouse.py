@@ -6,29 +6,38 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxlake.functions.slang import SlangTerm
-from voxlake.operators.cleaning import clean_comments
+from voxlake.operators.cleaning import admit, clean_comments, with_clean_text
 from voxlake.operators.dedup import first_per_key
 from voxlake.operators.gold import gold_breakdown, gold_summary, rows_of_dates, with_event_date
 from voxlake.operators.scoring import Scorer, score
 from voxlake.schemas import BRONZE, SILVER_STORED
 from voxlake.settings import TableLayout
 from voxlake.sources.tables import (
-    append_table, ensure_tables, overwrite_touched, read_table)
+    append_table, ensure_tables, gather, overwrite_touched, read_table, spread_small)
 
 KEYWORDS = Scorer("keyword")
 
 
 def silver_comments(bronze: DataFrame, scorer: Scorer = KEYWORDS,
+                    terms: Sequence[SlangTerm] = (), by_date: bool = False) -> DataFrame:
+    """Cleaned, admitted, deduplicated and scored comments, as a table keeps them.
+
+    Texts are normalised and scored last: the shuffles carry one text per row, and a slow scorer
+    sees no copies. `by_date` gathers the rows by event date on the way, ready to be written.
+    """
+    unique = first_per_key(admit(bronze))
+    if by_date:
+        unique = gather(with_event_date(unique))
+    return score(with_clean_text(unique), scorer, terms)
+
+
+def scored_comments(bronze: DataFrame, scorer: Scorer = KEYWORDS,
                     terms: Sequence[SlangTerm] = ()) -> DataFrame:
-    """Cleaned, admitted, deduplicated and scored comments.
+    """The same rows for a reader that wants no texts.
 
-    Built-in scoring comes before the dedup shuffle: a reader that does not need the texts then
-    shuffles none. A model is slower than a shuffle, so it only sees the rows that stay.
+    Scored before the dedup shuffle, so that Spark can leave the texts out of it.
     """
-    cleaned = clean_comments(bronze)
-    if scorer.factory is None:
-        return first_per_key(score(cleaned, scorer, terms))
-    return score(first_per_key(cleaned), scorer, terms)
+    return first_per_key(score(clean_comments(bronze), scorer, terms))
 
 
 def silver_at_rest(silver: DataFrame) -> DataFrame:
@@ -55,9 +64,10 @@ def build_lakehouse(spark: SparkSession, bronze: DataFrame, layout: TableLayout,
     stamped = bronze if "ingested_at" in bronze.columns else bronze.withColumn(
         "ingested_at", F.current_timestamp())
     append_table(stamped.select(*BRONZE.names, F.to_date("ingested_at").alias("ingested_date")),
-                 layout.bronze, layout.fmt)
-    landed = read_table(spark, layout.bronze, BRONZE, layout.fmt)
-    append_table(silver_at_rest(silver_comments(landed, scorer, terms)), layout.silver, layout.fmt)
+                 layout.bronze, layout.fmt, gathered=True)
+    landed = spread_small(read_table(spark, layout.bronze, BRONZE, layout.fmt))
+    silver = silver_comments(landed, scorer, terms, by_date=True)
+    append_table(silver_at_rest(silver), layout.silver, layout.fmt, gathered=True)
     refresh_gold(spark, layout)
 
 

@@ -42,22 +42,46 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType,
     return (reader if fmt == "delta" else reader.schema(schema)).load(path).select(*schema.names)
 
 
-def append_table(rows: DataFrame, path: str, fmt: str = "parquet") -> None:
-    _by_partition(rows).write.format(fmt).mode("append").partitionBy(
-        *partitioning(rows.schema)).save(path)
+SMALL_INPUT = 512 << 20
+
+
+def spread_small(rows: DataFrame, small: int = SMALL_INPUT) -> DataFrame:
+    """Spread a small batch input over all cores before costly work on its texts.
+
+    A few small files, or one row group, would otherwise be one task. Inputs above the size are
+    left alone: they come in enough pieces, and shuffling them would cost more than it gains.
+    """
+    if rows.isStreaming or _estimated_bytes(rows) > small:
+        return rows
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
+
+
+def _estimated_bytes(rows: DataFrame) -> int:
+    # the optimizer's own estimate, the one that decides about broadcasts
+    size = rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size))
+
+
+def append_table(rows: DataFrame, path: str, fmt: str = "parquet",
+                 gathered: bool = False) -> None:
+    """Append. `gathered` says that the rows need no shuffle by partition any more."""
+    placed = rows if gathered else gather(rows)
+    placed.write.format(fmt).mode("append").partitionBy(*partitioning(rows.schema)).save(path)
 
 
 def overwrite_touched(rows: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Replace the partitions `rows` has data for, leave the others; the same again changes nothing."""
-    (_by_partition(rows).write.format(fmt).mode("overwrite")
+    (gather(rows).write.format(fmt).mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*partitioning(rows.schema))
      .save(path))
 
 
-def _by_partition(rows: DataFrame) -> DataFrame:
-    # Few well-filled files per date; Spark splits a date that is too big for one task.
-    columns = partitioning(rows.schema)
-    return rows.hint("rebalance", *columns) if columns else rows
+def gather(rows: DataFrame) -> DataFrame:
+    """Bring the rows of a partition together, for few well-filled files.
+
+    A rebalance, not a repartition: adaptive execution splits a date that is too big for one task.
+    """
+    return rows.hint("rebalance", *partitioning(rows.schema))
 
 
 def register_tables(spark: SparkSession, layout: TableLayout) -> None:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from voxlake.functions.slang import SlangTerm
-from voxlake.operators.cleaning import clean_comments
+from voxlake.operators.cleaning import admit, with_clean_text
 from voxlake.operators.gold import touched_dates
 from voxlake.operators.scoring import Scorer, score
 from voxlake.plans.lakehouse import KEYWORDS, refresh_gold, silver_at_rest
@@ -43,13 +43,31 @@ def table_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet",
 
 
 def _start(writer: DataStreamWriter, layout: TableLayout, name: str, once: bool,
-           path: str | None = None) -> StreamingQuery:
+           path: str | None = None, every: str | None = None) -> StreamingQuery:
     writer = writer.queryName(name).option("checkpointLocation", layout.checkpoint(name))
     if once:
         writer = writer.trigger(availableNow=True)
+    elif every:
+        writer = writer.trigger(processingTime=every)
     return writer.start(path) if path else writer.start()
 
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+_IN_MEMORY = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+_ON_DISK = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def keep_state_on_disk(spark: SparkSession) -> None:
+    """Exact dedup remembers every key, more than executors have memory for.
+
+    A store chosen by the user stays. Queries keep the store they were first started with.
+    """
+    if spark.conf.get(STATE_STORE, _IN_MEMORY).endswith("HDFSBackedStateStoreProvider"):
+        spark.conf.set(STATE_STORE, _ON_DISK)
+        spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled",
+                       "true")
+
+
 def _sink(rows: DataFrame, layout: TableLayout, schema) -> DataStreamWriter:
     return (rows.select(*schema.names).writeStream.format(layout.fmt).outputMode("append")
             .partitionBy(*partitioning(schema)))
@@ -72,15 +90,16 @@ def silver_stream(bronze: DataFrame, scorer: Scorer = KEYWORDS, terms: Sequence[
                   bounded: bool = False, spread=None) -> DataFrame:
     """Cleaned, deduplicated and scored stream, in stored column order."""
     comments = bronze if spread is None else bronze.withColumn("_spread_by", spread)
-    unique = dedup_stream(clean_comments(comments), bounded=bounded,
+    unique = dedup_stream(admit(comments), bounded=bounded,
                           spread=None if spread is None else F.col("_spread_by"))
-    return silver_at_rest(score(unique, scorer, terms))
+    return silver_at_rest(score(with_clean_text(unique), scorer, terms))
 
 
 def start_silver(spark: SparkSession, layout: TableLayout, scorer: Scorer = KEYWORDS,
                  terms: Sequence[SlangTerm] = (), bounded: bool = False, spread: int = 16,
                  once: bool = False, **options: str) -> StreamingQuery:
     """Bronze into Silver. `spread` tasks share the copies of one hot key; 0 turns that off."""
+    keep_state_on_disk(spark)
     bronze = table_stream(spark, layout.bronze, BRONZE, layout.fmt, **options)
     by_row = F.pmod(F.col("_metadata.row_index"), F.lit(spread)) if spread else None
     rows = silver_stream(bronze, scorer, terms, bounded, by_row)
@@ -88,15 +107,18 @@ def start_silver(spark: SparkSession, layout: TableLayout, scorer: Scorer = KEYW
 
 
 def start_gold(spark: SparkSession, layout: TableLayout, once: bool = False,
-               **options: str) -> StreamingQuery:
-    """Refresh Gold for the dates in each new piece of Silver."""
+               every: str | None = None, **options: str) -> StreamingQuery:
+    """Refresh Gold for the dates in each new piece of Silver.
+
+    A refresh reads whole days, so `every` ("10 minutes") is worth setting on big tables.
+    """
     silver = table_stream(spark, layout.silver, SILVER_STORED, layout.fmt, **options)
 
     def refresh(batch: DataFrame, _epoch: int) -> None:
         refresh_gold(batch.sparkSession, layout, touched_dates(batch))
 
     writer = silver.select("event_date").writeStream.outputMode("update").foreachBatch(refresh)
-    return _start(writer, layout, "gold", once)
+    return _start(writer, layout, "gold", once, every=every)
 
 
 def run_available(spark: SparkSession, messages: DataFrame, layout: TableLayout,
