@@ -1,14 +1,20 @@
 import json
+import sys
 from pathlib import Path
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.errors import PySparkException
 
 from voxlake.functions.slang import slang_terms
 from voxlake.operators import evaluation as E
+from voxlake.plans.evaluation import evaluate_file
 from voxlake.schemas import EVALUATION_DETAIL
 from voxlake.sources import records as REC
 
+# executors cannot import test modules
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # published counts of a model on 100 labelled comments: actual -> predicted
 COUNTS = {("positive", "positive"): 42, ("neutral", "positive"): 2, ("neutral", "neutral"): 25,
           ("neutral", "negative"): 6, ("negative", "positive"): 1, ("negative", "neutral"): 2,
@@ -85,3 +91,34 @@ def test_missing_label_fails_the_run(spark, tmp_path):
     rows = REC.read_labelled(spark, str(tmp_path / "l.csv"))
     with pytest.raises(PySparkException, match="missing label in column manual_label, row 3"):
         E.prepare_labelled(rows, "manual_label").select("actual_label").collect()
+
+
+def stars():
+    """A classifier that names stars: five for a heart, one for 'bad', else three."""
+    def classify(texts):
+        return [[{"label": "5 stars", "score": 0.905 if "love" in t else 0.1},
+                 {"label": "1 star", "score": 0.7 if "bad" in t else 0.05},
+                 {"label": "3 stars", "score": 0.2}] for t in texts]
+    return classify
+
+
+def test_evaluate_a_file(spark, tmp_path):
+    source = tmp_path / "l.csv"
+    source.write_text('idx,comment_id,video_id,text,label,notes,bucket\n'
+                      '1,a,v,"I love \\U0001F60A it",pos,n1,reviewed\n'
+                      '2,b,v,"bad",1 star,,\n3,c,v,"meh",2,n3,\n')
+    columns = ("idx", "comment_id", "video_id", "text", "label", "notes", "bucket")
+    how = dict(label_column="label", notes_column="notes", review_column="bucket", columns=columns)
+    row = evaluate_file(spark, str(source), str(tmp_path / "m"), classifier=stars, **how).first()
+    summary = json.loads(row.value)
+    assert (summary["total_rows"], summary["correct_rows"]) == (3, 2)
+    assert summary["evaluation_mode"] == "model"
+    assert [m["comment_id"] for m in summary["top_mismatches"]] == ["c"]
+    detail = REC.read_labelled(spark, str(tmp_path / "m" / "detail"), EVALUATION_DETAIL)
+    assert {r.comment_id: (r.predicted_label, r.predicted_confidence) for r in detail.collect()} == {
+        "a": ("positive", "0.905000"), "b": ("negative", "0.700000"), "c": ("neutral", "0.200000")}
+    buckets = spark.read.json(str(tmp_path / "m" / "buckets")).collect()
+    assert {(r.review_bucket, r.total, r.correct) for r in buckets} == {
+        ("reviewed", 1, 1), ("unbucketed", 2, 1)}
+    row = evaluate_file(spark, str(source), str(tmp_path / "k"), **how).first()
+    assert json.loads(row.value)["evaluation_mode"] == "keyword"

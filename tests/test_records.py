@@ -9,6 +9,7 @@ from voxlake.functions import web as W
 from voxlake.operators import validation as VAL
 from voxlake.operators.corrections import apply_corrections
 from voxlake.operators.threads import flatten_threads
+from voxlake.plans.ingestion import prepare_messages
 from voxlake.sources import records as REC
 
 
@@ -120,3 +121,27 @@ def test_corrections_do_not_multiply_rows(spark):
                                   rows.schema)
     assert sorted(map(tuple, apply_corrections(rows, fixes).collect())) == [
         ("a", "negative"), ("b", "neutral")]
+
+
+def test_lexicon_file(spark, tmp_path):
+    path = tmp_path / "slang.json"
+    path.write_text(json.dumps([{"term": "W", "normalized": " win ", "sentiment_hint": "positive"},
+                                {"term": "big w", "normalized": "great win"}, {"term": " "}]))
+    assert [(t.term, t.replacement) for t in REC.read_slang(spark, str(path))] == [
+        ("big w", "great win"), ("w", "win")]
+    with pytest.raises(PySparkException):
+        REC.read_slang(spark, str(tmp_path / "missing.json"))
+
+
+def test_ingestion(spark, tmp_path):
+    rows = frame(spark, [comment("a"), comment("a"), comment("b"), comment("orphan", is_reply=True)])
+    landed = spark.createDataFrame([("b",)], "comment_id string")
+    messages, quarantined = prepare_messages(rows, landed, skip_invalid=True)
+    REC.publish(messages, "json", path=str(tmp_path / "out"))
+    assert [r.key for r in spark.read.json(str(tmp_path / "out")).collect()] == ["a"]
+    assert [(r.comment_id, r.reasons) for r in quarantined.collect()] == [
+        ("orphan", ["reply without parent"])]
+    strict, nothing = prepare_messages(rows)
+    assert nothing is None
+    with pytest.raises(PySparkException, match="orphan: reply without parent"):
+        strict.collect()

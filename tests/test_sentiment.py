@@ -1,14 +1,20 @@
+import sys
+
 import pytest
 from comments import comment, frame
+from pyspark import cloudpickle
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from voxlake.functions import sentiment as M
 from voxlake.operators.cleaning import clean_comments
 from voxlake.operators.scoring import (
-    KeywordPredictor, Scorer, attach_predictions, choose_scorer, score)
+    KeywordPredictor, Scorer, attach_predictions, choose_scorer, score, sentiment_of)
 from voxlake.settings import ScoringSettings
 
+# executors cannot import test modules
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def scores(rows):
     return {r.comment_id: (r.positive_score, r.negative_score, r.sentiment) for r in rows.collect()}
@@ -84,3 +90,29 @@ def test_attach_predictions_drops_comments_without_one(spark, cleaned):
     predictions = score(cleaned.filter("comment_id = 'pos'"), Scorer("keyword")).select(
         "video_id", "comment_id", "sentiment")
     assert [r.comment_id for r in attach_predictions(cleaned, predictions).collect()] == ["pos"]
+
+
+def classifier():
+    def classify(texts):
+        return [[{"label": "LABEL_2", "score": 0.125}, {"label": "neg", "score": 0.875}]
+                if "bad" in t else [{"label": "POS", "score": 0.5}, {"label": "1", "score": 0.5}]
+                for t in texts]
+    return classify
+
+
+def test_classifier_scores(cleaned):
+    scorer = choose_scorer(ScoringSettings("model", batch_size=3), classifier)
+    assert scorer.classifies
+    found = scores(score(cleaned, scorer))
+    assert found["neg"] == (12, 88, "negative")
+    assert found["pos"] == (50, 0, "positive")
+
+
+@pytest.mark.parametrize("label", ["4 stars", "LABEL_1", " neg ", "2 stars", "0", "POS", "3 stars"])
+def test_labels_mean_the_same_in_python(one, label):
+    assert one(M.normalize_label, [label]) == [sentiment_of(label)]
+
+
+def test_unknown_label_fails_in_python():
+    with pytest.raises(ValueError):
+        sentiment_of("x")

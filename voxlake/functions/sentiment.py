@@ -71,3 +71,13 @@ def strongest(positive: Column, neutral: Column, negative: Column) -> Column:
     best = F.greatest(positive, neutral, negative)
     first, second, third = SENTIMENTS
     return F.when(positive == best, first).when(neutral == best, second).otherwise(third)
+
+
+def prediction_from_scores(positive: Column, neutral: Column, negative: Column) -> Column:
+    """Struct (positive_score, negative_score, sentiment) from class scores between 0 and 1."""
+    def percent(score: Column) -> Column:
+        return F.bround(score * 100).cast("int")
+
+    return F.struct(percent(positive).alias("positive_score"),
+                    percent(negative).alias("negative_score"),
+                    strongest(positive, neutral, negative).alias("sentiment"))

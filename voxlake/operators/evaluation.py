@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from voxlake.fixed_values import SENTIMENTS
 from voxlake.functions.cleaning import squeeze
 from voxlake.functions.sentiment import (
-    confidence_from_hits, normalize_label, prediction_from_hits)
+    confidence_from_hits, normalize_label, prediction_from_hits, strongest)
 from voxlake.functions.slang import SlangTerm, evaluation_text
-from voxlake.operators.scoring import with_hits
+from voxlake.operators.scoring import Classifier, class_scores, with_hits
 from voxlake.schemas import EVALUATION_DETAIL
 
 
@@ -38,6 +38,15 @@ def keyword_predictions(rows: DataFrame) -> DataFrame:
         "predicted_confidence": confidence_from_hits(up, down)}).drop("_up", "_down")
 
 
+def classifier_predictions(rows: DataFrame, factory: Callable[[], Classifier],
+                           batch_size: int = 8) -> DataFrame:
+    """Add predicted_label and predicted_confidence of a classifier."""
+    classes = [F.col("_classes")[s] for s in SENTIMENTS]
+    return (rows.withColumn("_classes", class_scores(F.col("text_clean"), factory, batch_size))
+            .withColumns({"predicted_label": strongest(*classes),
+                          "predicted_confidence": F.greatest(*classes)}).drop("_classes"))
+
+
 def evaluation_detail(predicted: DataFrame, notes_column: str = "reviewer_notes",
                       review_column: str | None = None) -> DataFrame:
     """One line per labelled row, as kept in the detail file."""

@@ -1,7 +1,9 @@
 """Sentiment scoring where the rows are. Nothing is collected.
 
 A predictor is any object with predict(list[str]) returning one dict per text with
-positive_score, negative_score and sentiment. A factory builds it once per task.
+positive_score, negative_score and sentiment. A classifier is any callable that returns, per text,
+a list of {label, score}, as text-classification pipelines do; its labels are mapped to the three
+sentiments. A factory builds either of them once per task.
 """
 
 import logging
@@ -12,11 +14,14 @@ from typing import Any, Protocol
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from voxlake.fixed_values import NEGATIVE_KEYWORDS, POSITIVE_KEYWORDS, SENTIMENTS
-from voxlake.functions.sentiment import prediction_from_hits, sentiment_hits
+from voxlake.fixed_values import (
+    LABEL_SPELLINGS, NEGATIVE_KEYWORDS, POSITIVE_KEYWORDS, SENTIMENTS)
+from voxlake.functions.sentiment import (
+    prediction_from_hits, prediction_from_scores, sentiment_hits)
 from voxlake.functions.slang import SlangTerm, scoring_text
 from voxlake.schemas import PREDICTION_FIELDS
 from voxlake.settings import ScoringSettings
@@ -29,6 +34,22 @@ class Predictor(Protocol):
     def predict(self, texts: list[str]) -> Sequence[dict[str, Any]]: ...
 
 
+Classifier = Callable[[list[str]], Sequence[Sequence[dict[str, Any]]]]
+CLASS_SCORES = StructType([StructField(s, DoubleType()) for s in SENTIMENTS])
+
+
+def sentiment_of(label: str) -> str:
+    """Label spelling of one classifier class to a sentiment; the column form is normalize_label."""
+    spelling = label.strip().lower()
+    for sentiment, spellings in LABEL_SPELLINGS.items():
+        if spelling in spellings:
+            return sentiment
+    if "star" not in spelling:
+        raise ValueError(f"Unsupported sentiment label: {label}")
+    above = int(spelling.split()[0]) - 3
+    return SENTIMENTS[1 - (above > 0) + (above < 0)]
+
+
 class KeywordPredictor:
     """Keyword scorer in predictor form; scores equal the built-in expression."""
 
@@ -50,15 +71,16 @@ class KeywordPredictor:
 
 @dataclass(frozen=True)
 class Scorer:
-    """The scorer of one run: its name, and a predictor factory (None: built-in keywords)."""
+    """The scorer of one run: its name and the factory behind it (None: built-in keywords)."""
 
     name: str
-    factory: Callable[[], Predictor] | None = None
+    factory: Callable[[], Predictor | Classifier] | None = None
     batch_size: int = 16
+    classifies: bool = False
 
 
 def choose_scorer(settings: ScoringSettings,
-                  model_factory: Callable[[], Predictor] | None = None) -> Scorer:
+                  model_factory: Callable[[], Predictor | Classifier] | None = None) -> Scorer:
     """Decide once, on the driver, which scorer the whole run uses."""
     if settings.mode == "keyword":
         return Scorer("keyword")
@@ -67,30 +89,46 @@ def choose_scorer(settings: ScoringSettings,
     try:
         if model_factory is None:
             raise ValueError("mode 'model' needs a predictor factory")
-        model_factory()
+        model = model_factory()
     except Exception as failure:
         if not settings.fallback:
             raise
         log.warning("model not available, keyword scorer used instead: %s", failure)
         return Scorer("keyword")
-    return Scorer("model", model_factory, settings.batch_size)
+    return Scorer("model", model_factory, settings.batch_size, not hasattr(model, "predict"))
 
 
-def predictor_column(text, factory: Callable[[], Predictor], batch_size: int = 16):
-    """Struct column of predictions. Only the text travels to Python."""
+def _batched(text: Column, factory: Callable[[], Any], rows_of: Callable[[Any, list[str]], list],
+             fields: StructType, batch_size: int) -> Column:
+    """Struct column filled batch by batch. Only the text travels to Python."""
+    names = fields.names
 
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        predictor = None
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        model = None
         for texts in batches:
-            predictor = predictor or factory()
+            model = model or factory()
             rows: list = []
             for start in range(0, len(texts), batch_size):
-                rows.extend(predictor.predict(texts.iloc[start:start + batch_size].tolist()))
-            yield pd.DataFrame(rows, columns=PREDICTION_FIELDS.names)
+                rows.extend(rows_of(model, texts.iloc[start:start + batch_size].tolist()))
+            yield pd.DataFrame(rows, columns=names)
+
+    return F.pandas_udf(run, fields)(text)
+
+
+def predictor_column(text: Column, factory: Callable[[], Predictor], batch_size: int = 16) -> Column:
+    """Struct (positive_score, negative_score, sentiment) of a predictor."""
+    return _batched(text, factory, lambda model, texts: model.predict(texts),
+                    PREDICTION_FIELDS, batch_size)
+
+
+def class_scores(text: Column, factory: Callable[[], Classifier], batch_size: int = 16) -> Column:
+    """Struct (positive, neutral, negative) of a classifier's scores; a class not named has 0."""
+    def by_sentiment(model: Classifier, texts: list[str]) -> list[dict[str, float]]:
+        return [{s: 0.0 for s in SENTIMENTS}
+                | {sentiment_of(c["label"]): float(c["score"]) for c in classes}
+                for classes in model(texts)]
 
-    # The annotations of a nested function name globals of this module; Spark needs the types.
-    score.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
-    return F.pandas_udf(score, PREDICTION_FIELDS)(text)
+    return _batched(text, factory, by_sentiment, CLASS_SCORES, batch_size)
 
 
 def with_hits(rows: DataFrame, text: str) -> DataFrame:
@@ -109,6 +147,10 @@ def score(comments: DataFrame, scorer: Scorer, terms: Sequence[SlangTerm] = ())
     if scorer.factory is None:
         readable = with_hits(readable, "_reads")
         prediction = prediction_from_hits(F.col("_up"), F.col("_down"))
+    elif scorer.classifies:
+        readable = readable.withColumn("_classes", class_scores(
+            F.col("_reads"), scorer.factory, scorer.batch_size))
+        prediction = prediction_from_scores(*[F.col("_classes")[s] for s in SENTIMENTS])
     else:
         prediction = predictor_column(F.col("_reads"), scorer.factory, scorer.batch_size)
     return (readable.withColumn("_prediction", prediction)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voxlake.fixed_values import RECORD_TIME_FORMAT
+from voxlake.functions.slang import SlangTerm, slang_terms
 from voxlake.schemas import API_PAGE, EVALUATION_DETAIL, LABELLED, RECORD
 
 _CORRUPT = "_corrupt_record"
@@ -54,6 +55,11 @@ def keyed_messages(records: DataFrame) -> DataFrame:
                           F.to_json(fields, options).alias("value"))
 
 
+def publish(messages: DataFrame, fmt: str = "kafka", **options: str) -> None:
+    """Write (key, value) messages to a sink."""
+    messages.write.format(fmt).mode("append").options(**options).save()
+
+
 def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
     """Replay file: one record per line, blank lines skipped."""
     return (spark.read.schema(RECORD).option("timestampFormat", RECORD_TIME_FORMAT).json(path))
@@ -64,6 +70,21 @@ def read_api_pages(spark: SparkSession, path: str) -> DataFrame:
     return (spark.read.schema(API_PAGE).option("timestampFormat", RECORD_TIME_FORMAT).json(path))
 
 
+MOST_TERMS = 10_000
+
+
+def read_slang(spark: SparkSession, path: str) -> list[SlangTerm]:
+    """Lexicon file: a JSON array of {term, normalized}. A missing file is an error.
+
+    Terms become part of the query, so their number is checked.
+    """
+    rows = (spark.read.option("multiLine", "true").schema("term string, normalized string")
+            .json(path).limit(MOST_TERMS + 1).collect())
+    if len(rows) > MOST_TERMS:
+        raise ValueError(f"more than {MOST_TERMS} slang terms in {path}")
+    return slang_terms((row.term or "", row.normalized or "") for row in rows)
+
+
 _CSV = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"', "encoding": "UTF-8"}
 
 
