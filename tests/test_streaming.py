@@ -1,6 +1,7 @@
 import json
 import os
 from datetime import timedelta
+from pathlib import Path
 
 import pytest
 from comments import T0, comment, frame
@@ -122,9 +123,20 @@ def test_hot_key_copies_are_spread_and_thinned(spark, layout):
     rows = [comment("hot" if i % 3 == 0 else str(i)) for i in range(300)]
     stamped = frame(spark, rows).withColumn("ingested_at", F.current_timestamp())
     TAB.append_table(stamped.withColumn("ingested_date", F.to_date("ingested_at")), layout.bronze)
-    query = P.start_silver(spark, layout, spread=16, once=True)
+    query = P.start_silver(spark, layout, spread=16, files_per_date=2, once=True)
     query.awaitTermination()
+    assert len(list(Path(layout.silver).glob("event_date=*/*.parquet"))) <= 2
     assert TAB.read_table(spark, layout.silver, SILVER_STORED).count() == 201
     operators = [op for p in query.recentProgress if p.numInputRows
                  for op in json.loads(p.json)["stateOperators"]]
     assert sorted(op["numRowsUpdated"] for op in operators) == [201, 216]
+
+
+def test_state_store_of_the_user_stays(spark):
+    before = spark.conf.get(P.STATE_STORE)
+    try:
+        spark.conf.set(P.STATE_STORE, "my.Store")
+        P.keep_state_on_disk(spark)
+        assert spark.conf.get(P.STATE_STORE) == "my.Store"
+    finally:
+        spark.conf.set(P.STATE_STORE, before)

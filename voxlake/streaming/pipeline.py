@@ -7,7 +7,7 @@ Stop a query with its stop() method; it resumes from its checkpoint.
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -87,7 +87,7 @@ def start_quarantine(messages: DataFrame, layout: TableLayout,
 
 
 def silver_stream(bronze: DataFrame, scorer: Scorer = KEYWORDS, terms: Sequence[SlangTerm] = (),
-                  bounded: bool = False, spread=None) -> DataFrame:
+                  bounded: bool = False, spread: Column | None = None) -> DataFrame:
     """Cleaned, deduplicated and scored stream, in stored column order."""
     comments = bronze if spread is None else bronze.withColumn("_spread_by", spread)
     unique = dedup_stream(admit(comments), bounded=bounded,
@@ -97,15 +97,29 @@ def silver_stream(bronze: DataFrame, scorer: Scorer = KEYWORDS, terms: Sequence[
 
 def start_silver(spark: SparkSession, layout: TableLayout, scorer: Scorer = KEYWORDS,
                  terms: Sequence[SlangTerm] = (), bounded: bool = False, spread: int = 16,
-                 once: bool = False, **options: str) -> StreamingQuery:
-    """Bronze into Silver. `spread` tasks share the copies of one hot key; 0 turns that off."""
+                 files_per_date: int = 32, once: bool = False, **options: str) -> StreamingQuery:
+    """Bronze into Silver.
+
+    spread           tasks that share the copies of one hot key; 0 turns that off
+    files_per_date   files a batch adds to one date at most; 0 leaves it to the dedup partitions
+    """
     keep_state_on_disk(spark)
     bronze = table_stream(spark, layout.bronze, BRONZE, layout.fmt, **options)
-    by_row = F.pmod(F.col("_metadata.row_index"), F.lit(spread)) if spread else None
-    rows = silver_stream(bronze, scorer, terms, bounded, by_row)
+    rows = silver_stream(bronze, scorer, terms, bounded,
+                         _copy_number(layout.fmt, spread) if spread else None)
+    if files_per_date:
+        part = F.pmod(F.xxhash64("video_id", "comment_id"), F.lit(files_per_date))
+        rows = rows.repartition("event_date", part)
     return _start(_sink(rows, layout, SILVER_STORED), layout, "silver", once, layout.silver)
 
 
+def _copy_number(fmt: str, spread: int) -> Column:
+    """A number below `spread` from where a row is stored, so a retry finds the same."""
+    place = (F.col("_metadata.row_index") if fmt == "parquet"
+             else F.xxhash64("_metadata.file_path"))
+    return F.pmod(place, F.lit(spread))
+
+
 def start_gold(spark: SparkSession, layout: TableLayout, once: bool = False,
                every: str | None = None, **options: str) -> StreamingQuery:
     """Refresh Gold for the dates in each new piece of Silver.
