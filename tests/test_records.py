@@ -33,6 +33,11 @@ def test_bronze_admits_well_formed_records_only(spark):
     assert {r.value for r in REC.malformed_rows(raw).collect()} == {"{bad", "[1]", "7"}
 
 
+def test_messages_are_parsed_once(spark):
+    plan = REC.bronze_rows(messages(spark, ["{}"]))._jdf.queryExecution().optimizedPlan()
+    assert plan.toString().count("from_json") == 1
+
+
 def test_keyed_messages_read_back(spark):
     rows = frame(spark, [comment("c1", text='a "q"\nb'), comment(None)])
     out = REC.keyed_messages(rows)
