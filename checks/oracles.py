@@ -293,8 +293,8 @@ def unescaped(x: str, entities: dict[str, str]) -> str:
 
 
 BASIC_ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&amp;": "&"}
-# the pages hold no other entities than these
-PAGE_ENTITIES = {"&middot;": "·", "&copy;": "©", "&quot;": '"', "&amp;": "&"}
+# the pages hold no other entities than these, and cut-off ones: &amp without its end
+PAGE_ENTITIES = {"&middot;": "·", "&copy;": "©", "&quot;": '"'}
 
 FLAGS = ["1", "TRUE", " yes ", "y", "On", "0", "no", "", "2", None]
 LABELS = ["POS", " neg ", "Neutral", "1 star", "3 stars", "5 stars", "LABEL_0", "1", "2"]
@@ -400,7 +400,9 @@ FROM ({C_FLAWED})"""
     sql["parse_bool"] = """
 SELECT event_id, event_id % 10 < 5 flag, CAST(floor(value) AS BIGINT) % 3 <> 0 number_flag
 FROM events"""
-    sql["html_unescape"] = f"SELECT page_id, {unescaped('html', PAGE_ENTITIES)} html FROM pages"
+    sql["html_unescape"] = f"""
+SELECT page_id, regexp_replace({unescaped('html', PAGE_ENTITIES)}, '&amp;?', '&', 'g') html
+FROM pages"""
     sql["html_unescape_basic"] = (f"SELECT page_id, {unescaped('html', BASIC_ENTITIES)} html "
                                   f"FROM pages")
     sql["url_key"] = """

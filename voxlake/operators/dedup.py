@@ -19,7 +19,9 @@ _PREFERENCE = ("ingested_at", "collected_at", "event_time", "like_count", "reply
 def arrival_order(rows: DataFrame) -> list[Column]:
     """Earliest row first; further columns make the choice repeatable."""
     order = [F.col(c) for c in _PREFERENCE if c in rows.columns]
-    return order + ([F.xxhash64("text")] if "text" in rows.columns else [])
+    # the cleaned text where there is one: a reader without texts then needs no other
+    text = next((c for c in ("text_clean", "text") if c in rows.columns), None)
+    return order + ([F.xxhash64(text)] if text else [])
 
 
 def first_per_key(rows: DataFrame, keys: Sequence[str] = KEYS,
