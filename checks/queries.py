@@ -27,7 +27,7 @@ from voxlake.operators.threads import flatten_threads
 from voxlake.plans.lakehouse import (
     refresh_gold, scored_comments, silver_at_rest, silver_comments)
 from voxlake.schemas import API_PAGE, GOLD_SUMMARY
-from voxlake.settings import TableLayout, shared_folder
+from voxlake.settings import TableLayout, lend_shared_folder, shared_folder
 from voxlake.sources import records as REC
 from voxlake.sources import tables as TAB
 from voxlake.streaming.dedup import dedup_stream
@@ -40,6 +40,7 @@ QUERIES: dict[str, Query] = {}
 def query(build: Query) -> Query:
     """Register under the function's name; the session runs in UTC."""
     def run(spark: SparkSession, sf: str) -> DataFrame:
+        lend_shared_folder(spark)
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         return _portable(build(spark, sf))
 

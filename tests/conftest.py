@@ -5,13 +5,14 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-from voxlake.settings import TableLayout, local_session  # noqa: E402
+from voxlake.settings import TableLayout, lend_shared_folder, local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
     session = local_session(4, partitions=4, **{"spark.sql.maxMetadataStringLength": "10000"})
     session.sparkContext.setLogLevel("ERROR")
+    lend_shared_folder(session)
     yield session
     session.stop()
 

@@ -58,18 +58,19 @@ class TableLayout:
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below spark.checkpoint.dir, visible to every executor.
-
-    Only a local session may go without the setting; it then gets a temporary folder.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    """A fresh folder below spark.checkpoint.dir, which every executor must be able to reach."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
+def lend_shared_folder(spark: SparkSession) -> None:
+    """For tests and tools on one machine: a checkpoint folder where the session names none."""
+    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+
+
 def local_session(cores: int | str = "*", partitions: int = 8, **extra: str) -> SparkSession:
     """Session for tests and the benchmark; a cluster brings its own."""
     builder = (
