@@ -32,6 +32,54 @@ SELECT d.doc_id, coalesce(max(s.n), 0)::BIGINT n_shingles, min(r.b) component_id
 FROM documents d JOIN reach r ON r.a = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id
 GROUP BY d.doc_id"""
 
+ALPHANUMERIC = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+OP9 = f"""
+WITH w AS ({_words(ALPHANUMERIC, 'documents', 'doc_id')}),
+b AS ({_words(ALPHANUMERIC, 'benchmark', 'item_id')}),
+windows AS (
+  SELECT item_id, len(ws) n, array_to_string(ws, ' ') win FROM b WHERE len(ws) BETWEEN 1 AND 9
+  UNION
+  SELECT item_id, 10, unnest(list_transform(range(1, len(ws) - 8),
+    lambda i: array_to_string(ws[i:i + 9], ' '))) FROM b WHERE len(ws) >= 10),
+runs AS (
+  SELECT doc_id, n, unnest(range(1, len(ws) - n + 2)) place, unnest(list_transform(
+    range(1, len(ws) - n + 2), lambda i: array_to_string(ws[i:i + n - 1], ' '))) win
+  FROM w, (SELECT DISTINCT n FROM windows) WHERE len(ws) >= n),
+hits AS (SELECT doc_id, n, place, item_id FROM runs JOIN windows USING (n, win)),
+words AS (
+  SELECT doc_id, count(DISTINCT word) n_hit
+  FROM (SELECT doc_id, unnest(range(place, place + n)) word FROM hits) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) names
+  FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(ws)::BIGINT n_words, coalesce(n_hit, 0)::BIGINT n_hit,
+       coalesce(n_items, 0)::BIGINT n_items, sha256(coalesce(names, '')) items_sha256,
+       coalesce(n_hit, 0) > 0 contaminated
+FROM w LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+OP6 = f"""
+WITH cut AS (
+  SELECT page_id, url, CASE WHEN instr(url, '://') > 0
+    THEN substr(url, instr(url, '://') + 3) END rest FROM pages),
+u AS (
+  SELECT page_id, url,
+    coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1), '{UPPER}', '{LOWER}'), '') host,
+    coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') path FROM cut),
+listed AS (
+  SELECT DISTINCT host || path address FROM u
+  WHERE host LIKE '%-%' OR url LIKE '%utm_source=%'),
+rules(verdict, h, p) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'),
+  ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+best AS (
+  SELECT page_id, arg_max(h || p, length(h || p)) rule, arg_max(verdict, length(h || p)) verdict
+  FROM u JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+  GROUP BY page_id)
+SELECT page_id, host, path, rule, coalesce(verdict,
+  CASE WHEN host || path IN (SELECT address FROM listed) THEN 'block' ELSE 'allow' END) verdict
+FROM u LEFT JOIN best USING (page_id)"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_near_duplicates": OP4}
+    return {"op4_near_duplicates": OP4, "op6_url_filter": OP6,
+            "op9_decontamination": OP9}

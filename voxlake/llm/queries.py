@@ -3,8 +3,11 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from voxlake.llm.decontamination import contamination, covered
 from voxlake.llm.near_duplicates import near_duplicates
+from voxlake.llm.url_filter import Rule, url_host, url_verdicts
 from voxlake.settings import lend_shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,3 +31,27 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 @query
 def op4_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(table(spark, sf, "documents"))
+
+
+@query
+def op9_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    found = contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    names = F.transform("items", lambda i: i.cast("string"))
+    return found.select(
+        "doc_id", "n_words", covered("ranges").alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort(names), ","), 256).alias("items_sha256"),
+        (F.size("ranges") > 0).alias("contaminated"))
+
+
+RULES = [Rule("allow", "org", "/"), Rule("block", "example.org", "/es/"),
+         Rule("block", "example.org", "/en/1"), Rule("allow", "com", "/fr/"),
+         Rule("block", "com", "/de/")]
+
+
+@query
+def op6_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    """Listed: addresses with a hyphen in the host, or reached by a tracking link."""
+    listing = url_host(F.col("url")).contains("-") | F.col("url").contains("utm_source=")
+    return url_verdicts(table(spark, sf, "pages").select("page_id", "url"), listing, RULES).select(
+        "page_id", "host", "path", "rule", "verdict")
