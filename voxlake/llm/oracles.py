@@ -79,7 +79,20 @@ SELECT page_id, host, path, rule, coalesce(verdict,
   CASE WHEN host || path IN (SELECT address FROM listed) THEN 'block' ELSE 'allow' END) verdict
 FROM u LEFT JOIN best USING (page_id)"""
 
+OP7 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) q FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.vec_id query_id, b.vec_id, list_inner_product(a.q, b.q)::BIGINT score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 50 = 0),
+ranked AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT rank,
+         vec_id, score FROM scores)
+SELECT * FROM ranked WHERE rank <= 5"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {"op4_near_duplicates": OP4, "op6_url_filter": OP6,
-            "op9_decontamination": OP9}
+            "op7_top_k": OP7, "op9_decontamination": OP9}

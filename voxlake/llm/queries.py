@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from voxlake.llm.decontamination import contamination, covered
 from voxlake.llm.near_duplicates import near_duplicates
+from voxlake.llm.sanitisation import KINDS, sanitisation, span_text
+from voxlake.llm.top_k import top_k
 from voxlake.llm.url_filter import Rule, url_host, url_verdicts
 from voxlake.settings import lend_shared_folder
 
@@ -55,3 +57,19 @@ def op6_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     listing = url_host(F.col("url")).contains("-") | F.col("url").contains("utm_source=")
     return url_verdicts(table(spark, sf, "pages").select("page_id", "url"), listing, RULES).select(
         "page_id", "host", "path", "rule", "verdict")
+
+
+@query
+def op7_top_k(spark: SparkSession, sf: str) -> DataFrame:
+    return top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query
+def op10_sanitisation(spark: SparkSession, sf: str) -> DataFrame:
+    found = sanitisation(table(spark, sf, "documents"))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [F.size(F.filter(kinds, F.lit(kind).eqNullSafe)).cast("long").alias(f"n_{kind}")
+              for kind in KINDS]
+    return found.select(
+        "doc_id", *counts, F.sha2(span_text(F.col("base")), 256).alias("base_sha256"),
+        span_text(F.concat("base", "added")).alias("spans"))
