@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from voxlake.llm.decontamination import contamination, covered
 from voxlake.llm.near_duplicates import near_duplicates
+from voxlake.llm.quality_classifier import quality_scores
 from voxlake.llm.sanitisation import KINDS, sanitisation, span_text
 from voxlake.llm.top_k import top_k
 from voxlake.llm.url_filter import Rule, url_host, url_verdicts
@@ -73,3 +74,8 @@ def op10_sanitisation(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(
         "doc_id", *counts, F.sha2(span_text(F.col("base")), 256).alias("base_sha256"),
         span_text(F.concat("base", "added")).alias("spans"))
+
+
+@query
+def op3_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
