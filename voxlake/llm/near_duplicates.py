@@ -6,9 +6,11 @@ candidates are: the population count of two sketches' XOR grows with the samples
 whose sketches agree well enough are compared on their full sets.
 
 Documents with equal sets are one class from the start. In every bucket the classes are first
-compared with one pivot, the class that shares most with the others; what is then still unconnected
-is compared pair by pair, in blocks of bounded size. So a group of copies costs rows in proportion
-to its size, and no link between different texts is passed over for the size of its bucket.
+compared with one pivot, the class that shares most with the others. Buckets that are then still not
+connected are drawn together to clusters, in which classes of different components are compared
+pair by pair, in blocks of bounded size; a join gives only the pairs that are links. So a group of
+copies costs rows in proportion to its size, and no link between different texts is passed over for
+the size of its bucket.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ WORDS = 5
 SIMILARITY = 85  # in hundredths
 BANDS, ROWS = 26, 5  # a pair at 0.85 shares no band once in four million times
 SKETCH_WORDS = 8  # of 64 bits
-BLOCK = 256  # classes of a bucket that are compared pair by pair in one go
+BLOCK = 256  # classes of a cluster that are compared pair by pair in one go
 
 
 def differing_bits(similarity: int = SIMILARITY, samples: int = BANDS * ROWS,
@@ -182,10 +184,13 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int = SIMILARITY) -
     def side(name: str) -> DataFrame:
         return sets.select(F.col("id").alias(name), F.col("shingles").alias(f"set_{name}"))
 
-    common = F.size(F.array_intersect("set_a", "set_b"))
-    union = F.size("set_a") + F.size("set_b") - common
     return (pairs.join(side("b"), "b").join(side("a"), "a")
-            .where(common * 100 >= union * similarity).select("a", "b"))
+            .where(_alike("set_a", "set_b", similarity)).select("a", "b"))
+
+
+def _alike(a: str, b: str, similarity: int) -> Column:
+    common = F.size(F.array_intersect(a, b))
+    return common * 100 >= (F.size(a) + F.size(b) - common) * similarity
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text",
@@ -229,16 +234,14 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text",
     links = kept(confirmed(likely, sets, similarity), "star-links")
     roots = components(links)
 
-    rest = _unconnected(buckets.where("size > 2"), roots, sketches)
-    pairs = (rest.alias("x").join(rest.alias("y"), ["bucket", "low", "high"])
-             .where(F.when(F.col("low") == F.col("high"), F.col("x.id") < F.col("y.id"))
-                    .otherwise((F.col("x.block") == F.col("low"))
-                               & (F.col("y.block") == F.col("high")))
-                    & (F.col("x.root") != F.col("y.root"))
-                    & _close("x", "y", most) & _sizes_allow("x", "y", similarity))
-             .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
-             .distinct())
-    late = kept(confirmed(kept(pairs, "pairs"), sets, similarity), "late-links")
+    rest = _unconnected(buckets.where("size > 2"), roots, sketches, sets)
+    late = kept(rest.alias("x").join(rest.alias("y"), ["cluster", "low", "high"]).where(
+        F.when(F.col("low") == F.col("high"), F.col("x.id") < F.col("y.id"))
+        .otherwise((F.col("x.block") == F.col("low")) & (F.col("y.block") == F.col("high")))
+        & (F.col("x.root") != F.col("y.root"))
+        & _close("x", "y", most) & _sizes_allow("x", "y", similarity)
+        & _alike("x.shingles", "y.shingles", similarity))
+        .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")), "late-links")
     roots = roots if late.isEmpty() else components(links.union(late))
     return (members.join(roots.select(F.col("node").alias("class"), "root"), "class", "left")
             .select(F.col("id").alias(id), "n_shingles",
@@ -246,16 +249,26 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text",
             .withColumn("kept", F.col("component_id") == F.col(id)))
 
 
-def _unconnected(buckets: DataFrame, roots: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Members of buckets with several components, once for each pair of blocks they are in."""
+def _unconnected(buckets: DataFrame, roots: DataFrame, sketches: DataFrame, sets: DataFrame
+                 ) -> DataFrame:
+    """Classes in buckets with several components, once for each pair of blocks they are in.
+
+    Buckets with a class in common are one cluster, so two classes meet in one place only.
+    """
     labelled = (buckets.join(roots, buckets["id"] == roots["node"], "left")
-                .select("bucket", "id", "size", F.coalesce("root", "id").alias("root")))
-    open_ = (labelled.groupBy("bucket").agg(F.min("root").alias("r"), F.max("root").alias("s"))
-             .where("r <> s").select("bucket"))
+                .select("bucket", "id", F.coalesce("root", "id").alias("root")))
+    open_ = (labelled.groupBy("bucket").agg(F.min("root").alias("r"), F.max("root").alias("s"),
+                                            F.min("id").alias("b"))
+             .where("r <> s").select("bucket", "b"))
+    touching = kept(labelled.join(open_, "bucket").select("id", "root", "b"), "open")
+    clusters = components(touching.select(F.col("id").alias("a"), "b")).select(
+        F.col("node").alias("id"), F.col("root").alias("cluster"))
     blocks = F.ceil(F.col("size") / BLOCK)
-    placed = (labelled.join(open_, "bucket")
+    sized = clusters.groupBy("cluster").agg(F.count("*").alias("size"))
+    placed = (touching.select("id", "root").distinct().join(clusters, "id").join(sized, "cluster")
               .withColumn("block", F.pmod(F.xxhash64("id"), blocks))
               .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))))
     return kept(placed.select(
-        "bucket", "id", "root", "block", F.least("block", "other").alias("low"),
-        F.greatest("block", "other").alias("high")).join(sketches, "id"), "unconnected")
+        "cluster", "id", "root", "block", F.least("block", "other").alias("low"),
+        F.greatest("block", "other").alias("high")).join(sketches, "id").join(sets, "id"),
+        "unconnected")

@@ -10,6 +10,7 @@ from voxlake.llm.near_duplicates import near_duplicates
 from voxlake.llm.quality_classifier import quality_scores
 from voxlake.llm.sanitisation import KINDS, sanitisation, span_text
 from voxlake.llm.top_k import top_k
+from voxlake.llm.toxicity import toxicity_scores
 from voxlake.llm.url_filter import Rule, url_host, url_verdicts
 from voxlake.settings import lend_shared_folder
 
@@ -79,3 +80,9 @@ def op10_sanitisation(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op3_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query
+def op2_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity_scores(table(spark, sf, "documents"), table(spark, sf, "labels")).select(
+        "doc_id", "held_out", "score", "predicted")
