@@ -9,6 +9,7 @@ from voxlake.llm.decontamination import contamination, covered
 from voxlake.llm.near_duplicates import near_duplicates
 from voxlake.llm.quality_classifier import quality_scores
 from voxlake.llm.sanitisation import KINDS, sanitisation, span_text
+from voxlake.llm.source_mixing import mixing_rates
 from voxlake.llm.top_k import top_k
 from voxlake.llm.toxicity import toxicity_scores
 from voxlake.llm.url_filter import Rule, url_host, url_verdicts
@@ -86,3 +87,14 @@ def op3_quality(spark: SparkSession, sf: str) -> DataFrame:
 def op2_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity_scores(table(spark, sf, "documents"), table(spark, sf, "labels")).select(
         "doc_id", "held_out", "score", "predicted")
+
+
+#: Domains of the labelled table: toxic, else poor, else plain; and their shares of the mixture.
+DOMAIN = "CASE WHEN toxic = 1 THEN 2 WHEN quality = 0 THEN 1 WHEN quality = 1 THEN 0 END"
+WEIGHTS = {"plain": 0.87, "poor": 0.08, "toxic": 0.05}
+
+
+@query
+def op1_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing_rates(table(spark, sf, "documents"), table(spark, sf, "labels"), F.expr(DOMAIN),
+                        WEIGHTS)
