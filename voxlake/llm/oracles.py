@@ -58,6 +58,34 @@ SELECT doc_id, len(ws)::BIGINT n_words, coalesce(n_hit, 0)::BIGINT n_hit,
        coalesce(n_hit, 0) > 0 contaminated
 FROM w LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)"""
 
+OP5 = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) h, strlen(coalesce(text, '')) n
+           FROM documents),
+windows AS (
+  SELECT doc_id, s, hash(substr(h, 2 * s + 1, 200)) a, md5(substr(h, 2 * s + 1, 200)) b
+  FROM (SELECT doc_id, h, unnest(range(0, n - 99)) s FROM d WHERE n >= 100)),
+repeated AS (
+  SELECT doc_id, s FROM (
+    SELECT doc_id, s, row_number() OVER (PARTITION BY a, b ORDER BY doc_id, s) nth FROM windows)
+  WHERE nth > 1),
+marked AS (
+  SELECT doc_id, s, CASE WHEN s <= 100 + lag(s) OVER (PARTITION BY doc_id ORDER BY s)
+    THEN 0 ELSE 1 END new FROM repeated),
+numbered AS (
+  SELECT doc_id, s, sum(new) OVER (PARTITION BY doc_id ORDER BY s) span FROM marked),
+spans AS (
+  SELECT doc_id, min(s) a, max(s) + 100 b FROM numbered GROUP BY doc_id, span),
+gaps AS (
+  SELECT doc_id, coalesce(lag(b) OVER w, 0) a, a b FROM spans WINDOW w AS (PARTITION BY doc_id ORDER BY a)
+  UNION ALL SELECT doc_id, max(b), NULL FROM spans GROUP BY doc_id),
+kept AS (
+  SELECT g.doc_id, string_agg(substr(h, 2 * a + 1, 2 * (coalesce(b, n) - a)), '' ORDER BY a) k
+  FROM gaps g JOIN d USING (doc_id) GROUP BY g.doc_id),
+sums AS (SELECT doc_id, sum(b - a) n_removed, count(*) n_spans FROM spans GROUP BY doc_id)
+SELECT doc_id, n::BIGINT n_bytes, coalesce(n_removed, 0)::BIGINT n_removed,
+       coalesce(n_spans, 0)::BIGINT n_spans, sha256(unhex(coalesce(k, h))) kept_sha256
+FROM d LEFT JOIN sums USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
 OP6 = f"""
 WITH cut AS (
   SELECT page_id, url, CASE WHEN instr(url, '://') > 0
@@ -94,5 +122,6 @@ SELECT * FROM ranked WHERE rank <= 5"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_near_duplicates": OP4, "op6_url_filter": OP6,
+    return {"op4_near_duplicates": OP4, "op5_repeated_passages": OP5,
+            "op6_url_filter": OP6,
             "op7_top_k": OP7, "op9_decontamination": OP9}

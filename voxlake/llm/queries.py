@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from voxlake.llm.decontamination import contamination, covered
 from voxlake.llm.near_duplicates import near_duplicates
 from voxlake.llm.quality_classifier import quality_scores
+from voxlake.llm.repeated_passages import without_repeats
 from voxlake.llm.sanitisation import KINDS, sanitisation, span_text
 from voxlake.llm.source_mixing import mixing_rates
 from voxlake.llm.top_k import top_k
@@ -98,3 +99,12 @@ WEIGHTS = {"plain": 0.87, "poor": 0.08, "toxic": 0.05}
 def op1_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing_rates(table(spark, sf, "documents"), table(spark, sf, "labels"), F.expr(DOMAIN),
                         WEIGHTS)
+
+
+@query
+def op5_repeated_passages(spark: SparkSession, sf: str) -> DataFrame:
+    found = without_repeats(table(spark, sf, "documents"))
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["stop"] - r["start"])
+    return found.select(
+        "doc_id", "n_bytes", gone.alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
