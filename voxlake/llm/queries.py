@@ -11,6 +11,7 @@ from voxlake.llm.quality_classifier import quality_scores
 from voxlake.llm.repeated_passages import without_repeats
 from voxlake.llm.sanitisation import KINDS, sanitisation, span_text
 from voxlake.llm.source_mixing import mixing_rates
+from voxlake.llm.token_counts import edit_aware_counts
 from voxlake.llm.top_k import top_k
 from voxlake.llm.toxicity import toxicity_scores
 from voxlake.llm.url_filter import Rule, url_host, url_verdicts
@@ -108,3 +109,16 @@ def op5_repeated_passages(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(
         "doc_id", "n_bytes", gone.alias("n_removed"),
         F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+PRE_TOKENS = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"
+              r"|\s+(?!\S)|\s+")
+#: Edits of a cleaning pass: addresses hidden, runs of symbols taken out.
+CLEANING = [(r"[\w.%+-]+@[\w-]+(?:\.[\w-]+)+", "<email>"), (r"([$%&#*!])\1+", "")]
+
+
+@query
+def op8_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return edit_aware_counts(table(spark, sf, "documents"), CLEANING, TOKENIZER, PRE_TOKENS).select(
+        "doc_id", "n_before", "n_edits", "n_encoded", "n_tokens")
