@@ -1,26 +1,67 @@
-"""From raw documents to a deduplicated corpus: stages that each call one operator."""
+"""From raw documents to a weighted training corpus: stages that each call one operator.
+
+A stage takes (spark, docs, sf_dir), docs with the columns of `documents`, and returns the documents
+it keeps with the same columns; the last one returns the rate of each document instead. Rows without
+a doc_id are not judged: they pass until the last stage, which has no rate for them.
+"""
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voxlake.llm.decontamination import contamination
 from voxlake.llm.near_duplicates import near_duplicates
+from voxlake.llm.quality_classifier import quality_scores
+from voxlake.llm.queries import DOMAIN, WEIGHTS, table
+from voxlake.llm.sanitisation import masked, sanitisation
+from voxlake.llm.source_mixing import mixing_rates
 from voxlake.llm.storage import kept
 from voxlake.settings import lend_shared_folder
 
 
-def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: the one with the smallest id."""
-    return docs.join(near_duplicates(docs).where("kept").select("doc_id"), "doc_id", "left_semi")
+def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    return docs.join(rejected.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier predicts to be good stay."""
+    scores = quality_scores(docs, table(spark, sf_dir, "labels"))
+    return _without(docs, scores.where("predicted = 0"))
+
+
+def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays, the one with the smallest id."""
+    return _without(docs, near_duplicates(docs).where("not kept"))
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go."""
+    found = contamination(docs, table(spark, sf_dir, "benchmark"))
+    return _without(docs, found.where(F.size("ranges") > 0))
+
+
+def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data and terms that disclose it are masked in the texts; n_chars follows."""
+    hidden = masked(docs, sanitisation(docs))
+    return hidden.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The rate of each document at which the corpus has the target weights."""
+    return mixing_rates(docs, table(spark, sf_dir, "labels"), F.expr(DOMAIN), WEIGHTS)
+
 
+STAGES = [("quality", good_quality), ("near_duplicates", without_copies),
+          ("decontamination", without_benchmark), ("personal_data", without_personal_data),
+          ("mixing", mixture)]
 
-STAGES = [("near_duplicates", drop_copies)]
+#: SQL cannot train the classifiers; tests/llm holds the stages against plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; each stage's rows are written and read again."""
     lend_shared_folder(spark)
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = kept(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)
