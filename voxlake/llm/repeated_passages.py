@@ -260,9 +260,7 @@ def column_rounds(symbols: np.ndarray, family: np.ndarray, cap: int
     columns = np.ascontiguousarray(symbols.T)
     order = np.arange(len(symbols))
     base = family.astype(np.int64) << 16
-    common = np.full(len(order) + 1, cap, np.int64)  # nothing yet tells two suffixes apart
-    edge = np.concatenate([[True], family[1:] != family[:-1]])
-    common[:-1][edge] = 0
+    common = np.append(np.zeros(len(order), np.int64), cap)  # one more, where ranges may end
     for column in range(columns.shape[0] - 1, -1, -1):
         marked = base[order] | columns[column][order]
         moved = np.argsort(marked, kind="stable")

@@ -112,7 +112,7 @@ def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
 def joined_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
     """Hash of each run of n successive hashes, in order."""
     total = max(0, len(hashes) - n + 1)
-    out = np.full(total, np.uint64(0xA0761D6478BD642F ^ n))
+    out = np.full(total, np.uint64(0xA0761D6478BD642F ^ int(n)))
     for i in range(n):
         out = mixed(out ^ hashes[i:i + total]) if i % 2 else out * _BASE + hashes[i:i + total]
     return mixed(out)
