@@ -64,8 +64,8 @@ def test_collections_are_built_in_turn(documents):
 
 
 def test_long_texts_are_cut_at_borders(documents, monkeypatch):
-    from voxlake.llm import textops
-    monkeypatch.setattr(textops, "PIECE", 500)
+    monkeypatch.setattr(R, "SEGMENT", 500)
+    monkeypatch.setattr(R, "SLICE", 4000)
     check(documents, [*collection(4), (300, "".join(t or "" for _, t in collection(4)))])
 
 

@@ -35,7 +35,9 @@ from voxlake.llm.storage import kept
 
 LENGTH = 100
 ANCHOR = 32
-STRINGS = 40_000  # that a task builds at a time
+STRINGS = 15_000  # that a task builds at a time
+SLICE = 8 << 20  # bytes of text whose strings a task holds at a time
+SEGMENT = 1 << 18  # bytes of text that are hashed at a time
 FAMILY = 20_000  # classes from which a family is cut, about
 SAMPLED = 64  # one document of so many tells which families are large
 PLAIN, CUT, REPEAT = 0, 1, 2  # the last two bits of a key
@@ -103,7 +105,7 @@ def _strings_of(batch: pa.RecordBatch, length: int, anchor: int) -> tuple[np.nda
     ids = ids[order]
     data, offsets = X.packed(batch.column("text").take(pa.array(order)))
     parts = [tuple(np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64))]
-    for a, b, begin, end in _segments(offsets, X.PIECE, length - 1):
+    for a, b, begin, end in _segments(offsets, SEGMENT, length - 1):
         inner = np.clip(offsets[a:b + 1] - begin, 0, end - begin)
         key, name, text, start, size, at = anchored_strings(data[begin:end], inner, length, anchor)
         start = start + max(0, begin - int(offsets[a]))
@@ -125,7 +127,7 @@ def large_families(docs: DataFrame, length: int, anchor: int, family: int, sampl
                    ) -> tuple[np.ndarray, np.ndarray]:
     """(sorted keys, into how many parts to cut each), by a sample of the documents."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in X.slices(whole, SLICE)):
             key, name, *_ = _strings_of(batch, length, anchor)
             pair = np.unique(np.column_stack([key, name]), axis=0)
             key, n = np.unique(pair[:, 0], return_counts=True)
@@ -142,14 +144,14 @@ def large_families(docs: DataFrame, length: int, anchor: int, family: int, sampl
 
 def first_strings(docs: DataFrame, large: tuple[np.ndarray, np.ndarray], length: int, anchor: int
                   ) -> DataFrame:
-    """(key, class, doc, place) of each class of a batch, at its first place there.
+    """(key, class, doc, place) of each class of a slice of texts, at its first place there.
 
     Its other places are repeated for certain. They come as ranges: a key that ends in REPEAT, the
-    stop as the class, the start as the place. So a group of copies is one row for each batch.
+    stop as the class, the start as the place. So a group of copies is one row for each slice.
     """
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, parts = large
-        for batch in batches:
+        for batch in (part for whole in batches for part in X.slices(whole, SLICE)):
             key, name, doc, place = _strings_of(batch, length, anchor)
             if len(keys):
                 at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
@@ -226,21 +228,19 @@ def with_strings(rows: DataFrame, docs: DataFrame, length: int) -> DataFrame:
             yield batch.filter(pa.array(passes(wanted, batch.column("id").to_numpy())))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in X.slices(whole, X.PIECE)):
             data, offsets = X.packed(batch.column("text"))
-            places = batch.column("places")
-            for a, b in X.pieces(offsets):
-                own = places.slice(a, b - a)
-                flat = own.flatten()
-                place = flat.field(1).to_numpy()
-                n = np.diff(own.offsets.to_numpy())
-                start = np.repeat(offsets[a:b], n) + (place >> 16)
-                stop = start + length + ((place >> 8) & 255)
-                ids = np.repeat(batch.column("id").slice(a, b - a).to_numpy(), n)
-                yield pa.RecordBatch.from_arrays(
-                    [flat.field(0), pa.array(ids), pa.array(place),
-                     pa.array([bytes(data[i:j]) for i, j in zip(start, stop, strict=True)],
-                              pa.binary())], ["key", "doc", "place", "string"])
+            own = batch.column("places")
+            flat = own.flatten()
+            place = flat.field(1).to_numpy()
+            n = np.diff(own.offsets.to_numpy())
+            start = np.repeat(offsets[:-1], n) + (place >> 16)
+            stop = start + length + ((place >> 8) & 255)
+            yield pa.RecordBatch.from_arrays(
+                [flat.field(0), pa.array(np.repeat(batch.column("id").to_numpy(), n)),
+                 pa.array(place),
+                 pa.array([bytes(data[i:j]) for i, j in zip(start, stop, strict=True)],
+                          pa.binary())], ["key", "doc", "place", "string"])
 
     wanted = key_bitmap(rows, "doc")
     own = rows.groupBy(F.col("doc").alias("id")).agg(
@@ -422,7 +422,7 @@ def without_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text",
         return work
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in X.slices(whole, SLICE)):
             data, offsets = X.packed(batch.column("text"))
             removed, left = [], []
             for row, own in enumerate(batch.column("ranges")):

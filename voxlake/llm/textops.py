@@ -40,6 +40,12 @@ def pieces(offsets: np.ndarray, size: int = PIECE) -> Iterator[tuple[int, int]]:
         first = last
 
 
+def slices(batch: pa.RecordBatch, size: int, column: str = "text") -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about `size` bytes of text each, so that no more is worked on at once."""
+    for first, last in pieces(packed(batch.column(column))[1], size):
+        yield batch.slice(first, last - first)
+
+
 def cut(data: np.ndarray, offsets: np.ndarray, first: int, last: int
         ) -> tuple[np.ndarray, np.ndarray]:
     """(data, offsets) of the texts first to last - 1."""
