@@ -3,9 +3,9 @@
 The tokenizer cuts a text into pre-tokens and encodes each by itself, so a text has as many tokens as
 its pre-tokens together. A document keeps a segment tree: each leaf is a stretch of pre-tokens, with
 its place in the text and its tokens, each inner node the sum of its two children, the root the
-document's count. An edit re-encodes only the leaves it touches, from a leaf that begins before the
-edit (whose border the edit cannot move) to the first old border behind it that the new pre-tokens
-meet again; from there on the text is cut as before. The sums above the touched leaves are updated.
+document's count. An edit re-encodes only the leaves it touches, from a leaf so far before the edit
+that the edit cannot move its border, to the first old border behind it that the new pre-tokens meet
+again; from there on the text is cut as before. The sums above the touched leaves are updated.
 """
 
 from __future__ import annotations
@@ -96,6 +96,14 @@ def edited(text: str, edits: list[tuple[int, int, str]]) -> str:
     return "".join(parts) + text[done:]
 
 
+def _settled(between: str) -> bool:
+    """Whether an edit behind this text cannot move the border before it.
+
+    Where a pre-token ends may hang on three characters more, or on the end of a run of blanks.
+    """
+    return len(between) > 2 and not between.isspace()
+
+
 def updated_tree(text: str, edits: list[tuple[int, int, str]], starts: np.ndarray,
                  tree: np.ndarray, own: Tokenizer) -> tuple[np.ndarray, np.ndarray, int]:
     """(starts, tree, pre-tokens encoded) of the edited text.
@@ -106,7 +114,10 @@ def updated_tree(text: str, edits: list[tuple[int, int, str]], starts: np.ndarra
     tree, moved, encoded = tree.copy(), starts.copy(), 0
     shift = done = i = 0  # leaves before `done` have their new start
     while i < len(edits):
-        leaf = max(done, int(np.searchsorted(starts[:last], edits[i][0], "left")) - 1)
+        leaf = int(np.searchsorted(starts[:last], edits[i][0], "left")) - 1
+        while leaf > done and not _settled(text[starts[leaf]:edits[i][0]]):
+            leaf -= 1
+        leaf = max(done, leaf)
         moved[done:leaf + 1] = starts[done:leaf + 1] + shift
         at, n, end = int(moved[leaf]), 0, leaf + 1
         while True:
