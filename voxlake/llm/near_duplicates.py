@@ -2,19 +2,22 @@
 
 A document is the set of its runs of five words. Its MinHash samples are used twice: cut into bands
 they find candidates, and folded into a parity bitmap, the odd sketch, they tell how alike two
-candidates are: the population count of two sketches' XOR grows with the samples that differ. Pairs
-whose sketches agree well enough are compared on their full sets.
+candidates are: the population count of two sketches' XOR grows with the samples that differ. A second
+odd sketch is folded from the set itself: its XOR counts no more bits than the sets differ in members,
+which rules out small sets that are not quite alike. Pairs whose sketches agree well enough are
+compared on their full sets.
 
 Documents with equal sets are one class from the start. In every bucket the classes are first
 compared with one pivot, the class that shares most with the others. Buckets that are then still not
-connected are drawn together to clusters, in which classes of different components are compared
-pair by pair, in blocks of bounded size; a join gives only the pairs that are links. So a group of
-copies costs rows in proportion to its size, and no link between different texts is passed over for
-the size of its bucket.
+connected are drawn together by their pivots to clusters, in which classes of different components
+are compared pair by pair, in blocks of bounded size; a join gives only the pairs that are links. So
+a group of copies costs rows in proportion to its size, and no link between different texts is
+passed over for the size of its bucket.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 
@@ -103,6 +106,16 @@ def odd_sketches(samples: np.ndarray, words: int = SKETCH_WORDS) -> np.ndarray:
     return out
 
 
+def set_sketches(sets: np.ndarray, places: np.ndarray, words: int = SKETCH_WORDS) -> np.ndarray:
+    """Parity bitmaps of the sets that are not empty: each member flips one bit."""
+    sizes = np.diff(places)
+    sizes = sizes[sizes > 0]
+    at = (X.mixed(sets ^ np.uint64(0x2545F4914F6CDD1D)) % np.uint64(words * 64)).astype(np.int64)
+    at += np.repeat(np.arange(len(sizes)), sizes) * (words * 64)
+    odd = (np.bincount(at, minlength=len(sizes) * words * 64) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view(np.uint64).reshape(len(sizes), words)
+
+
 def _lists(values: np.ndarray, kind: pa.DataType) -> pa.Array:
     width = values.shape[1]
     flat = pa.array(np.ascontiguousarray(values).reshape(-1).view(np.int64), pa.int64())
@@ -137,7 +150,8 @@ def signatures(docs: DataFrame, n: int = WORDS, bands: int = BANDS, rows: int =
                     batch.column("id").slice(a, b - a), pa.array(sizes, pa.int64()),
                     pa.array(names[0].view(np.int64)), pa.array(names[1].view(np.int64)),
                     _lists(band_keys(samples, bands, rows), longs).take(pick),
-                    _lists(odd_sketches(samples), longs).take(pick)],
+                    _lists(np.hstack([odd_sketches(samples), set_sketches(sets, places)]), longs)
+                    .take(pick)],
                     ["id", "n_shingles", "set_a", "set_b", "bands", "sketch"])
 
     return docs.mapInArrow(work, "id long, n_shingles long, set_a long, set_b long, "
@@ -160,19 +174,20 @@ def full_sets(docs: DataFrame, wanted: np.ndarray, n: int = WORDS) -> DataFrame:
     return docs.mapInArrow(work, "id long, shingles array<long>")
 
 
-def _close(left: str, right: str, most: int) -> Column:
-    """Whether two rows' sketches, in columns s0 to s7, differ in so many bits at most."""
-    differ = [F.bit_count(F.col(f"{left}.s{i}").bitwiseXOR(F.col(f"{right}.s{i}")))
-              for i in range(SKETCH_WORDS)]
-    total = differ[0]
-    for one in differ[1:]:
-        total = total + one
-    return total <= most
+def _close(left: str, right: str, most: int, similarity: int) -> Column:
+    """Whether two rows' sizes and sketches, in columns s0 to s15, let them be so similar.
 
+    Of the samples' sketches, `most` bits may differ; of the sets', as many as members may.
+    """
+    def differ(first: int) -> Column:
+        bits = [F.bit_count(F.col(f"{left}.s{i}").bitwiseXOR(F.col(f"{right}.s{i}")))
+                for i in range(first, first + SKETCH_WORDS)]
+        return functools.reduce(Column.__add__, bits)
 
-def _sizes_allow(left: str, right: str, similarity: int) -> Column:
     a, b = F.col(f"{left}.n_shingles"), F.col(f"{right}.n_shingles")
-    return F.least(a, b) * 100 >= F.greatest(a, b) * similarity
+    return ((F.least(a, b) * 100 >= F.greatest(a, b) * similarity)
+            & (differ(SKETCH_WORDS) * (100 + similarity) <= (a + b) * (100 - similarity))
+            & (differ(0) <= most))
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
@@ -207,12 +222,13 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text",
     rows = kept(signatures(docs), "signatures")
     name = ["n_shingles", "set_a", "set_b"]
     firsts = rows.where("n_shingles > 0").groupBy(*name).agg(F.min("id").alias("class"))
-    members = kept(rows.select("id", *name).join(firsts, name, "left")
-                   .select("id", "n_shingles", F.coalesce("class", "id").alias("class")), "members")
-    classes = kept(
-        rows.join(firsts.select(F.col("class").alias("id")), "id", "left_semi").select(
-            "id", "n_shingles", "bands",
-            *[F.col("sketch")[i].alias(f"s{i}") for i in range(SKETCH_WORDS)]), "classes")
+    own = F.col("id") == F.col("class")
+    members = kept(rows.join(firsts, name, "left").select(
+        "id", "n_shingles", F.coalesce("class", "id").alias("class"),
+        F.when(own, F.col("bands")).alias("bands"),
+        *[F.when(own, F.col("sketch")[i]).alias(f"s{i}") for i in range(2 * SKETCH_WORDS)]),
+        "members")
+    classes = members.where("bands is not null").drop("class")
 
     banded = classes.select("id", F.explode("bands").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
@@ -225,11 +241,11 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text",
     central = buckets.groupBy("id").agg(F.sum("size").alias("rank"))
     pivots = (buckets.join(central, "id").groupBy("bucket")
               .agg(F.max_by("id", F.struct("rank", -F.col("id"))).alias("a")))
-    stars = (buckets.join(pivots, "bucket").where("id <> a")
-             .select("a", F.col("id").alias("b")).distinct())
+    buckets = kept(buckets.join(pivots, "bucket"), "pivots")
+    stars = buckets.where("id <> a").select("a", F.col("id").alias("b")).distinct()
     likely = (stars.join(sketches.alias("x"), F.col("a") == F.col("x.id"))
               .join(sketches.alias("y"), F.col("b") == F.col("y.id"))
-              .where(_close("x", "y", most) & _sizes_allow("x", "y", similarity))
+              .where(_close("x", "y", most, similarity))
               .select("a", "b"))
     links = kept(confirmed(likely, sets, similarity), "star-links")
     roots = components(links)
@@ -239,7 +255,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text",
         F.when(F.col("low") == F.col("high"), F.col("x.id") < F.col("y.id"))
         .otherwise((F.col("x.block") == F.col("low")) & (F.col("y.block") == F.col("high")))
         & (F.col("x.root") != F.col("y.root"))
-        & _close("x", "y", most) & _sizes_allow("x", "y", similarity)
+        & _close("x", "y", most, similarity)
         & _alike("x.shingles", "y.shingles", similarity))
         .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")), "late-links")
     roots = roots if late.isEmpty() else components(links.union(late))
@@ -253,19 +269,17 @@ def _unconnected(buckets: DataFrame, roots: DataFrame, sketches: DataFrame, sets
                  ) -> DataFrame:
     """Classes in buckets with several components, once for each pair of blocks they are in.
 
-    Buckets with a class in common are one cluster, so two classes meet in one place only.
+    Buckets with the same pivot are one cluster, so two classes meet in a few places at most.
     """
     labelled = (buckets.join(roots, buckets["id"] == roots["node"], "left")
-                .select("bucket", "id", F.coalesce("root", "id").alias("root")))
-    open_ = (labelled.groupBy("bucket").agg(F.min("root").alias("r"), F.max("root").alias("s"),
-                                            F.min("id").alias("b"))
-             .where("r <> s").select("bucket", "b"))
-    touching = kept(labelled.join(open_, "bucket").select("id", "root", "b"), "open")
-    clusters = components(touching.select(F.col("id").alias("a"), "b")).select(
-        F.col("node").alias("id"), F.col("root").alias("cluster"))
+                .select("bucket", "id", "a", F.coalesce("root", "id").alias("root")))
+    open_ = (labelled.groupBy("bucket").agg(F.min("root").alias("r"), F.max("root").alias("s"))
+             .where("r <> s").select("bucket"))
+    touching = kept(labelled.join(open_, "bucket").select(
+        F.col("a").alias("cluster"), "id", "root").distinct(), "open")
     blocks = F.ceil(F.col("size") / BLOCK)
-    sized = clusters.groupBy("cluster").agg(F.count("*").alias("size"))
-    placed = (touching.select("id", "root").distinct().join(clusters, "id").join(sized, "cluster")
+    sized = touching.groupBy("cluster").agg(F.count("*").alias("size"))
+    placed = (touching.join(sized, "cluster")
               .withColumn("block", F.pmod(F.xxhash64("id"), blocks))
               .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))))
     return kept(placed.select(
