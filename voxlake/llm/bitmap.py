@@ -18,9 +18,9 @@ def key_bitmap(keys: DataFrame, column: str, bits: int = BITS) -> np.ndarray:
              .groupBy(F.shiftright(bit, 6).alias("word"))
              .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"),
                                            (bit % 64).cast("int"))).alias("mask"))
-             .toPandas())
+             .toArrow())
     words = np.zeros(bits // 64, np.uint64)
-    words[found["word"].to_numpy(np.int64)] = found["mask"].to_numpy(np.int64).view(np.uint64)
+    words[found["word"].to_numpy()] = found["mask"].to_numpy().view(np.uint64)
     return words
 
 

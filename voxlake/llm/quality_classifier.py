@@ -75,7 +75,7 @@ class Model:
 
 
 def _examples(docs: DataFrame) -> DataFrame:
-    """(label, buckets, weights): sparse averages of labelled texts."""
+    """(id, label, buckets, weights): sparse averages of labelled texts, as arrays of 32-bit numbers."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = X.packed(batch.column("text"))
@@ -88,10 +88,12 @@ def _examples(docs: DataFrame) -> DataFrame:
                     [p[1] / max(1, p[1].sum()) for p in parts]).astype(np.float32))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("label"),
-                 pa.array(buckets, pa.list_(pa.int32())),
-                 pa.array(weights, pa.list_(pa.float32()))], ["id", "label", "buckets", "weights"])
+                 pa.array([x.tobytes() for x in buckets], pa.binary()),
+                 pa.array([x.tobytes() for x in weights], pa.binary())],
+                ["id", "label", "buckets", "weights"])
 
-    return docs.mapInArrow(work, "id long, label int, buckets array<int>, weights array<float>")
+    return docs.select("id", "label", "text").mapInArrow(
+        work, "id long, label int, buckets binary, weights binary")
 
 
 def trained(examples: list[tuple[int, np.ndarray, np.ndarray]], classes: int,
@@ -130,9 +132,10 @@ def fitted(docs: DataFrame, labels: DataFrame, classes: int, rows: int = SAMPLE)
     The sampled ids, a bounded number, are broadcast; so texts are not shuffled to find theirs.
     """
     sample = bounded(labels, rows)
-    found = _examples(docs.join(F.broadcast(sample), "id")).toPandas().sort_values("id")
-    return trained([(int(label), np.asarray(b), np.asarray(w, np.float64)) for label, b, w in zip(
-        found["label"], found["buckets"], found["weights"], strict=True) if len(b)], classes)
+    found = _examples(docs.join(F.broadcast(sample), "id")).toArrow().sort_by("id")
+    rows = zip(*(found[c].to_pylist() for c in ("label", "buckets", "weights")), strict=True)
+    return trained([(label, np.frombuffer(b, np.int32), np.frombuffer(w, np.float32))
+                    for label, b, w in rows if b], classes)
 
 
 def class_scores(docs: DataFrame, model: Model) -> DataFrame:
