@@ -136,10 +136,10 @@ def large_families(docs: DataFrame, length: int, anchor: int, family: int, sampl
 
     found = (docs.where(F.pmod(F.xxhash64("id"), F.lit(sampled)) == 0)
              .mapInArrow(work, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-             .where(F.col("n") * sampled > family).orderBy(F.desc("n")).limit(100_000).toPandas())
-    found = found.assign(key=found["key"].to_numpy(np.int64).view(np.uint64)).sort_values("key")
-    return (found["key"].to_numpy(np.uint64),
-            -(-found["n"].to_numpy(np.int64) * sampled // family).astype(np.int64))
+             .where(F.col("n") * sampled > family).orderBy(F.desc("n")).limit(100_000).toArrow())
+    key = found["key"].to_numpy().view(np.uint64)
+    order = np.argsort(key)
+    return key[order], -(-found["n"].to_numpy()[order] * sampled // family)
 
 
 def first_strings(docs: DataFrame, large: tuple[np.ndarray, np.ndarray], length: int, anchor: int

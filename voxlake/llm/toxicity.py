@@ -180,7 +180,7 @@ def lookup(ratios: DataFrame, key: str) -> np.ndarray:
 
     found = (ratios.mapInArrow(slots, "slot long, ratio double, n long").groupBy("slot")
              .agg((F.sum(F.col("ratio") * F.col("n")) / F.sum("n")).cast("float").alias("ratio"))
-             .select(F.col("slot").cast("int").alias("slot"), "ratio").toPandas())
+             .select(F.col("slot").cast("int").alias("slot"), "ratio").toArrow())
     table = np.full(SLOTS, np.nan, np.float32)
     table[found["slot"].to_numpy()] = found["ratio"].to_numpy()
     return table
@@ -271,9 +271,9 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text
     model = Model(lookup(seen, "gram"), lookup(unseen, "context"))
 
     sample = F.broadcast(bounded(usable.where(fold("id") == curve_fold), CALIBRATION))
-    fit = measured(docs.join(sample, "id"), model).select("peak", "mean", "label").toPandas()
-    weights = [float(w) for w in logistic(fit[["peak", "mean"]].to_numpy(float),
-                                          fit["label"].to_numpy(float))]
+    fit = measured(docs.join(sample, "id"), model).select("peak", "mean", "label").toArrow()
+    peak, mean, marked = (fit[c].to_numpy().astype(float) for c in ("peak", "mean", "label"))
+    weights = [float(w) for w in logistic(np.column_stack([peak, mean]), marked)]
     score = 1 / (1 + F.exp(-(weights[0] + weights[1] * F.col("peak")
                              + weights[2] * F.col("mean"))))
     return measured(docs, model).withColumn("score", score).select(
