@@ -340,6 +340,12 @@ SELECT idx, comment_id, video_id, '"q", ' || text AS text, manual_label, actual_
     sql["catalog_register"] = f"""
 SELECT video_id, count(*) silver_comments, count(*) gold_comments
 FROM ({silver()}) GROUP BY video_id"""
+    sql["catalog_stream"] = sql["catalog_register"]
+    sql["build_twice"] = summary()
+    sql["quarantine_rows"] = f"""
+SELECT batch_id, value, records, records with_key, broken
+FROM (SELECT '{{bad' AS value, count(*) records, count(*) FILTER (doc_id % 50 = 0) broken FROM ({C_DUP})),
+  (VALUES ('one'), ('two')) b(batch_id)"""
     sql["path_table_count"] = union(
         f"SELECT '{t}' layer, count(*) row_count FROM {t}"
         for t in ("documents", "events", "conversations"))
@@ -386,9 +392,12 @@ SELECT {scores} FROM ({scored(
         f"SELECT *, {scoring_text()} reads FROM ({admitted(C_SLANG)})", 'reads')})"""
     sql["normalize_label"] = (f"SELECT doc_id, {case_of(MEANINGS, 'doc_id % 9')} sentiment "
                               f"FROM documents")
-    sql["score_argmax"] = """
-SELECT doc_id, CASE WHEN doc_id % 5 >= doc_id % 4 AND doc_id % 5 >= doc_id % 3 THEN 'positive'
-  WHEN doc_id % 4 >= doc_id % 3 THEN 'neutral' ELSE 'negative' END sentiment FROM documents"""
+    up, down = hits("text_clean", POSITIVE_KEYWORDS), hits("text_clean", NEGATIVE_KEYWORDS)
+    sql["score_argmax"] = f"""
+SELECT comment_id, CASE WHEN p >= q AND p >= n THEN 'positive' WHEN q >= n THEN 'neutral'
+  ELSE 'negative' END sentiment
+FROM (SELECT comment_id, {up} p, {down} n, length(text) - length(replace(text, '?', '')) q
+  FROM ({admitted(C_SENT)}))"""
     sql["record_defaults"] = f"""
 SELECT comment_id, {seconds('coalesce(collected_at, event_time)')} collected_at,
   coalesce(source, 'files') source,

@@ -22,10 +22,10 @@ from voxlake.operators import scoring as SC
 from voxlake.operators import validation as VAL
 from voxlake.operators.cleaning import clean_comments, clean_fields
 from voxlake.operators.dedup import first_per_key
-from voxlake.operators.scoring import KeywordPredictor, Scorer, score
+from voxlake.operators.scoring import KeywordPredictor, Scorer, score, with_hits
 from voxlake.operators.threads import flatten_threads
 from voxlake.plans.lakehouse import (
-    refresh_gold, scored_comments, silver_at_rest, silver_comments)
+    build_lakehouse, land_messages, refresh_gold, scored_comments, silver_at_rest, silver_comments)
 from voxlake.schemas import API_PAGE, GOLD_SUMMARY
 from voxlake.settings import TableLayout, lend_shared_folder, shared_folder
 from voxlake.sources import records as REC
@@ -103,12 +103,37 @@ def gold_incremental(spark, sf):
     TAB.ensure_tables(spark, layout)
     silver = _silver_rows(spark, sf)
     for arrival in (~F.col("is_reply"), F.col("is_reply")):
-        rows = silver.filter(arrival)
-        TAB.append_table(rows, layout.silver, gathered=True)
-        refresh_gold(spark, layout, G.touched_dates(rows))
+        TAB.append_table(silver.filter(arrival), layout.silver, gathered=True)
+        refresh_gold(spark, layout, G.touched_dates(V.duplicated(spark, sf).filter(arrival)))
     return TAB.read_table(spark, layout.summary, GOLD_SUMMARY)
 
 
+@query
+def build_twice(spark, sf):
+    """Two overlapping batches, the second of them twice."""
+    layout = TableLayout(shared_folder(spark, "twice"))
+    rows = V.duplicated(spark, sf).withColumn("ingested_at", F.timestamp_seconds(F.lit(V.START)))
+    third = F.col("comment_id").cast("long") % 3
+    build_lakehouse(spark, rows.filter(third < 2), layout, batch="one")
+    for _ in range(2):
+        build_lakehouse(spark, rows.filter(third > 0), layout, batch="two")
+    return TAB.read_table(spark, layout.summary, GOLD_SUMMARY)
+
+
+@query
+def quarantine_rows(spark, sf):
+    """Messages of two batches, one repeated: what is broken, and how much is well-formed."""
+    layout = TableLayout(shared_folder(spark, "quarantine"))
+    lines = REC.message_lines(spark, _message_folder(spark, V.duplicated(spark, sf), layout.root))
+    for batch in ("one", "two", "two"):
+        land_messages(lines, layout, batch)
+    landed = spark.read.parquet(layout.bronze).groupBy("batch_id").agg(
+        F.count("*").alias("records"), F.count("comment_id").alias("with_key"))
+    broken = spark.read.parquet(layout.quarantine).groupBy("batch_id", "value").agg(
+        F.count("*").alias("broken"))
+    return landed.join(broken, "batch_id")
+
+
 @query
 def keyed_json_out(spark, sf):
     """Messages read back: the key, and what the JSON says."""
@@ -154,8 +179,11 @@ def eval_load(spark, sf):
     """Labelled rows written as CSV and read back: quotes and line breaks survive."""
     folder = shared_folder(spark, "labelled")
     rows = V.labelled(spark, sf).drop("lang").withColumn("text", F.concat(F.lit('"q", '), "text"))
-    rows.write.options(header="true", quoteAll="true", escape='"').csv(folder)
-    loaded = E.prepare_labelled(REC.read_labelled(spark, folder), "manual_label")
+    # another order of columns, and one more
+    rows.select(F.lit("x").alias("extra"), *reversed(rows.columns)).write.options(
+        header="true", quoteAll="true", escape='"').csv(folder)
+    loaded = E.prepare_labelled(
+        REC.read_labelled(spark, folder, ["text", "manual_label"]), "manual_label")
     return loaded.select("idx", "comment_id", "video_id", "text", "manual_label", "actual_label",
                          "reviewer_notes")
 
@@ -163,12 +191,33 @@ def eval_load(spark, sf):
 @query
 def catalog_register(spark, sf):
     """Registered tables, asked by name in SQL."""
-    layout = TableLayout(shared_folder(spark, "catalog"), database="checks_lakehouse")
-    TAB.ensure_tables(spark, layout)
-    silver = _silver_rows(spark, sf)
-    TAB.append_table(silver, layout.silver, gathered=True)
-    refresh_gold(spark, layout)
+    layout = _catalog(spark, "catalog")
+    rows = V.duplicated(spark, sf)
+    later = F.col("comment_id").cast("long") % 2 == 0
+    build_lakehouse(spark, rows.filter(~later), layout, batch="one")
+    TAB.register_tables(spark, layout)
+    build_lakehouse(spark, rows.filter(later), layout, batch="two")  # new dates among them
+    return _by_name(spark, layout)
+
+
+@query
+def catalog_stream(spark, sf):
+    """The same over a lake that a stream wrote."""
+    layout = _catalog(spark, "catalog_stream")
+    messages = message_stream(
+        spark, path=_message_folder(spark, V.duplicated(spark, sf), layout.root))
+    run_available(spark, messages, layout)
     TAB.register_tables(spark, layout)
+    return _by_name(spark, layout)
+
+
+def _catalog(spark: SparkSession, purpose: str) -> TableLayout:
+    """A lake with a database of its own, named after its folder."""
+    folder = shared_folder(spark, purpose)
+    return TableLayout(folder, database=folder.rpartition("/")[2].replace("-", "_"))
+
+
+def _by_name(spark: SparkSession, layout: TableLayout) -> DataFrame:
     return spark.sql(f"""
       SELECT s.video_id, s.silver_comments, g.gold_comments FROM (
         SELECT video_id, count(*) AS silver_comments
@@ -285,9 +334,12 @@ def normalize_label(spark, sf):
 
 @query
 def score_argmax(spark, sf):
-    n = F.col("doc_id")
-    best = M.strongest((n % 5).cast("double"), (n % 4).cast("double"), (n % 3).cast("double"))
-    return V.table(spark, sf, "documents").select("doc_id", best.alias("sentiment"))
+    """The strongest of three counts from the text: keyword hits, and question marks between."""
+    rows = with_hits(clean_comments(V.sentiments(spark, sf)), "text_clean")
+    marks = F.length("text") - F.length(F.replace("text", F.lit("?"), F.lit("")))
+    best = M.strongest(F.col("_up").cast("double"), marks.cast("double"),
+                       F.col("_down").cast("double"))
+    return rows.select("comment_id", best.alias("sentiment"))
 
 
 @query
@@ -408,23 +460,34 @@ def gold_breakdown(spark, sf):
     return G.gold_breakdown(_silver(spark, sf))
 
 
+def _layers(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """The layers as tables: each is computed once, from the one below, and then checked."""
+    folder = shared_folder(spark, "layers")
+
+    def table(name: str, rows: DataFrame) -> DataFrame:
+        rows.write.parquet(f"{folder}/{name}")
+        return spark.read.schema(rows.schema).parquet(f"{folder}/{name}")
+
+    bronze = V.duplicated(spark, sf)
+    silver = table("silver", scored_comments(bronze).drop("text", "text_clean"))
+    return {"bronze": bronze, "silver": silver,
+            "gold_summary": table("summary", G.gold_summary(silver)),
+            "gold_breakdown": table("breakdown", G.gold_breakdown(silver))}
+
+
 @query
 def gold_reconcile(spark, sf):
-    silver = _silver(spark, sf)
-    return Q.gold_reconcile(G.gold_summary(silver), G.gold_breakdown(silver))
+    layers = _layers(spark, sf)
+    return Q.gold_reconcile(layers["gold_summary"], layers["gold_breakdown"])
 
 
 @query
 def layer_flow_check(spark, sf):
-    silver = _silver(spark, sf)
-    return Q.layer_flow_check(V.duplicated(spark, sf), silver.filter("video_id <> 'src3'"),
-                              G.gold_summary(silver), G.gold_breakdown(silver))
+    layers = _layers(spark, sf)
+    return Q.layer_flow_check(layers["bronze"], layers["silver"].filter("video_id <> 'src3'"),
+                              layers["gold_summary"], layers["gold_breakdown"])
 
 
-def _layers(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    silver = _silver(spark, sf)
-    return {"bronze": V.duplicated(spark, sf), "silver": silver,
-            "gold_summary": G.gold_summary(silver), "gold_breakdown": G.gold_breakdown(silver)}
 
 
 @query
@@ -469,8 +532,8 @@ def sentiment_distribution(spark, sf):
 
 @query
 def silver_gold_agreement(spark, sf):
-    silver = _silver(spark, sf)
-    return Q.silver_gold_agreement(silver, G.gold_breakdown(silver))
+    layers = _layers(spark, sf)
+    return Q.silver_gold_agreement(layers["silver"], layers["gold_breakdown"])
 
 
 @query

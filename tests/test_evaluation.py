@@ -64,7 +64,7 @@ def test_sinks(spark, detail, tmp_path):
     assert len(summary["top_mismatches"]) == 11
     assert summary["macro_f1"] == pytest.approx(0.8763464179859756)
     REC.write_detail(detail, str(tmp_path / "d"))
-    back = REC.read_labelled(spark, str(tmp_path / "d"), EVALUATION_DETAIL)
+    back = REC.read_labelled(spark, str(tmp_path / "d"), EVALUATION_DETAIL.names, ())
     assert back.columns == EVALUATION_DETAIL.names and back.count() == 100
 
 
@@ -107,14 +107,16 @@ def test_evaluate_a_file(spark, tmp_path):
     source.write_text('idx,comment_id,video_id,text,label,notes,bucket\n'
                       '1,a,v,"I love \\U0001F60A it",pos,n1,reviewed\n'
                       '2,b,v,"bad",1 star,,\n3,c,v,"meh",2,n3,\n')
-    columns = ("idx", "comment_id", "video_id", "text", "label", "notes", "bucket")
-    how = dict(label_column="label", notes_column="notes", review_column="bucket", columns=columns)
+    how = dict(label_column="label", notes_column="notes", review_column="bucket",
+               lexicon="none", model="stars")
     row = evaluate_file(spark, str(source), str(tmp_path / "m"), classifier=stars, **how).first()
     summary = json.loads(row.value)
     assert (summary["total_rows"], summary["correct_rows"]) == (3, 2)
     assert summary["evaluation_mode"] == "model"
     assert [m["comment_id"] for m in summary["top_mismatches"]] == ["c"]
-    detail = REC.read_labelled(spark, str(tmp_path / "m" / "detail"), EVALUATION_DETAIL)
+    assert (summary["lexicon"], summary["model"]) == ("none", "stars")
+    assert summary["bucket_accuracy"] == str(tmp_path / "m" / "buckets")
+    detail = spark.read.options(header=True).csv(str(tmp_path / "m" / "detail"))
     assert {r.comment_id: (r.predicted_label, r.predicted_confidence) for r in detail.collect()} == {
         "a": ("positive", "0.905000"), "b": ("negative", "0.700000"), "c": ("neutral", "0.200000")}
     buckets = spark.read.json(str(tmp_path / "m" / "buckets")).collect()
@@ -122,3 +124,17 @@ def test_evaluate_a_file(spark, tmp_path):
         ("reviewed", 1, 1), ("unbucketed", 2, 1)}
     row = evaluate_file(spark, str(source), str(tmp_path / "k"), **how).first()
     assert json.loads(row.value)["evaluation_mode"] == "keyword"
+
+
+def test_labelled_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "l.csv").write_text("comment_id,idx,video_id,text,reviewer_notes,manual_label\n"
+                                    "c,1,v,fine,negative,positive\n")
+    (row,) = E.prepare_labelled(REC.read_labelled(
+        spark, str(tmp_path / "l.csv"), ["text", "manual_label"]), "manual_label").collect()
+    assert (row.actual_label, row.reviewer_notes, row.idx) == ("positive", "negative", "1")
+    (tmp_path / "t.csv").write_text("comment_id,video_id,text,manual_label,notes\nc,v,good,pos,n\n")
+    row = evaluate_file(spark, str(tmp_path / "t.csv"), str(tmp_path / "o"),
+                        notes_column="notes").first()
+    assert json.loads(row.value)["correct_rows"] == 1
+    with pytest.raises(ValueError, match="no column label"):
+        REC.read_labelled(spark, str(tmp_path / "t.csv"), ["text", "label"])

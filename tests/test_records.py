@@ -46,7 +46,7 @@ def test_keyed_messages_read_back(spark):
 
 
 def test_json_lines_skip_blank_lines(spark, tmp_path):
-    (tmp_path / "f.jsonl").write_text(json.dumps(RECORD) + "\n\n" + json.dumps(RECORD) + "\n")
+    (tmp_path / "f.jsonl").write_text(json.dumps(RECORD) + "\n\n{bad\n" + json.dumps(RECORD) + "\n")
     assert REC.read_json_lines(spark, str(tmp_path / "f.jsonl")).count() == 2
 
 

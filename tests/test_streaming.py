@@ -1,7 +1,6 @@
 import json
 import os
-from datetime import timedelta
-from pathlib import Path
+from datetime import datetime, timedelta
 
 import pytest
 from comments import T0, comment, frame
@@ -10,7 +9,7 @@ from pyspark.sql import functions as F
 from voxlake.operators import gold as G
 from voxlake.operators import quality as Q
 from voxlake.operators.scoring import KeywordPredictor, Scorer
-from voxlake.plans.lakehouse import silver_comments
+from voxlake.plans.lakehouse import land_records, silver_comments
 from voxlake.schemas import BRONZE, GOLD_BREAKDOWN, GOLD_SUMMARY, RECORD, SILVER_STORED
 from voxlake.sources import records as REC
 from voxlake.sources import tables as TAB
@@ -67,9 +66,12 @@ def test_stream_equals_batch_and_resumes(spark, layout, posted, scorer):
 
 def test_malformed_messages_go_to_quarantine(spark, layout, posted):
     messages = P.message_stream(spark, path=str(posted))
-    P.start_quarantine(messages, layout, once=True).awaitTermination()
+    for _ in range(2):  # the second time there is nothing new
+        P.start_bronze(messages, layout, once=True).awaitTermination()
     rows = spark.read.parquet(layout.quarantine).collect()
     assert [r.value for r in rows] == ["{bad"]
+    bronze = TAB.read_table(spark, layout.bronze, BRONZE)
+    assert bronze.count() == 5 and bronze.filter("comment_id is null").isEmpty()
 
 
 def dedup_batches(spark, tmp_path, batches, **how):
@@ -107,10 +109,19 @@ BATCHES = [[at("a", 0), at("a", 0)], [at("b", 5)], [at("c", 6)], [at("e", 6), at
 
 
 @pytest.mark.parametrize("spread", [False, True])
-def test_exact_dedup_remembers_and_drops_late_rows(spark, tmp_path, spread):
+def test_exact_dedup_remembers_and_drops_nothing_for_its_time(spark, tmp_path, spread):
     spread = F.pmod(F.xxhash64("author"), F.lit(4)) if spread else None
     kept, dropped = dedup_batches(spark, tmp_path, BATCHES, spread=spread)
-    assert kept == ["a", "b", "c", "e", "f", "late"] and dropped == 1
+    assert kept == ["a", "b", "c", "e", "late", "f"] and dropped == 0
+
+
+@pytest.mark.parametrize("bounded", [False, True])
+def test_a_row_from_the_future_costs_no_other(spark, tmp_path, bounded):
+    today = (datetime.now(T0.tzinfo) - T0).days  # the watermark may reach the time of ingestion
+    batches = [[at("a", today)], [at("future", 40_000)], [at("b", today)], [at("c", today - 1)],
+               [at("d", today)]]
+    kept, dropped = dedup_batches(spark, tmp_path, batches, bounded=bounded)
+    assert kept == ["a", "future", "b", "c", "d"] and dropped == 0
 
 
 def test_bounded_dedup_forgets(spark, tmp_path):
@@ -122,10 +133,10 @@ def test_hot_key_copies_are_spread_and_thinned(spark, layout):
     TAB.ensure_tables(spark, layout)
     rows = [comment("hot" if i % 3 == 0 else str(i)) for i in range(300)]
     stamped = frame(spark, rows).withColumn("ingested_at", F.current_timestamp())
-    TAB.append_table(stamped.withColumn("ingested_date", F.to_date("ingested_at")), layout.bronze)
-    query = P.start_silver(spark, layout, spread=16, files_per_date=2, once=True)
+    land_records(stamped, layout, "one")
+    query = P.start_silver(spark, layout, spread=16, once=True)
     query.awaitTermination()
-    assert len(list(Path(layout.silver).glob("event_date=*/*.parquet"))) <= 2
+    assert P.late_rows(query) == 0
     assert TAB.read_table(spark, layout.silver, SILVER_STORED).count() == 201
     operators = [op for p in query.recentProgress if p.numInputRows
                  for op in json.loads(p.json)["stateOperators"]]
@@ -136,7 +147,23 @@ def test_state_store_of_the_user_stays(spark):
     before = spark.conf.get(P.STATE_STORE)
     try:
         spark.conf.set(P.STATE_STORE, "my.Store")
-        P.keep_state_on_disk(spark)
-        assert spark.conf.get(P.STATE_STORE) == "my.Store"
+        assert P.state_store(spark) == {}
     finally:
         spark.conf.set(P.STATE_STORE, before)
+
+
+def test_settings_of_a_query_do_not_stay(spark, layout):
+    TAB.ensure_tables(spark, layout)
+    before = spark.conf.get(P.STATE_STORE)
+    land_records(frame(spark, [comment("1")]), layout, "one")
+    P.start_silver(spark, layout, once=True).awaitTermination()
+    assert spark.conf.get(P.STATE_STORE) == before
+
+
+def test_two_shuffles_at_most_carry_silver(spark, layout):
+    TAB.ensure_tables(spark, layout)
+    land_records(frame(spark, [comment("1")]), layout, "one")
+    query = P.start_silver(spark, layout, once=True)
+    query.awaitTermination()
+    plan = query._jsq.explainInternal(False)
+    assert 1 <= plan.count("Exchange ") <= 2

@@ -1,21 +1,27 @@
-"""Jobs for spark-submit: python -m voxlake {build,bronze,silver,gold,evaluate,register} ..."""
+"""Jobs for spark-submit: python -m voxlake {ingest,build,bronze,silver,gold,evaluate,register} ..."""
 
 import argparse
+import importlib
+import json
 
 from pyspark.sql import SparkSession
 
 from voxlake.functions.slang import slang_terms
+from voxlake.operators.scoring import Scorer, choose_scorer
+from voxlake.operators.threads import flatten_threads
 from voxlake.plans.evaluation import evaluate_file
+from voxlake.plans.ingestion import ingest
 from voxlake.plans.lakehouse import build_lakehouse
-from voxlake.settings import TableLayout
-from voxlake.sources.records import read_json_lines, read_slang
+from voxlake.settings import ScoringSettings, TableLayout
+from voxlake.sources.records import message_lines, read_api_pages, read_json_lines, read_slang
 from voxlake.sources.tables import ensure_tables, register_tables
 from voxlake.streaming import pipeline as P
 
 
 def _arguments() -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="voxlake")
-    parser.add_argument("job", choices=("build", "bronze", "silver", "gold", "evaluate", "register"))
+    parser.add_argument("job", choices=(
+        "ingest", "build", "bronze", "silver", "gold", "evaluate", "register"))
     parser.add_argument("--root", required=True, help="folder of the tables, or of the evaluation")
     parser.add_argument("--input", help="JSON lines, labelled CSV, or folder of messages")
     parser.add_argument("--kafka", nargs=2, metavar=("SERVERS", "TOPIC"))
@@ -26,6 +32,14 @@ def _arguments() -> argparse.Namespace:
     parser.add_argument("--label-column", default="manual_label")
     parser.add_argument("--notes-column", default="reviewer_notes")
     parser.add_argument("--review-column")
+    parser.add_argument("--batch", help="name of the batch to build; the input's path if not given")
+    parser.add_argument("--pages", action="store_true", help="ingest API pages, not records")
+    parser.add_argument("--landed", help="table with the comment_id values already there")
+    parser.add_argument("--video", help="the only video that ingested records may belong to")
+    parser.add_argument("--skip-invalid", action="store_true")
+    parser.add_argument("--model", help="module:factory of a predictor or classifier")
+    parser.add_argument("--no-fallback", action="store_true", help="fail if there is no model")
+    parser.add_argument("--batch-size", type=int, default=16)
     return parser.parse_args()
 
 
@@ -35,6 +49,19 @@ def _terms(spark: SparkSession, choice: str):
     return slang_terms() if choice == "built-in" else read_slang(spark, choice)
 
 
+def _factory(name: str | None):
+    if name is None:
+        return None
+    module, _, attribute = name.partition(":")
+    return getattr(importlib.import_module(module), attribute)
+
+
+def _scorer(args: argparse.Namespace) -> Scorer:
+    settings = ScoringSettings("model" if args.model else "keyword", not args.no_fallback,
+                               args.batch_size)
+    return choose_scorer(settings, _factory(args.model))
+
+
 def main() -> None:
     args = _arguments()
     spark = (SparkSession.builder.appName(f"voxlake {args.job}")
@@ -42,24 +69,31 @@ def main() -> None:
     layout = TableLayout(args.root, fmt=args.format)
     if args.job == "evaluate":
         evaluate_file(spark, args.input, args.root, args.label_column, args.notes_column,
-                      args.review_column, _terms(spark, args.slang)).show(truncate=False)
+                      args.review_column, _terms(spark, args.slang), _factory(args.model),
+                      args.batch_size, args.slang, args.model).show(truncate=False)
         return
+    if args.job == "ingest":
+        read = read_api_pages if args.pages else read_json_lines
+        rows = read(spark, args.input)
+        landed = spark.read.parquet(args.landed) if args.landed else None
+        counts = ingest(flatten_threads(rows) if args.pages else rows, args.root, landed,
+                        args.video, args.skip_invalid)
+        return print(json.dumps(counts))
     if args.job == "register":
         return register_tables(spark, layout)
     if args.job == "build":
-        return build_lakehouse(spark, read_json_lines(spark, args.input), layout,
-                               terms=_terms(spark, args.slang))
+        build_lakehouse(spark, message_lines(spark, args.input), layout, _scorer(args),
+                        _terms(spark, args.slang), args.batch or args.input)
+        return
     ensure_tables(spark, layout)
     if args.job == "bronze":
         source = (P.message_stream(spark, "kafka", **{
             "kafka.bootstrap.servers": args.kafka[0], "subscribe": args.kafka[1]})
             if args.kafka else P.message_stream(spark, path=args.input))
-        aside = P.start_quarantine(source, layout, args.once)
         query = P.start_bronze(source, layout, args.once)
-        if args.once:
-            aside.awaitTermination()
     elif args.job == "silver":
-        query = P.start_silver(spark, layout, terms=_terms(spark, args.slang), once=args.once)
+        query = P.start_silver(spark, layout, _scorer(args), _terms(spark, args.slang),
+                               once=args.once)
     else:
         query = P.start_gold(spark, layout, args.once, args.every)
     query.awaitTermination()

@@ -34,7 +34,7 @@ class SlangTerm:
     @property
     def pattern(self) -> str:
         # The letters come first, then the look at both sides: Java finds plain letters fastest.
-        quoted = rf"\Q{self.term}\E"
+        quoted = r"\Q" + self.term.replace(r"\E", r"\E\\E\Q") + r"\E"
         return rf"{quoted}(?<!{WORD}{quoted})(?!{WORD})" if self.is_word else quoted
 
     @property

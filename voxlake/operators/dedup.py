@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from voxlake.functions.cleaning import is_blank
+from voxlake.functions.cleaning import is_blank, strip
 
 KEYS = ("video_id", "comment_id")
 _PREFERENCE = ("ingested_at", "collected_at", "event_time", "like_count", "reply_count", "author")
@@ -34,9 +34,9 @@ def first_per_key(rows: DataFrame, keys: Sequence[str] = KEYS,
 def new_records_only(incoming: DataFrame, landed: DataFrame, key: str = "comment_id",
                      order: Sequence[Column] | None = None) -> DataFrame:
     """Rows whose key has not landed yet, one per key; rows with a blank key always pass."""
-    tidy = incoming.withColumn("_key", F.trim(F.coalesce(F.col(key), F.lit(""))))
+    tidy = incoming.withColumn("_key", strip(F.coalesce(F.col(key), F.lit(""))))
     blank = is_blank(F.col("_key"))
     fresh = first_per_key(tidy.filter(~blank), ["_key"], order or arrival_order(incoming))
-    known = landed.select(F.trim(F.col(key)).alias("_key")).distinct()
+    known = landed.select(strip(F.col(key)).alias("_key")).distinct()
     return (fresh.join(known, "_key", "left_anti")
             .unionByName(tidy.filter(blank)).drop("_key"))

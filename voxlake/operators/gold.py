@@ -73,15 +73,11 @@ def touched_dates(rows: DataFrame) -> DataFrame:
     return with_event_date(rows).select("event_date").distinct()
 
 
-def rows_of_dates(silver: DataFrame, dates: DataFrame, listed: int = 1000) -> DataFrame:
+def rows_of_dates(silver: DataFrame, dates: DataFrame) -> DataFrame:
     """Silver rows of the given dates.
 
-    Up to `listed` dates become a plain filter, so a date-partitioned table reads only those
-    partitions. More dates are joined instead. Either way there are no more of them than
-    calendar days, so collecting or broadcasting them does not grow with the data.
+    The dates become a plain filter, so a date-partitioned table reads only those partitions.
+    They are partitions of Silver, whose list the driver holds anyway to plan a read.
     """
-    dated = with_event_date(silver)
-    few = [row.event_date for row in dates.limit(listed + 1).collect()]
-    if len(few) <= listed:
-        return dated.filter(F.col("event_date").isin(few))
-    return dated.join(F.broadcast(dates), "event_date", "left_semi")
+    days = [row.event_date for row in dates.collect()]
+    return with_event_date(silver).filter(F.col("event_date").isin(days))

@@ -3,13 +3,15 @@
 A predictor is any object with predict(list[str]) returning one dict per text with
 positive_score, negative_score and sentiment. A classifier is any callable that returns, per text,
 a list of {label, score}, as text-classification pipelines do; its labels are mapped to the three
-sentiments. A factory builds either of them once per task.
+sentiments. A factory builds either of them once per worker process.
 """
 
+import hashlib
 import logging
 import sys
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from types import ModuleType
 from typing import Any, Protocol
 
 import pandas as pd
@@ -89,24 +91,57 @@ def choose_scorer(settings: ScoringSettings,
     try:
         if model_factory is None:
             raise ValueError("mode 'model' needs a predictor factory")
-        model = model_factory()
+        classifies = _kind_of(model_factory)
     except Exception as failure:
         if not settings.fallback:
             raise
         log.warning("model not available, keyword scorer used instead: %s", failure)
         return Scorer("keyword")
-    return Scorer("model", model_factory, settings.batch_size, not hasattr(model, "predict"))
+    return Scorer("model", model_factory, settings.batch_size, classifies)
+
+
+def _kind_of(factory: Callable[[], Predictor | Classifier]) -> bool:
+    """Whether the factory makes a classifier.
+
+    A factory with an attribute `available`, a cheap check that raises if the model cannot be
+    had, says so in `classifies`; only without one is the model loaded here to find out.
+    """
+    if hasattr(factory, "available"):
+        factory.available()
+        return bool(getattr(factory, "classifies", False))
+    return not hasattr(factory(), "predict")
+
+
+def _once_per_process(key: str, factory: Callable[[], Any]) -> Any:
+    """The factory's model: made once in a worker process, for all its tasks.
+
+    Kept under a module of its own, as this one is pickled by value and comes anew each time.
+    """
+    made = sys.modules.setdefault("_voxlake_models", ModuleType("_voxlake_models")).__dict__
+    if key not in made:
+        made[key] = factory()
+    return made[key]
+
+
+def checked_predictions(rows: list[dict[str, Any]]) -> list[dict[str, Any]]:
+    """The rows, if each is a complete prediction: two scores from 0 to 100, a known sentiment."""
+    for row in rows:
+        good = (row["sentiment"] in SENTIMENTS and all(
+            row[c] is not None and 0 <= row[c] <= 100 for c in ("positive_score", "negative_score")))
+        if not good:
+            raise ValueError(f"not a prediction: {row}")
+    return rows
 
 
 def _batched(text: Column, factory: Callable[[], Any], rows_of: Callable[[Any, list[str]], list],
              fields: StructType, batch_size: int) -> Column:
     """Struct column filled batch by batch. Only the text travels to Python."""
     names = fields.names
+    key = hashlib.sha256(cloudpickle.dumps(factory)).hexdigest()
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        model = None
+        model = _once_per_process(key, factory)
         for texts in batches:
-            model = model or factory()
             rows: list = []
             for start in range(0, len(texts), batch_size):
                 rows.extend(rows_of(model, texts.iloc[start:start + batch_size].tolist()))
@@ -117,7 +152,7 @@ def _batched(text: Column, factory: Callable[[], Any], rows_of: Callable[[Any, l
 
 def predictor_column(text: Column, factory: Callable[[], Predictor], batch_size: int = 16) -> Column:
     """Struct (positive_score, negative_score, sentiment) of a predictor."""
-    return _batched(text, factory, lambda model, texts: model.predict(texts),
+    return _batched(text, factory, lambda model, texts: checked_predictions(model.predict(texts)),
                     PREDICTION_FIELDS, batch_size)
 
 

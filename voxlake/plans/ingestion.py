@@ -22,3 +22,23 @@ def prepare_messages(records: DataFrame, landed: DataFrame | None = None,
         return keyed_messages(require_valid(complete, expected_video)), None
     valid, quarantined = split_valid(complete, expected_video)
     return keyed_messages(valid), quarantined
+
+
+def ingest(records: DataFrame, target: str, landed: DataFrame | None = None,
+           expected_video: str | None = None, skip_invalid: bool = False,
+           default_source: str = UNKNOWN) -> dict[str, int]:
+    """Write messages/ and, with `skip_invalid`, quarantine/ as JSON lines below `target`.
+
+    Both replace what an earlier run of the same target wrote, so a run may be repeated. The
+    counts of the records that came, went out and were set aside are returned.
+    """
+    messages, quarantine = prepare_messages(records, landed, expected_video, skip_invalid,
+                                            default_source)
+    spark = records.sparkSession
+    messages.select("key", "value").write.mode("overwrite").json(f"{target}/messages")
+    counts = {"incoming": records.count(),
+              "published": spark.read.text(f"{target}/messages").count()}
+    if quarantine is not None:
+        quarantine.write.mode("overwrite").json(f"{target}/quarantine")
+        counts["quarantined"] = spark.read.text(f"{target}/quarantine").count()
+    return counts

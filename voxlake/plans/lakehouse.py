@@ -1,5 +1,6 @@
-"""Batch pipeline: Bronze -> Silver -> Gold, in full or for the dates a batch touches."""
+"""Batch pipeline: Bronze -> Silver -> Gold, batch by batch, for the dates a batch touches."""
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -7,25 +8,32 @@ from pyspark.sql import functions as F
 
 from voxlake.functions.slang import SlangTerm
 from voxlake.operators.cleaning import admit, clean_comments, with_clean_text
-from voxlake.operators.dedup import first_per_key
-from voxlake.operators.gold import gold_breakdown, gold_summary, rows_of_dates, with_event_date
+from voxlake.operators.dedup import KEYS, first_per_key
+from voxlake.operators.gold import (
+    gold_breakdown, gold_summary, rows_of_dates, touched_dates, with_event_date)
 from voxlake.operators.scoring import Scorer, score
-from voxlake.schemas import BRONZE, SILVER_STORED
+from voxlake.schemas import BRONZE, BRONZE_STORED, QUARANTINE, SILVER_STORED
 from voxlake.settings import TableLayout
+from voxlake.sources.records import landing_rows
 from voxlake.sources.tables import (
-    append_table, ensure_tables, gather, overwrite_touched, read_table, spread_small)
+    append_table, batch_name, ensure_tables, gather, overwrite_batch, overwrite_touched, read_table,
+    show_written)
 
 KEYWORDS = Scorer("keyword")
 
 
 def silver_comments(bronze: DataFrame, scorer: Scorer = KEYWORDS,
-                    terms: Sequence[SlangTerm] = (), by_date: bool = False) -> DataFrame:
+                    terms: Sequence[SlangTerm] = (), by_date: bool = False,
+                    known: DataFrame | None = None) -> DataFrame:
     """Cleaned, admitted, deduplicated and scored comments, as a table keeps them.
 
     Texts are normalised and scored last: the shuffles carry one text per row, and a slow scorer
     sees no copies. `by_date` gathers the rows by event date on the way, ready to be written.
+    Comments whose key is in `known` are left out.
     """
     unique = first_per_key(admit(bronze))
+    if known is not None:
+        unique = unique.join(known.select(*KEYS), list(KEYS), "left_anti").select(*unique.columns)
     if by_date:
         unique = gather(with_event_date(unique))
     return score(with_clean_text(unique), scorer, terms)
@@ -57,17 +65,46 @@ def refresh_gold(spark: SparkSession, layout: TableLayout, dates: DataFrame | No
     overwrite_touched(gold_breakdown(days), layout.breakdown, layout.fmt)
 
 
-def build_lakehouse(spark: SparkSession, bronze: DataFrame, layout: TableLayout,
-                    scorer: Scorer = KEYWORDS, terms: Sequence[SlangTerm] = ()) -> None:
-    """Fill empty tables from Bronze rows."""
-    ensure_tables(spark, layout)
-    stamped = bronze if "ingested_at" in bronze.columns else bronze.withColumn(
+def land_messages(messages: DataFrame, layout: TableLayout, batch: str) -> None:
+    """Decode messages (column `value`) once: records to Bronze, what is malformed to quarantine.
+
+    The same batch again replaces what it wrote before.
+    """
+    rows = landing_rows(messages).persist()
+    land_records(rows.filter(F.col("record").isNotNull()).select("record.*", "ingested_at"),
+                 layout, batch)
+    overwrite_batch(rows.filter("malformed").select(*QUARANTINE.names[:2]), layout.quarantine,
+                    batch, layout.fmt)
+    rows.unpersist()
+
+
+def land_records(records: DataFrame, layout: TableLayout, batch: str) -> None:
+    stamped = records if "ingested_at" in records.columns else records.withColumn(
         "ingested_at", F.current_timestamp())
-    append_table(stamped.select(*BRONZE.names, F.to_date("ingested_at").alias("ingested_date")),
-                 layout.bronze, layout.fmt, gathered=True)
-    landed = spread_small(read_table(spark, layout.bronze, BRONZE, layout.fmt))
-    silver = silver_comments(landed, scorer, terms, by_date=True)
-    append_table(silver_at_rest(silver), layout.silver, layout.fmt, gathered=True)
-    refresh_gold(spark, layout)
+    overwrite_batch(
+        stamped.select(*BRONZE.names, F.to_date("ingested_at").alias("ingested_date")),
+        layout.bronze, batch, layout.fmt)
+
 
+def build_lakehouse(spark: SparkSession, incoming: DataFrame, layout: TableLayout,
+                    scorer: Scorer = KEYWORDS, terms: Sequence[SlangTerm] = (),
+                    batch: str | None = None) -> str:
+    """Take one batch through the three layers; its name is returned.
 
+    `incoming` are records, or messages with their JSON in `value`. Bronze keeps the batch under
+    its name and replaces it when it comes again; Silver takes the comments whose key it does not
+    have; Gold is recomputed for the dates of the batch. So a batch may overlap earlier ones, and
+    may be repeated after a failure at any point.
+    """
+    batch = batch or uuid.uuid4().hex
+    ensure_tables(spark, layout)
+    land = land_messages if "value" in incoming.columns else land_records
+    land(incoming, layout, batch)
+    landed = (read_table(spark, layout.bronze, BRONZE_STORED, layout.fmt)
+              .filter(F.col("batch_id") == batch_name(batch)).select(*BRONZE.names))
+    known = read_table(spark, layout.silver, SILVER_STORED, layout.fmt)
+    silver = silver_comments(landed, scorer, terms, by_date=True, known=known)
+    append_table(silver_at_rest(silver), layout.silver, layout.fmt, gathered=True)
+    refresh_gold(spark, layout, touched_dates(admit(landed)))
+    show_written(spark, layout)
+    return batch

@@ -21,13 +21,12 @@ BRONZE = T.StructType(RECORD.fields + _struct(("ingested_at", _TS)).fields)
 PREDICTION_FIELDS = _struct(
     ("positive_score", _INT), ("negative_score", _INT), ("sentiment", _STR))
 
-# At rest Bronze carries its partition column.
-BRONZE_STORED = T.StructType(BRONZE.fields + _struct(("ingested_date", T.DateType())).fields)
+# At rest Bronze carries its partition columns.
+BRONZE_STORED = T.StructType(
+    BRONZE.fields + _struct(("batch_id", _STR), ("ingested_date", T.DateType())).fields)
 
-# A prediction is keyed and complete, so nothing in it may be null.
-PREDICTION = _struct(
-    ("video_id", _STR), ("comment_id", _STR),
-    *[(f.name, f.dataType) for f in PREDICTION_FIELDS], nullable=False)
+# Messages that could not be decoded, as they came.
+QUARANTINE = _struct(("value", _STR), ("ingested_at", _TS), ("batch_id", _STR))
 
 SILVER = T.StructType(
     BRONZE.fields

@@ -1,5 +1,7 @@
 """Comment records as they arrive and leave: JSON lines, message values, labelled CSV."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,6 +45,13 @@ def bronze_rows(raw: DataFrame, schema: T.StructType = RECORD, value: str = "val
             .select("record.*").withColumn("ingested_at", F.current_timestamp()))
 
 
+def landing_rows(raw: DataFrame, schema: T.StructType = RECORD, value: str = "value") -> DataFrame:
+    """Decoded messages with the time of ingestion, the malformed among them, for two outputs."""
+    return decode_json(raw, schema, value).select(
+        F.col(value).cast("string").alias("value"), "malformed", "record",
+        F.current_timestamp().alias("ingested_at"))
+
+
 def malformed_rows(raw: DataFrame, schema: T.StructType = RECORD, value: str = "value") -> DataFrame:
     """The text of malformed messages, for quarantine."""
     return (decode_json(raw, schema, value).filter("malformed")
@@ -63,9 +72,15 @@ def publish(messages: DataFrame, fmt: str = "kafka", **options: str) -> None:
     messages.write.format(fmt).mode("append").options(**options).save()
 
 
+def message_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Replay file as messages: one per line, in a column `value`, like a stream's."""
+    return spark.read.text(path)
+
+
 def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Replay file: one record per line, blank lines skipped."""
-    return (spark.read.schema(RECORD).option("timestampFormat", RECORD_TIME_FORMAT).json(path))
+    """The well-formed records of a replay file; blank lines and broken ones are left out."""
+    return (decode_json(message_lines(spark, path)).filter(F.col("record").isNotNull())
+            .select("record.*"))
 
 
 def read_api_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -73,27 +88,33 @@ def read_api_pages(spark: SparkSession, path: str) -> DataFrame:
     return (spark.read.schema(API_PAGE).option("timestampFormat", RECORD_TIME_FORMAT).json(path))
 
 
-MOST_TERMS = 10_000
-
-
 def read_slang(spark: SparkSession, path: str) -> list[SlangTerm]:
     """Lexicon file: a JSON array of {term, normalized}. A missing file is an error.
 
-    Terms become part of the query, so their number is checked.
+    Terms become part of the query: this is configuration, not data.
     """
     rows = (spark.read.option("multiLine", "true").schema("term string, normalized string")
-            .json(path).limit(MOST_TERMS + 1).collect())
-    if len(rows) > MOST_TERMS:
-        raise ValueError(f"more than {MOST_TERMS} slang terms in {path}")
+            .json(path).collect())
     return slang_terms((row.term or "", row.normalized or "") for row in rows)
 
 
 _CSV = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"', "encoding": "UTF-8"}
 
 
-def read_labelled(spark: SparkSession, path: str, schema: T.StructType = LABELLED) -> DataFrame:
-    """Labelled comments: CSV with header, quoted text over several lines, optional BOM."""
-    return spark.read.options(**_CSV).schema(schema).csv(path)
+def read_labelled(spark: SparkSession, path: str, required: Sequence[str] = ("text",),
+                  optional: Sequence[str] = tuple(LABELLED.names)) -> DataFrame:
+    """Labelled comments: CSV with header, quoted text over several lines, optional BOM.
+
+    Columns are found by the names in the header, in any order; all of them are kept, as text.
+    A missing required column fails, a missing optional one is null.
+    """
+    rows = spark.read.options(**_CSV).csv(path)
+    missing = [c for c in required if c not in rows.columns]
+    if missing:
+        raise ValueError(f"no column {', '.join(missing)} in {path}: it has "
+                         f"{', '.join(rows.columns)}")
+    return rows.select("*", *[F.lit(None).cast("string").alias(c)
+                              for c in optional if c not in rows.columns])
 
 
 def write_detail(detail: DataFrame, path: str) -> None:

@@ -3,13 +3,14 @@
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voxlake.schemas import (
     BRONZE_STORED, GOLD_BREAKDOWN, GOLD_SUMMARY, SILVER_STORED, ddl_columns)
 from voxlake.settings import TableLayout
 
-PARTITION_COLUMNS = ("event_date", "ingested_date")
+PARTITION_COLUMNS = ("batch_id", "event_date", "ingested_date")
 
 
 def contracts(layout: TableLayout) -> Iterator[tuple[str, str, T.StructType]]:
@@ -42,26 +43,6 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType,
     return (reader if fmt == "delta" else reader.schema(schema)).load(path).select(*schema.names)
 
 
-SMALL_INPUT = 512 << 20
-
-
-def spread_small(rows: DataFrame, small: int = SMALL_INPUT) -> DataFrame:
-    """Spread a small batch input over all cores before costly work on its texts.
-
-    A few small files, or one row group, would otherwise be one task. Inputs above the size are
-    left alone: they come in enough pieces, and shuffling them would cost more than it gains.
-    """
-    if rows.isStreaming or _estimated_bytes(rows) > small:
-        return rows
-    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
-
-
-def _estimated_bytes(rows: DataFrame) -> int:
-    # the optimizer's own estimate, the one that decides about broadcasts
-    size = rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size))
-
-
 def append_table(rows: DataFrame, path: str, fmt: str = "parquet",
                  gathered: bool = False) -> None:
     """Append. `gathered` says that the rows need no shuffle by partition any more."""
@@ -76,6 +57,23 @@ def overwrite_touched(rows: DataFrame, path: str, fmt: str = "parquet") -> None:
      .save(path))
 
 
+def batch_name(batch: str) -> str:
+    """A batch's name as it can stand in a path."""
+    return "".join(c if c.isalnum() or c in ".-" else "_" for c in batch)
+
+
+def overwrite_batch(rows: DataFrame, path: str, batch: str, fmt: str = "parquet") -> None:
+    """Write the rows of one batch; the same batch again replaces what it wrote before."""
+    by = [c for c in partitioning(rows.schema) if c != "batch_id"]
+    writer = rows.drop("batch_id").write.format(fmt).mode("overwrite").partitionBy(*by)
+    if fmt == "delta":
+        (rows.withColumn("batch_id", F.lit(batch_name(batch))).write.format(fmt).mode("overwrite")
+         .option("replaceWhere", f"batch_id = '{batch_name(batch)}'")
+         .partitionBy(*partitioning(rows.schema)).save(path))
+    else:
+        writer.save(f"{path}/batch_id={batch_name(batch)}")
+
+
 def gather(rows: DataFrame) -> DataFrame:
     """Bring the rows of a partition together, for few well-filled files.
 
@@ -85,17 +83,25 @@ def gather(rows: DataFrame) -> DataFrame:
 
 
 def register_tables(spark: SparkSession, layout: TableLayout) -> None:
-    """(Re)create the database and its external tables over the table paths."""
+    """(Re)create the database and its external tables over the table paths.
+
+    The partitions are found in the folder, not kept in the catalog: that holds for folders which
+    a stream wrote as well, where its commit log says which files count.
+    """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {layout.database} "
               f"LOCATION '{layout.root}/{layout.database}.db'")
     for name, path, schema in contracts(layout):
         table = f"{layout.database}.{name}"
-        by = f"PARTITIONED BY ({', '.join(partitioning(schema))}) "
         spark.sql(f"DROP TABLE IF EXISTS {table}")
         spark.sql(f"CREATE TABLE {table} (\n  {ddl_columns(schema)}\n) "
-                  f"USING {layout.fmt} {by}LOCATION '{path}'")
-        if layout.fmt != "delta":
-            spark.sql(f"MSCK REPAIR TABLE {table}")
+                  f"USING {layout.fmt} LOCATION '{path}'")
+
+
+def show_written(spark: SparkSession, layout: TableLayout) -> None:
+    """Let queries by name see what has been written since, new dates included."""
+    for name, *_ in contracts(layout):
+        if spark.catalog.tableExists(f"{layout.database}.{name}"):
+            spark.catalog.refreshTable(f"{layout.database}.{name}")
 
 
 def list_tables(spark: SparkSession, database: str) -> DataFrame:

@@ -1,11 +1,13 @@
 """Three chained queries: messages -> Bronze -> Silver -> Gold, each with its own checkpoint.
 
-Bronze and Silver are append-only streaming sinks, whose commit log makes a retried batch
-harmless. Gold is refreshed for the dates a batch touches; repeating a refresh changes nothing.
+Messages are decoded once; Bronze and quarantine are written per epoch, and a retried epoch replaces
+what it wrote. Silver is an append-only streaming sink with a commit log. Gold is refreshed for the
+dates a batch touches; repeating a refresh changes nothing.
 Stop a query with its stop() method; it resumes from its checkpoint.
 """
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,11 +17,10 @@ from voxlake.functions.slang import SlangTerm
 from voxlake.operators.cleaning import admit, with_clean_text
 from voxlake.operators.gold import touched_dates
 from voxlake.operators.scoring import Scorer, score
-from voxlake.plans.lakehouse import KEYWORDS, refresh_gold, silver_at_rest
-from voxlake.schemas import BRONZE, BRONZE_STORED, SILVER_STORED
+from voxlake.plans.lakehouse import KEYWORDS, land_messages, refresh_gold, silver_at_rest
+from voxlake.schemas import BRONZE, SILVER_STORED
 from voxlake.settings import TableLayout
-from voxlake.sources.records import bronze_rows, malformed_rows
-from voxlake.sources.tables import ensure_tables, partitioning
+from voxlake.sources.tables import ensure_tables, partitioning, show_written
 from voxlake.streaming.dedup import dedup_stream
 
 
@@ -57,15 +58,31 @@ _IN_MEMORY = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStor
 _ON_DISK = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def keep_state_on_disk(spark: SparkSession) -> None:
-    """Exact dedup remembers every key, more than executors have memory for.
+def state_store(spark: SparkSession) -> dict[str, str]:
+    """Settings for a query that remembers every key, more than executors have memory for.
 
-    A store chosen by the user stays. Queries keep the store they were first started with.
+    A store chosen by the user stays: then there are none.
     """
-    if spark.conf.get(STATE_STORE, _IN_MEMORY).endswith("HDFSBackedStateStoreProvider"):
-        spark.conf.set(STATE_STORE, _ON_DISK)
-        spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled",
-                       "true")
+    if not spark.conf.get(STATE_STORE, _IN_MEMORY).endswith("HDFSBackedStateStoreProvider"):
+        return {}
+    return {STATE_STORE: _ON_DISK,
+            "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
+
+
+@contextmanager
+def _settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
+    """Session settings while a query starts; it keeps them, other queries do not see them."""
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def _sink(rows: DataFrame, layout: TableLayout, schema) -> DataStreamWriter:
@@ -74,16 +91,14 @@ def _sink(rows: DataFrame, layout: TableLayout, schema) -> DataStreamWriter:
 
 
 def start_bronze(messages: DataFrame, layout: TableLayout, once: bool = False) -> StreamingQuery:
-    """Well-formed messages into Bronze."""
-    rows = bronze_rows(messages).withColumn("ingested_date", F.to_date("ingested_at"))
-    return _start(_sink(rows, layout, BRONZE_STORED), layout, "bronze", once, layout.bronze)
+    """Well-formed messages into Bronze, malformed ones into quarantine, in one pass."""
+    def land(batch: DataFrame, epoch: int) -> None:
+        # the id stays the same when the query goes on from its checkpoint
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        land_messages(batch, layout, f"{query}-{epoch}")
+        show_written(batch.sparkSession, layout)
 
-
-def start_quarantine(messages: DataFrame, layout: TableLayout,
-                     once: bool = False) -> StreamingQuery:
-    """Malformed messages, as they came."""
-    writer = malformed_rows(messages).writeStream.format(layout.fmt).outputMode("append")
-    return _start(writer, layout, "quarantine", once, layout.quarantine)
+    return _start(messages.writeStream.foreachBatch(land), layout, "bronze", once)
 
 
 def silver_stream(bronze: DataFrame, scorer: Scorer = KEYWORDS, terms: Sequence[SlangTerm] = (),
@@ -96,21 +111,26 @@ def silver_stream(bronze: DataFrame, scorer: Scorer = KEYWORDS, terms: Sequence[
 
 
 def start_silver(spark: SparkSession, layout: TableLayout, scorer: Scorer = KEYWORDS,
-                 terms: Sequence[SlangTerm] = (), bounded: bool = False, spread: int = 16,
-                 files_per_date: int = 32, once: bool = False, **options: str) -> StreamingQuery:
-    """Bronze into Silver.
+                 terms: Sequence[SlangTerm] = (), bounded: bool = False, spread: int | None = None,
+                 once: bool = False, **options: str) -> StreamingQuery:
+    """Bronze into Silver; texts are derived after the last shuffle, that of the dedup.
 
-    spread           tasks that share the copies of one hot key; 0 turns that off
-    files_per_date   files a batch adds to one date at most; 0 leaves it to the dedup partitions
+    spread   tasks that share the copies of one hot key, as many as the session has shuffle
+             partitions if none are given; 0 turns that off
     """
-    keep_state_on_disk(spark)
+    if spread is None:
+        spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
     bronze = table_stream(spark, layout.bronze, BRONZE, layout.fmt, **options)
     rows = silver_stream(bronze, scorer, terms, bounded,
                          _copy_number(layout.fmt, spread) if spread else None)
-    if files_per_date:
-        part = F.pmod(F.xxhash64("video_id", "comment_id"), F.lit(files_per_date))
-        rows = rows.repartition("event_date", part)
-    return _start(_sink(rows, layout, SILVER_STORED), layout, "silver", once, layout.silver)
+    with _settings(spark, state_store(spark)):
+        return _start(_sink(rows, layout, SILVER_STORED), layout, "silver", once, layout.silver)
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that the query's recent batches have dropped behind the watermark."""
+    return sum(operator["numRowsDroppedByWatermark"] for progress in query.recentProgress
+               for operator in progress["stateOperators"])
 
 
 def _copy_number(fmt: str, spread: int) -> Column:
@@ -130,6 +150,7 @@ def start_gold(spark: SparkSession, layout: TableLayout, once: bool = False,
 
     def refresh(batch: DataFrame, _epoch: int) -> None:
         refresh_gold(batch.sparkSession, layout, touched_dates(batch))
+        show_written(batch.sparkSession, layout)
 
     writer = silver.select("event_date").writeStream.outputMode("update").foreachBatch(refresh)
     return _start(writer, layout, "gold", once, every=every)
