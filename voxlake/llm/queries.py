@@ -11,6 +11,7 @@ from voxlake.llm.quality_classifier import quality_scores
 from voxlake.llm.repeated_passages import without_repeats
 from voxlake.llm.sanitisation import KINDS, sanitisation, span_text
 from voxlake.llm.source_mixing import mixing_rates
+from voxlake.llm.storage import ship_package
 from voxlake.llm.token_counts import edit_aware_counts
 from voxlake.llm.top_k import top_k
 from voxlake.llm.toxicity import toxicity_scores
@@ -25,6 +26,7 @@ def query(build: Query) -> Query:
     """Register under the function's name."""
     def run(spark: SparkSession, sf: str) -> DataFrame:
         lend_shared_folder(spark)
+        ship_package(spark)
         return build(spark, sf)
 
     QUERIES[build.__name__] = run

@@ -1,9 +1,28 @@
-"""Tables written once in the shared folder, to be read more than once."""
+"""What operators need of a cluster: tables in the shared folder, and this package on executors."""
 
-from pyspark.sql import DataFrame
+import tempfile
+import zipfile
+from pathlib import Path
+
+from pyspark.sql import DataFrame, SparkSession
 
 from voxlake.settings import shared_folder
 
+_shipped: set[str] = set()  # applications that have the package
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package to the executors, which need not have it installed. Once a session."""
+    application = spark.sparkContext.applicationId
+    if application not in _shipped:
+        root = Path(__file__).resolve().parents[1]
+        file = Path(tempfile.mkdtemp(prefix="run-")) / f"{root.name}.zip"  # the driver serves it
+        with zipfile.ZipFile(file, "w") as archive:
+            for source in root.rglob("*.py"):
+                archive.write(source, source.relative_to(root.parent))
+        spark.sparkContext.addPyFile(str(file))
+        _shipped.add(application)
+
 
 def kept(rows: DataFrame, purpose: str) -> DataFrame:
     """The rows, written below spark.checkpoint.dir and read again: lineage ends here.
