@@ -298,10 +298,6 @@ PAGE_ENTITIES = {"&middot;": "·", "&copy;": "©", "&quot;": '"'}
 
 FLAGS = ["1", "TRUE", " yes ", "y", "On", "0", "no", "", "2", None]
 LABELS = ["POS", " neg ", "Neutral", "1 star", "3 stars", "5 stars", "LABEL_0", "1", "2"]
-MEANINGS = ["positive", "negative", "neutral", "negative", "neutral", "positive", "negative",
-            "neutral", "positive"]
-
-
 def oracle_sql() -> dict[str, str]:
     sql: dict[str, str] = {}
     sql["json_decode"] = """
@@ -368,7 +364,11 @@ SELECT comment_id, like_count, reply_count, is_reply FROM ({fields(
                            f"positive_hits FROM ({fields(C_SENT)})")
     scores = "comment_id, positive_score, negative_score, sentiment"
     sql["keyword_sentiment"] = f"SELECT {scores} FROM ({scored(admitted(C_SENT))})"
-    sql["score_batches"] = sql["keyword_sentiment"]
+    sql["score_batches"] = f"""
+SELECT comment_id, share positive_score, 100 - share negative_score, CASE WHEN share > 40
+  THEN 'positive' WHEN share > 30 THEN 'neutral' ELSE 'negative' END sentiment
+FROM (SELECT comment_id, CAST(100 * length(regexp_replace(text_clean, '[^aeiou]', '', 'g'))
+  // length(text_clean) AS INT) share FROM ({admitted(C_SENT)}))"""
     sql["keyword_confidence"] = f"""
 SELECT comment_id, CASE WHEN p + n = 0 THEN 0.0 ELSE CAST(greatest(p, n) AS DOUBLE) / (p + n) END
   confidence
@@ -390,8 +390,9 @@ SELECT comment_id, {', '.join(
     sql["slang_sentiment"] = f"""
 SELECT {scores} FROM ({scored(
         f"SELECT *, {scoring_text()} reads FROM ({admitted(C_SLANG)})", 'reads')})"""
-    sql["normalize_label"] = (f"SELECT doc_id, {case_of(MEANINGS, 'doc_id % 9')} sentiment "
-                              f"FROM documents")
+    sql["normalize_label"] = """
+SELECT doc_id, CASE WHEN toxic = 1 THEN 'negative' WHEN quality = 1 THEN 'positive'
+  ELSE 'neutral' END sentiment FROM documents JOIN labels USING (doc_id)"""
     up, down = hits("text_clean", POSITIVE_KEYWORDS), hits("text_clean", NEGATIVE_KEYWORDS)
     sql["score_argmax"] = f"""
 SELECT comment_id, CASE WHEN p >= q AND p >= n THEN 'positive' WHEN q >= n THEN 'neutral'
@@ -407,7 +408,7 @@ SELECT comment_id, {seconds('coalesce(collected_at, event_time)')} collected_at,
   {strip('text')} AS text
 FROM ({C_FLAWED})"""
     sql["parse_bool"] = """
-SELECT event_id, event_id % 10 < 5 flag, CAST(floor(value) AS BIGINT) % 3 <> 0 number_flag
+SELECT event_id, CAST(json_extract_string(props, '$.k') AS INT) % 10 < 5 flag, CAST(floor(value) AS BIGINT) % 3 <> 0 number_flag
 FROM events"""
     sql["html_unescape"] = f"""
 SELECT page_id, regexp_replace({unescaped('html', PAGE_ENTITIES)}, '&amp;?', '&', 'g') html

@@ -22,7 +22,7 @@ from voxlake.operators import scoring as SC
 from voxlake.operators import validation as VAL
 from voxlake.operators.cleaning import clean_comments, clean_fields
 from voxlake.operators.dedup import first_per_key
-from voxlake.operators.scoring import KeywordPredictor, Scorer, score, with_hits
+from voxlake.operators.scoring import Scorer, score, with_hits
 from voxlake.operators.threads import flatten_threads
 from voxlake.plans.lakehouse import (
     build_lakehouse, land_messages, refresh_gold, scored_comments, silver_at_rest, silver_comments)
@@ -359,11 +359,12 @@ def record_defaults(spark, sf):
 
 @query
 def parse_bool(spark, sf):
+    """Spellings chosen by the number in the event's JSON, and the event's value as a number."""
     flags = ["1", "TRUE", " yes ", "y", "On", "0", "no", "", "2", None]
-    n = F.col("event_id")
-    flag = F.element_at(F.array(*[F.lit(x) for x in flags]), (n % 10 + 1).cast("int"))
+    spelled = F.element_at(F.array(*[F.lit(x) for x in flags]), (F.get_json_object(
+        "props", "$.k").cast("int") % 10 + 1))
     return V.table(spark, sf, "events").select(
-        "event_id", C.parse_bool(flag).alias("flag"),
+        "event_id", C.parse_bool(spelled).alias("flag"),
         C.number_is_true(F.floor("value") % 3).alias("number_flag"))
 
 
@@ -669,9 +670,18 @@ def eval_summary(spark, sf):
 
 @query
 def score_batches(spark, sf):
-    """The predictor form of the keyword scorer, run on the executors."""
+    """A predictor that is no built-in expression, run on the executors: it weighs vowels."""
+    class Vowels:
+        def predict(self, texts):
+            rows = []
+            for text in texts:
+                share = 100 * sum(c in "aeiou" for c in text) // max(1, len(text))
+                rows.append({"positive_score": share, "negative_score": 100 - share, "sentiment":
+                             "positive" if share > 40 else "neutral" if share > 30 else "negative"})
+            return rows
+
     comments = clean_comments(V.sentiments(spark, sf))
-    return score(comments, Scorer("keyword predictor", KeywordPredictor)).select(
+    return score(comments, Scorer("vowels", Vowels)).select(
         "comment_id", "positive_score", "negative_score", "sentiment")
 
 

@@ -120,8 +120,15 @@ def corrections(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def raw_labels(spark: SparkSession, sf: str) -> DataFrame:
-    """One label spelling per document."""
-    spellings = ["POS", " neg ", "Neutral", "1 star", "3 stars", "5 stars", "LABEL_0", "1", "2"]
-    label = F.element_at(F.array(*[F.lit(s) for s in spellings]),
-                         (F.col("doc_id") % len(spellings) + 1).cast("int"))
-    return table(spark, sf, "documents").select("doc_id", label.alias("label"))
+    """The labels in several spellings: toxic negative, else by quality; by length of the text."""
+    spellings = {"positive": ["POS", "5 stars", "2"], "neutral": ["Neutral", "3 stars", "1"],
+                 "negative": [" neg ", "1 star", "LABEL_0"]}
+    meaning = (F.when(F.col("toxic") == 1, "negative").when(F.col("quality") == 1, "positive")
+               .otherwise("neutral"))
+    label = F.lit(None).cast("string")
+    for sentiment, choice in spellings.items():
+        spelled = F.element_at(F.array(*[F.lit(s) for s in choice]),
+                               (F.col("n_chars") % len(choice) + 1).cast("int"))
+        label = F.when(meaning == sentiment, spelled).otherwise(label)
+    return (table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id")
+            .select("doc_id", label.alias("label")))
