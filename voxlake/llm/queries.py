@@ -12,7 +12,7 @@ from voxlake.llm.repeated_passages import without_repeats
 from voxlake.llm.sanitisation import KINDS, sanitisation, span_text
 from voxlake.llm.source_mixing import mixing_rates
 from voxlake.llm.storage import ship_package
-from voxlake.llm.token_counts import edit_aware_counts
+from voxlake.llm.token_counts import COUNTS, edit_aware_counts
 from voxlake.llm.top_k import top_k
 from voxlake.llm.toxicity import toxicity_scores
 from voxlake.llm.url_filter import Rule, url_host, url_verdicts
@@ -122,5 +122,5 @@ CLEANING = [(r"[\w.%+-]+@[\w-]+(?:\.[\w-]+)+", "<email>"), (r"([$%&#*!])\1+", ""
 
 @query
 def op8_token_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return edit_aware_counts(table(spark, sf, "documents"), CLEANING, TOKENIZER, PRE_TOKENS).select(
-        "doc_id", "n_before", "n_edits", "n_encoded", "n_tokens")
+    return edit_aware_counts(table(spark, sf, "documents"), CLEANING, TOKENIZER, PRE_TOKENS,
+                             columns=COUNTS)

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import base64
 import functools
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from pathlib import Path
 
 import numpy as np
@@ -62,19 +62,18 @@ def built_tree(text: str, own: Tokenizer, leaf: int = LEAF) -> tuple[np.ndarray,
 
     Leaf i is tree[len(tree) // 2 + i]. A text without pre-tokens has one empty leaf.
     """
-    pieces = own.pattern.findall(text)
-    ends = np.concatenate([[0], np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))])
-    n = np.concatenate([[0], np.cumsum(
-        np.fromiter(map(own.counts.__getitem__, pieces), np.int64, len(pieces)))])
-    cuts = np.append(np.arange(0, max(1, len(pieces)), leaf), len(pieces))
-    width = 1 << int(len(cuts) - 2).bit_length()
+    pieces, count = own.pattern.findall(text), own.counts.__getitem__
+    groups = [pieces[i:i + leaf] for i in range(0, max(1, len(pieces)), leaf)]
+    starts = np.zeros(len(groups) + 1, np.int64)
+    np.cumsum([len("".join(group)) for group in groups], out=starts[1:])
+    width = 1 << (len(groups) - 1).bit_length()
     tree = np.zeros(2 * width, np.int64)
-    tree[width:width + len(cuts) - 1] = np.diff(n[cuts])
+    tree[width:width + len(groups)] = [sum(map(count, group)) for group in groups]
     level = width
     while level > 1:
         tree[level // 2:level] = tree[level:2 * level:2] + tree[level + 1:2 * level:2]
         level //= 2
-    return ends[cuts], tree
+    return starts, tree
 
 
 def usable_edits(edits: list[dict], size: int) -> list[tuple[int, int, str]]:
@@ -170,11 +169,18 @@ def token_trees(docs: DataFrame, path: str, pattern: str, leaf: int = LEAF) -> D
     return docs.mapInArrow(work, ", ".join([*kinds, "n_tokens long", TREE]))
 
 
-def after_edits(rows: DataFrame, path: str, pattern: str) -> DataFrame:
-    """(id, n_before, n_edits, n_encoded, n_tokens, starts, tree, text) once the edits are made.
+RESULT = {"id": "long", "n_before": "long", "n_edits": "long", "n_encoded": "long",
+          "n_tokens": "long", "starts": "array<long>", "tree": "array<long>", "text": "string"}
+COUNTS = ("id", "n_before", "n_edits", "n_encoded", "n_tokens")
+
+
+def after_edits(rows: DataFrame, path: str, pattern: str, columns: Sequence[str] = tuple(RESULT)
+                ) -> DataFrame:
+    """The given columns of RESULT once the edits are made.
 
     rows: id, text, starts, tree and edits (start, end, text), in code points of the old text.
-    Null edits count as none. n_encoded are the pre-tokens that had to be encoded.
+    Null edits count as none. n_encoded are the pre-tokens that had to be encoded; starts, tree
+    and text are those after the edits.
     """
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tokenizer(path, pattern)
@@ -189,14 +195,14 @@ def after_edits(rows: DataFrame, path: str, pattern: str) -> DataFrame:
                 out.append((int(old[1]), len(edits), n, int(tree[1]), starts, tree,
                             edited(text, edits)))
             kinds = [pa.int64()] * 4 + [pa.list_(pa.int64())] * 2 + [pa.string()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), *[pa.array([x[k] for x in out], t)
-                                       for k, t in enumerate(kinds)]],
-                ["id", "n_before", "n_edits", "n_encoded", "n_tokens", "starts", "tree", "text"])
+            found = {"id": batch.column("id")} | {
+                name: pa.array([x[k] for x in out], kind)
+                for k, (name, kind) in enumerate(zip(list(RESULT)[1:], kinds, strict=True))
+                if name in columns}
+            yield pa.RecordBatch.from_arrays([found[c] for c in columns], list(columns))
 
     return rows.select("id", "text", "starts", "tree", "edits").mapInArrow(
-        work, f"id long, n_before long, n_edits long, n_encoded long, n_tokens long, {TREE}, "
-              "text string")
+        work, ", ".join(f"{c} {RESULT[c]}" for c in columns))
 
 
 def pattern_edits(docs: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
@@ -216,13 +222,14 @@ def pattern_edits(docs: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
 
 
 def edit_aware_counts(docs: DataFrame, rules: list[tuple[str, str]], path: str, pattern: str,
-                      id: str = "doc_id", text: str = "text", leaf: int = LEAF) -> DataFrame:
-    """One row per row of docs: id, n_before, n_edits, n_encoded, n_tokens, starts, tree, text.
+                      id: str = "doc_id", text: str = "text", leaf: int = LEAF,
+                      columns: Sequence[str] = tuple(RESULT)) -> DataFrame:
+    """One row per row of docs: the given columns of RESULT, of which id is one.
 
     The edits are those of `pattern_edits`; of two that overlap, the one that starts later is left
     out. Null and empty texts have no tokens and no edits. Ids must be distinct integers; a row
     without one gives no row. Other columns are ignored.
     """
     docs = pattern_edits(texts_of(docs, id, text), rules)
-    return after_edits(token_trees(docs, path, pattern, leaf), path, pattern).withColumnRenamed(
-        "id", id)
+    return after_edits(token_trees(docs, path, pattern, leaf), path, pattern,
+                       columns).withColumnRenamed("id", id)
