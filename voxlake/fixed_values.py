@@ -33,6 +33,12 @@ TRUE_SPELLINGS = ("1", "true", "yes", "y", "on")
 RECORD_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ssX"
 LATENESS = "2 days"
 
+# fixed values: patterns of links, escapes written out, and stretched letters
+LINK = r"https?://\S+|www\.\S+"
+ESCAPE = r"\\u[0-9a-fA-F]{4}|\\U[0-9a-fA-F]{8}"
+STRETCH = r"([a-z])\1{2,}"
+STRETCHED_WORD = r"^[a-z]*([a-z])\1{2,}[a-z]*$"
+
 # fixed values: hosts whose links carry a video id, and the source name of API records
 WATCH_HOST = "youtube.com"
 SHORT_HOST = "youtu.be"

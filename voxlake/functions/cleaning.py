@@ -7,7 +7,7 @@ stay. `strip` cuts the blanks of any script off the ends.
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from voxlake.fixed_values import TRUE_SPELLINGS
+from voxlake.fixed_values import LINK, TRUE_SPELLINGS
 
 UNKNOWN = "unknown"
 ANY_BLANK = r"[\t-\r\x1c-\x1f\x85\p{Z}]+"
@@ -30,7 +30,7 @@ def blank_to(text: Column, default: str | None = None) -> Column:
 def normalize_text(text: Column) -> Column:
     """Lower case, links removed, blanks squeezed."""
     without_links = F.regexp_replace(
-        F.lower(F.coalesce(text, F.lit(""))), r"https?://\S+|www\.\S+", " ")
+        F.lower(F.coalesce(text, F.lit(""))), LINK, " ")
     return squeeze(without_links)
 
 

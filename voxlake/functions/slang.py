@@ -10,13 +10,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from voxlake.fixed_values import SLANG
+from voxlake.fixed_values import ESCAPE, SLANG, STRETCH, STRETCHED_WORD
 from voxlake.functions.cleaning import ANY_BLANK, normalize_text
 
 # U+10000 is a letter anyway; named outright it makes Java look back by characters, not half ones
 WORD = "[\\p{L}\\p{N}_\U00010000]"
-ESCAPE = r"\\u[0-9a-fA-F]{4}|\\U[0-9a-fA-F]{8}"
-STRETCH = r"([a-z])\1{2,}"
 # A surrogate half is no character of its own; it shows as the replacement character.
 HALF = "�"
 
@@ -78,7 +76,7 @@ def expand_stretched(text: Column) -> Column:
     word_edge = rf"(?<={WORD})(?!{WORD})|(?<!{WORD})(?={WORD})"
 
     def expand(token: Column) -> Column:
-        stretched = token.rlike(r"^[a-z]*([a-z])\1{2,}[a-z]*$")
+        stretched = token.rlike(STRETCHED_WORD)
         collapsed = F.regexp_replace(token, STRETCH, "$1")
         return F.when(stretched, F.concat(token, F.lit(" "), collapsed)).otherwise(token)
 
