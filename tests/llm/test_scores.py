@@ -146,7 +146,8 @@ def test_descent_is_projected_least_squares(spark):
     rates = M._rates(p, history)
     target = np.array(weights) * n.sum()
     best = np.ones(80)
-    whiten = np.linalg.inv((p * n[:, None]).T @ p)
+    whiten = (p * n[:, None]).T @ p
+    whiten = np.linalg.inv(whiten + 1e-3 * np.trace(whiten) / 3 * np.eye(3))
     for _ in range(60):
         best = np.maximum(0, best - p @ whiten @ ((best * n) @ p - target))
     assert (rates == 0).any()

@@ -6,9 +6,11 @@ whose expected domain totals  sum r n p  (n tokens, p posterior) are the target
 corpus's tokens: nonnegative least squares, by projected gradient from r = 1.
 
 The step is a gradient in rates weighted by tokens, against residuals whitened by the domains' Gram
-matrix  sum n p p', so its Lipschitz constant is 1 and the step size needs no search:
+matrix  sum n p p', so its Lipschitz constant is at most 1 and the step size needs no search:
 
-    y = Gram^-1 (totals - target),   r <- max(0, r - p y)
+    y = (Gram + ridge)^-1 (totals - target),   r <- max(0, r - p y)
+
+The ridge keeps rates within reason where the posteriors hardly tell two domains apart.
 
 Rates are never stored between steps. They follow from the posteriors and the short history of y, so
 a step is one aggregation of a few numbers, and a lost executor loses nothing.
@@ -28,6 +30,7 @@ from voxlake.llm.storage import kept
 
 STEPS = 60
 TOLERANCE = 1e-6  # of all tokens
+RIDGE = 1e-3  # of the mean of the Gram matrix's diagonal
 
 
 def domain_posteriors(docs: DataFrame, labels: DataFrame, domains: int, sample: int = SAMPLE
@@ -74,11 +77,16 @@ def gram_matrix(rows: DataFrame, domains: int) -> np.ndarray:
     return np.array([x or 0.0 for x in found]).reshape(domains, domains)
 
 
+def whitening(gram: np.ndarray) -> np.ndarray:
+    ridge = RIDGE * np.trace(gram) / len(gram)
+    return np.linalg.pinv(gram + ridge * np.eye(len(gram)), hermitian=True)
+
+
 def descent(rows: DataFrame, weights: list[float], steps: int = STEPS,
             tolerance: float = TOLERANCE) -> np.ndarray:
     """The history of y: at most `steps`, fewer once every total is right to the tolerance."""
     domains = len(weights)
-    gram = np.linalg.pinv(gram_matrix(rows, domains), hermitian=True)
+    gram = whitening(gram_matrix(rows, domains))
     history = np.zeros((0, domains))
     tokens = rows.agg(F.sum("n_words")).first()[0] or 0
     target = np.array(weights) / sum(weights) * tokens
