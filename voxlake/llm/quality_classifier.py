@@ -9,6 +9,7 @@ averages, so it needs just one number for each row and class.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,28 +30,42 @@ RATE = 0.3
 SHARE = 8.0  # how much faster rows of the table move than the softmax does
 
 
-def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(word bucket, its text, n-gram bucket, its text); n-gram buckets follow the words'."""
-    n = len(offsets) - 1
+Group = tuple[np.ndarray, np.ndarray]  # buckets, and where each text's begin
+
+
+def features(data: np.ndarray, offsets: np.ndarray) -> tuple[list[Group], list[Group]]:
+    """Buckets of words, and of n-grams of each size; those of n-grams follow the words'."""
+    n, size = len(offsets) - 1, np.diff(offsets)
     starts, ends, owner = X.words(data, offsets, X.UNSPACED)
-    sums = X.prefix_sums(data)
-    hashes = X.span_hashes(sums, starts, ends)
-    buckets = (hashes & np.uint64(BUCKETS - 1)).astype(np.int64)
+    hashes = X.span_hashes(X.prefix_sums(data), starts, ends)
+    words = (hashes & np.uint64(BUCKETS - 1)).astype(np.int64)
     if len(hashes):
         same = np.concatenate([[False], (hashes[1:] == hashes[:-1]) & (owner[1:] == owner[:-1])])
-        buckets[same] = 0
-    text = np.repeat(np.arange(n), np.diff(offsets))
-    grams, owners = [], []
-    for size in GRAMS:
-        count = max(0, len(data) - size + 1)
-        key = np.full(count, np.uint64(size))
-        for i in range(size):
-            key = (key << np.uint64(8)) | data[i:i + count].astype(np.uint64)
-        whole = text[:count] == text[size - 1:]
-        key = (key[whole] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)
-        grams.append(BUCKETS + (key & np.uint64(BUCKETS - 1)).astype(np.int64))
-        owners.append(text[:count][whole])
-    return buckets, owner, np.concatenate(grams), np.concatenate(owners)
+        words[same] = 0
+    wide, grams = data.astype(np.uint32), []
+    for length in GRAMS:
+        count = max(0, len(data) - length + 1)
+        key = np.full(count, length, np.uint32)
+        for i in range(length):
+            key = (key << np.uint32(8)) ^ (key >> np.uint32(24)) ^ wide[i:i + count]
+        whole = np.ones(count, bool)  # but for those that reach into the next text
+        for back in range(1, length):
+            edges = offsets[1:-1] - back
+            whole[edges[(edges >= 0) & (edges < count)]] = False
+        key = (key[whole] * np.uint32(0x9E3779B1)) >> np.uint32(16)
+        begin = np.concatenate([[0], np.cumsum(np.maximum(0, size - length + 1))])
+        grams.append((BUCKETS + (key & np.uint32(BUCKETS - 1)).astype(np.int64), begin))
+    return [(words, np.searchsorted(owner, np.arange(n + 1)))], grams
+
+
+def _means(values: np.ndarray, groups: list[Group]) -> np.ndarray:
+    """For each text, the mean of its buckets' values over all groups; 0 without any."""
+    total = count = 0
+    for buckets, begin in groups:
+        sums = np.concatenate([[0.0], np.cumsum(values[buckets], dtype=np.float64)])
+        total = total + sums[begin[1:]] - sums[begin[:-1]]
+        count = count + np.diff(begin)
+    return total / np.maximum(count, 1)
 
 
 @dataclass(frozen=True)
@@ -60,16 +75,18 @@ class Model:
     table: np.ndarray  # buckets x classes
     bias: np.ndarray
 
+    @functools.cached_property
+    def columns(self) -> list[np.ndarray]:
+        """Each class's values over those of class 0, which then adds nothing."""
+        return [np.ascontiguousarray(self.table[:, c] - self.table[:, 0])
+                for c in range(1, self.table.shape[1])]
+
     def scores(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Class probabilities, one row for each text."""
-        n = len(offsets) - 1
-        word, of_word, gram, of_gram = features(data, offsets)
-        out = np.tile(self.bias, (n, 1))
-        for c in range(self.table.shape[1]):
-            column = self.table[:, c]
-            for bucket, owner in ((word, of_word), (gram, of_gram)):
-                total = np.bincount(owner, column[bucket], n)
-                out[:, c] += total / np.maximum(np.bincount(owner, minlength=n), 1)
+        words, grams = features(data, offsets)
+        out = np.tile(self.bias.astype(np.float64), (len(offsets) - 1, 1))
+        for c, values in enumerate(self.columns, 1):
+            out[:, c] += _means(values, words) + _means(values, grams)
         out = np.exp(out - out.max(axis=1, keepdims=True))
         return out / out.sum(axis=1, keepdims=True)
 
@@ -81,8 +98,8 @@ def _examples(docs: DataFrame) -> DataFrame:
             data, offsets = X.packed(batch.column("text"))
             buckets, weights = [], []
             for a in range(len(batch)):
-                word, _, gram, _ = features(*X.cut(data, offsets, a, a + 1))
-                parts = [np.unique(x, return_counts=True) for x in (word, gram)]
+                parts = [np.unique(np.concatenate([x for x, _ in groups]), return_counts=True)
+                         for groups in features(*X.cut(data, offsets, a, a + 1))]
                 buckets.append(np.concatenate([p[0] for p in parts]).astype(np.int32))
                 weights.append(np.concatenate(
                     [p[1] / max(1, p[1].sum()) for p in parts]).astype(np.float32))
