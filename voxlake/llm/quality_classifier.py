@@ -24,7 +24,7 @@ from voxlake.llm.labels import bounded, fold
 BUCKETS = 1 << 16  # for words, and again for n-grams
 GRAMS = (2, 4)
 DIMENSION = 16
-SAMPLE = 4000  # labelled documents at most that a model is fitted on
+SAMPLE = 3000  # labelled documents at most that a model is fitted on
 EPOCHS = 8
 RATE = 0.3
 SHARE = 8.0  # how much faster rows of the table move than the softmax does
@@ -150,9 +150,11 @@ def fitted(docs: DataFrame, labels: DataFrame, classes: int, rows: int = SAMPLE)
     """
     sample = bounded(labels, rows)
     found = _examples(docs.join(F.broadcast(sample), "id")).toArrow().sort_by("id")
-    rows = zip(*(found[c].to_pylist() for c in ("label", "buckets", "weights")), strict=True)
-    return trained([(label, np.frombuffer(b, np.int32), np.frombuffer(w, np.float32))
-                    for label, b, w in rows if b], classes)
+    rows = zip(found["label"].to_pylist(), found["buckets"], found["weights"], strict=True)
+    # views of what Arrow holds, not copies
+    return trained([(label, np.frombuffer(b.as_buffer(), np.int32),
+                     np.frombuffer(w.as_buffer(), np.float32))
+                    for label, b, w in rows if len(b.as_buffer())], classes)
 
 
 def class_scores(docs: DataFrame, model: Model) -> DataFrame:

@@ -84,17 +84,19 @@ def whitening(gram: np.ndarray) -> np.ndarray:
 
 def descent(rows: DataFrame, weights: list[float], steps: int = STEPS,
             tolerance: float = TOLERANCE) -> np.ndarray:
-    """The history of y: at most `steps`, fewer once every total is right to the tolerance."""
+    """The history of y: at most `steps`, fewer once the totals are right, or move no further."""
     domains = len(weights)
     gram = whitening(gram_matrix(rows, domains))
     history = np.zeros((0, domains))
     tokens = rows.agg(F.sum("n_words")).first()[0] or 0
     target = np.array(weights) / sum(weights) * tokens
+    before = np.full(domains, np.inf)
     while len(history) < steps:
         residual = domain_totals(rows, history, domains) - target
-        if np.abs(residual).max() <= tolerance * max(tokens, 1):
+        small = tolerance * max(tokens, 1)
+        if np.abs(residual).max() <= small or np.abs(residual - before).max() <= small:
             break
-        history = np.vstack([history, gram @ residual])
+        history, before = np.vstack([history, gram @ residual]), residual
     return history
 
 
