@@ -15,7 +15,7 @@ from voxlake.settings import lend_shared_folder, local_session, shared_folder  #
 HEADLINES = ("gold_summary", "gold_breakdown", "silver_clean", "keyword_sentiment", "label_prf",
              "score_batches", "slang_sentiment", "dedup_first", "layer_flow_check",
              "hourly_volume")
-RUNS = 5
+RUNS = 3
 
 
 def seconds(spark, name: str, folder: str) -> float:
