@@ -89,3 +89,26 @@ def test_sketches_tell_similarity(similarity):
 
 def test_more_bits_are_allowed_for_less_risk():
     assert N.differing_bits(risk=1e-9) > N.differing_bits(risk=1e-3) > 0
+
+
+@pytest.mark.parametrize("similarity", [10, 30, 50, 80, 85, 95, 100])
+def test_bands_follow_the_similarity(similarity):
+    bands, rows = N.banding(similarity)
+    assert (1 - (similarity / 100) ** rows) ** bands <= N.MISS_RISK
+    assert bands * rows <= N.SAMPLES or rows == 1
+    assert N.banding(85) == (26, 5)
+
+
+def test_lower_similarities_find_all_their_links(documents, prose):
+    rows = []
+    for i in range(60):  # 196 runs of words each; 20 differ: 0.815, or 60 differ: 0.53
+        base = prose(200, 100 + i)
+        rows += [(10 * i, base), (10 * i + 1, varied(base, range(20, 60, 10))),
+                 (10 * i + 2, varied(base, range(10, 190, 15), "OTHER"))]
+    docs = documents(rows)
+    for similarity in (80, 50):
+        found = by_id(N.near_duplicates(docs, similarity=similarity))
+        expected = brute_force(rows, similarity)
+        assert {i: (r.n_shingles, r.component_id, r.kept) for i, r in found.items()} == expected
+        assert all(expected[10 * i + 1][1] == 10 * i for i in range(60))
+    assert brute_force(rows, 85) != brute_force(rows, 80) != brute_force(rows, 50)

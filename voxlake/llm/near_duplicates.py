@@ -33,11 +33,30 @@ from voxlake.llm.storage import kept
 
 WORDS = 5
 SIMILARITY = 85  # in hundredths
-BANDS, ROWS = 26, 5  # a pair at 0.85 shares no band once in four million times
+MISS_RISK = 2.5e-7  # that a pair at the similarity shares no band
+SAMPLES = 130  # at most, where bands of one row do not need more
 SKETCH_WORDS = 8  # of 64 bits
 BLOCK = 256  # classes of a cluster that are compared pair by pair in one go
 
 
+def banding(similarity: int = SIMILARITY, risk: float = MISS_RISK) -> tuple[int, int]:
+    """(bands, rows) at which a pair at the similarity shares no band but for the risk.
+
+    The more rows, the fewer unlike pairs meet: as many as SAMPLES allow.
+    """
+    def needed(rows: int) -> int:
+        agree = (similarity / 100) ** rows
+        return 1 if agree >= 1 else math.ceil(math.log(risk) / math.log1p(-agree))
+
+    rows = 1
+    while (rows + 1) * needed(rows + 1) <= SAMPLES:
+        rows += 1
+    return needed(rows), rows
+
+
+BANDS, ROWS = banding()
+
+
 def differing_bits(similarity: int = SIMILARITY, samples: int = BANDS * ROWS,
                    risk: float = 1e-6) -> int:
     """Most bits in which the sketches of a pair at the similarity differ, but for the risk.
@@ -219,7 +238,8 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text",
     """
     docs = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")).where(
         "id is not null")
-    rows = kept(signatures(docs), "signatures")
+    bands, band_rows = banding(similarity)
+    rows = kept(signatures(docs, bands=bands, rows=band_rows), "signatures")
     name = ["n_shingles", "set_a", "set_b"]
     firsts = rows.where("n_shingles > 0").groupBy(*name).agg(F.min("id").alias("class"))
     own = F.col("id") == F.col("class")
@@ -236,7 +256,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text",
     sets = kept(full_sets(docs, key_bitmap(buckets.select("id").distinct(), "id")).join(
         buckets.select("id").distinct(), "id", "left_semi"), "sets")
     sketches = classes.drop("bands")
-    most = differing_bits(similarity)
+    most = differing_bits(similarity, bands * band_rows)
 
     central = buckets.groupBy("id").agg(F.sum("size").alias("rank"))
     pivots = (buckets.join(central, "id").groupBy("bucket")

@@ -39,7 +39,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 @query
 def op4_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
-    return near_duplicates(table(spark, sf, "documents"))
+    return near_duplicates(table(spark, sf, "documents"), similarity=85)
 
 
 @query
