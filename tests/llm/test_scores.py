@@ -108,6 +108,23 @@ def test_unseen_everywhere_says_nothing(spark):
     assert abs(other[1]) < 1 and list(empty) == [0, 0]
 
 
+def test_ratios_are_found_by_exact_grams(spark):
+    n = 200_000
+    table = T.lookup(spark.range(n).selectExpr("id * 77773 + 5 gram", "double(id) ratio", "1L n"), "gram")
+    keys = np.arange(n, dtype=np.uint64) * np.uint64(77773)
+    assert (table.find(keys + np.uint64(5)) == np.arange(n)).all()
+    assert np.isnan(table.find(keys + np.uint64(6))).all()
+
+
+def test_ratios_in_parts_give_the_same_scores(spark, documents, corpus, monkeypatch):
+    rows, marks = corpus
+    docs, known = documents(rows[:200] + ODD), labels(spark, marks[:200])
+    whole = by_id(T.toxicity_scores(docs, known))
+    monkeypatch.setattr(T, "PART", 1 << 10)
+    parts = by_id(T.toxicity_scores(docs, known))
+    assert {i: r.score for i, r in parts.items()} == pytest.approx({i: r.score for i, r in whole.items()})
+
+
 def test_features_do_not_depend_on_neighbours():
     import pyarrow as pa
     texts = ["one two two", None, "", "Ünïcode  x", "two two one"]

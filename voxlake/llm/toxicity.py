@@ -20,7 +20,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxlake.llm import textops as X
@@ -30,7 +31,7 @@ from voxlake.llm.storage import kept
 
 ORDER = 6
 DISCOUNT = 0.75
-SLOTS = 1 << 22  # of the tables that scoring looks n-grams up in
+PART = 1 << 21  # n-grams, about, in one part of the ratios that scoring looks up
 WINDOW = 16
 CALIBRATION = 20_000  # labelled texts at most that the curve is fitted on
 MERGE = 1 << 22  # n-grams that a task holds before it passes them on
@@ -59,10 +60,6 @@ def grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return key & kept_bits[np.minimum(depth, ORDER - 1)], np.repeat(owner, size)
 
 
-def _slots(keys: np.ndarray) -> np.ndarray:
-    return (keys * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(42)) & np.uint64(SLOTS - 1)
-
-
 def class_counts(texts: DataFrame) -> DataFrame:
     """(gram, toxic, ordinary): counts over the texts (text, label), summed over all of them."""
     def merged(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
@@ -170,34 +167,94 @@ def likelihood_ratios(counts: DataFrame, discount: float = DISCOUNT
     return seen, unseen
 
 
-def lookup(ratios: DataFrame, key: str) -> np.ndarray:
-    """A table of fixed size: the mean ratio of the grams of each slot, nan where there is none."""
-    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+_NONE = np.uint64(0xFFFFFFFFFFFFFFFF)  # no n-gram is as large
+
+
+@dataclass(frozen=True)
+class Table:
+    """Ratios by exact n-gram: a hash table that steps to the next slot where one is taken."""
+
+    keys: np.ndarray
+    ratios: np.ndarray
+    bits: int
+
+    @classmethod
+    def of(cls, keys: np.ndarray, ratios: np.ndarray) -> Table:
+        bits = max(1, (2 * len(keys)).bit_length())
+        home = _home(keys, bits)
+        order = np.argsort(home, kind="stable")
+        steps = np.arange(len(keys))
+        at = np.maximum.accumulate(home[order] - steps) + steps
+        size = max(1 << bits, int(at[-1]) + 1 if len(at) else 0) + 1  # the last slot stays empty
+        table = cls(np.full(size, _NONE), np.zeros(size, np.float32), bits)
+        table.keys[at], table.ratios[at] = keys[order], ratios[order]
+        return table
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The ratio of each key, nan where there is none."""
+        out = np.full(len(keys), np.nan, np.float32)
+        left, at = np.arange(len(keys)), _home(keys, self.bits)
+        while len(left):
+            here = self.keys[at]
+            hit = here == keys[left]
+            out[left[hit]] = self.ratios[at[hit]]
+            on = ~hit & (here != _NONE)
+            left, at = left[on], at[on] + 1
+        return out
+
+
+def _home(keys: np.ndarray, bits: int) -> np.ndarray:
+    return (keys * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _part(contexts: np.ndarray, parts: int) -> np.ndarray:
+    return X.mixed(contexts) % np.uint64(parts)
+
+
+def lookup(ratios: DataFrame, key: str, part: int = 0, parts: int = 1) -> Table:
+    """The ratios of one part; a gram is in the part of its context, so both are found together."""
+    shift = np.uint64(8 if key == "gram" else 0)
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = _slots(batch.column(key).to_numpy().view(np.uint64)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(at), batch.column("ratio"), batch.column("n")], ["slot", "ratio", "n"])
+            contexts = batch.column(key).to_numpy().view(np.uint64) >> shift
+            yield batch.filter(pa.array(_part(contexts, parts) == part))
 
-    found = (ratios.mapInArrow(slots, "slot long, ratio double, n long").groupBy("slot")
-             .agg((F.sum(F.col("ratio") * F.col("n")) / F.sum("n")).cast("float").alias("ratio"))
-             .select(F.col("slot").cast("int").alias("slot"), "ratio").toArrow())
-    table = np.full(SLOTS, np.nan, np.float32)
-    table[found["slot"].to_numpy()] = found["ratio"].to_numpy()
-    return table
+    ratios = ratios.select(key, F.col("ratio").cast("float").alias("ratio"))
+    found = (ratios.mapInArrow(own, ratios.schema) if parts > 1 else ratios).toArrow()
+    return Table.of(found[key].to_numpy().view(np.uint64), found["ratio"].to_numpy())
 
 
 @dataclass(frozen=True)
 class Model:
-    seen: np.ndarray
-    unseen: np.ndarray
-
-    def measures(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """(mean ratio of the best window, of the text) for each text; 0 for very short texts."""
+    """One part of the ratios, the only one if there are no more."""
+
+    seen: Table
+    unseen: Table
+    part: int = 0
+    parts: int = 1
+
+    def ratios(self, key: np.ndarray) -> np.ndarray:
+        """The ratio at each place; 0 at those of the other parts."""
+        if self.parts > 1:
+            out = np.zeros(len(key), np.float32)
+            own = np.flatnonzero(_part(key >> np.uint64(8), self.parts) == self.part)
+            out[own] = Model(self.seen, self.unseen).ratios(key[own])
+            return out
+        ratio = self.seen.find(key)
+        rest = np.flatnonzero(np.isnan(ratio))
+        ratio[rest] = np.nan_to_num(self.unseen.find(key[rest] >> np.uint64(8)))
+        return ratio
+
+    def measures(self, data: np.ndarray, offsets: np.ndarray, others: np.ndarray | float = 0
+                 ) -> np.ndarray:
+        """(mean ratio of the best window, of the text) for each text; 0 for very short texts.
+
+        others: the ratios that the other parts have found.
+        """
         n = len(offsets) - 1
         key, text = grams(data, offsets)
-        ratio = self.seen[_slots(key)]
-        rest = np.isnan(ratio)
-        ratio[rest] = np.nan_to_num(self.unseen[_slots(key[rest] >> np.uint64(8))])
+        ratio = self.ratios(key) + others
         out = np.zeros((n, 2))
         if len(key):
             sums = np.concatenate([[0.0], np.cumsum(ratio, dtype=np.float64)])
@@ -213,24 +270,57 @@ class Model:
         return out
 
 
-def measured(docs: DataFrame, model: Model) -> DataFrame:
-    """docs (id, text, ...) with columns peak and mean in place of the text."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size
+def models(spark: SparkSession, seen: DataFrame, unseen: DataFrame, n: int) -> list[Broadcast]:
+    """The parts of the ratios, of bounded size each, for about n grams."""
+    parts = max(1, -(-n // PART))
+    if parts > 1:
+        seen, unseen = kept(seen, "seen"), kept(unseen, "unseen")
+    return [spark.sparkContext.broadcast(Model(
+        lookup(seen, "gram", k, parts), lookup(unseen, "context", k, parts), k, parts))
+        for k in range(parts)]
+
+
+def measured(docs: DataFrame, parts: list[Broadcast]) -> DataFrame:
+    """docs (id, text, ...) with columns peak and mean in place of the text.
+
+    A pass over the texts for each part; what is found at the places of a text goes on to the next.
+    """
     rest = [c for c in docs.columns if c != "text"]
+    kinds = dict(docs.dtypes)
+    head = ", ".join(f"{c} {kinds[c]}" for c in rest)
+
+    def others(batch: pa.RecordBatch) -> np.ndarray | float:
+        if "found" not in batch.schema.names:
+            return 0
+        return np.frombuffer(b"".join(batch.column("found").to_pylist()), np.float32)
+
+    def passed_on(model: Broadcast):
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for whole in batches:
+                for batch in X.slices(whole, X.PIECE):
+                    key, text = grams(*X.packed(batch.column("text")))
+                    ratio = model.value.ratios(key) + others(batch)
+                    places = np.searchsorted(text, np.arange(len(batch) + 1))
+                    found = [ratio[a:b].astype(np.float32).tobytes()
+                             for a, b in zip(places[:-1], places[1:], strict=True)]
+                    yield pa.RecordBatch.from_arrays(
+                        [*[batch.column(c) for c in rest], batch.column("text"),
+                         pa.array(found, pa.binary())], [*rest, "text", "found"])
+        return work
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = X.packed(batch.column("text"))
-            found = [shared.value.measures(*X.cut(data, offsets, a, b))
-                     for a, b in X.pieces(offsets)]
+            found = [last.value.measures(*X.packed(piece.column("text")), others(piece))
+                     for piece in X.slices(batch, X.PIECE)]
             found = np.concatenate(found or [np.zeros((0, 2))])
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in rest], pa.array(found[:, 0]), pa.array(found[:, 1])],
                 [*rest, "peak", "mean"])
 
-    kinds = dict(docs.dtypes)
-    return docs.mapInArrow(work, ", ".join([*[f"{c} {kinds[c]}" for c in rest],
-                                            "peak double", "mean double"]))
+    *before, last = parts
+    for model in before:
+        docs = kept(docs.mapInArrow(passed_on(model), f"{head}, text string, found binary"), "found")
+    return docs.mapInArrow(work, f"{head}, peak double, mean double")
 
 
 def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-2, steps: int = 50) -> np.ndarray:
@@ -268,14 +358,14 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text
     counted = usable.where(~fold("id").isin(held_out, curve_fold))
     counts = kept(class_counts(joined(docs, counted)), "grams")
     seen, unseen = likelihood_ratios(counts)
-    model = Model(lookup(seen, "gram"), lookup(unseen, "context"))
+    parts = models(docs.sparkSession, seen, unseen, counts.count())
 
     sample = F.broadcast(bounded(usable.where(fold("id") == curve_fold), CALIBRATION))
-    fit = measured(docs.join(sample, "id"), model).select("peak", "mean", "label").toArrow()
+    fit = measured(docs.join(sample, "id"), parts).select("peak", "mean", "label").toArrow()
     peak, mean, marked = (fit[c].to_numpy().astype(float) for c in ("peak", "mean", "label"))
     weights = [float(w) for w in logistic(np.column_stack([peak, mean]), marked)]
     score = 1 / (1 + F.exp(-(weights[0] + weights[1] * F.col("peak")
                              + weights[2] * F.col("mean"))))
-    return measured(docs, model).withColumn("score", score).select(
+    return measured(docs, parts).withColumn("score", score).select(
         F.col("id").alias(id), (fold("id") == held_out).alias("held_out"), "score",
         F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"), "peak", "mean")
