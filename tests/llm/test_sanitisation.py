@@ -69,6 +69,24 @@ def test_terms_that_disclose_are_found(documents):
     assert masked[300].text is None and masked[301].text == "" and masked[0].text == corpus()[0][1]
 
 
+def test_terms_disclose_from_anywhere(documents):
+    """Far from the address or near it, with digits, and wherever they stand again."""
+    far = " ".join(["common", "words"] * 40)
+    rows = [(i, f"{far} number {i}") for i in range(30)]
+    rows += [(100 + i, f"Zorblax and room77 {i} {far} bob@mail.example.com {far} ZORBLAX, 55443 {far}")
+             for i in range(2)]
+    rows += [(102, f"bob@mail.example.com Zorblax room77 {far} zorblax 55443"),
+             (103, f"bob@mail.example.com {far} room77 55443 and Zorblax"), (104, f"Zorblax {far}")]
+    found = by_id(S.sanitisation(documents(rows)))
+    for i, text in rows:
+        added = [(text[s.start:s.end], s.kind) for s in found[i].added]
+        hidden = [w for w in re.findall("[0-9A-Za-z]+", text) if w.lower() in (
+            "zorblax", "room77", "55443")] if 100 <= i < 104 else []
+        assert [w for w, _ in added if w != "and"] == hidden
+        assert all(kind == ("generalise" if w.lower() == "zorblax" else "remove")
+                   for w, kind in added)
+
+
 def test_thresholds(documents):
     docs = documents(corpus())
     few = S.sanitisation(docs, support=5).where("size(added) > 0").count()

@@ -1,18 +1,18 @@
 """Personal data, and the terms around it that give it away.
 
 Base spans are e-mail and IP addresses, card and phone numbers, found by their form. Hiding them is
-not enough if a word next to them speaks for them anyway. Over the whole corpus, the pointwise mutual
+not enough if a word of the same document speaks for them anyway. Over the whole corpus, the pointwise mutual
 information of a term and an entity says how much of the entity's own information (the surprise at
 meeting it in a document) the term gives: their ratio is the disclosure, 1 if the term never stands
-in a document without the entity. In documents that hold the entity, terms near it are generalised
-from one threshold on and removed from a second.
+in a document without the entity. In documents that hold the entity, such a term is generalised
+wherever it stands, from one threshold on, and removed from a second.
 
     p(t) = documents with the term / all documents, p(e) likewise,
-    p(t, e) = documents where the term stands within `reach` words of the entity / all documents
+    p(t, e) = documents with both / all documents
     disclosure = log(p(t, e) / (p(t) p(e))) / -log p(e)
 
-A term counts only with `support` different texts that have it near the entity: in one text, every
-rare word would give the entity away.
+A term is a word of letters and digits. It counts only with `support` different texts that have it
+and the entity: in one text, every rare word would give the entity away.
 """
 
 from __future__ import annotations
@@ -22,15 +22,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxlake.llm import textops as X
 from voxlake.llm.bitmap import key_bitmap, passes
+from voxlake.llm.labels import joined
 from voxlake.llm.storage import kept
 
 KINDS = ("email", "ip", "card", "phone")
-REACH = 10  # words on either side
 SUPPORT = 3
 GENERALISE, REMOVE = 0.8, 0.95
 
@@ -41,8 +42,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-_TERM = re.compile("[A-Za-z\u0080-\U0010ffff]+")
-_LETTERS = X.byte_class(lambda b: 97 <= b <= 122 or b >= 128)
+_TERM = re.compile("[0-9A-Za-z\u0080-\U0010ffff]+")  # as X.ALPHANUMERIC has it
 _LOWER = {c: c + 32 for c in range(65, 91)}
 
 
@@ -91,21 +91,14 @@ def _entity(text: str, kind: str) -> str:
     return kind + ":" + (text.lower() if kind in ("email", "ip") else _digits(text))
 
 
-def _near(text: str, spans: list[tuple[int, int, str]], reach: int
-          ) -> list[tuple[int, int, int]]:
-    """(span, start, end) of the terms within `reach` terms of each span and outside all spans."""
+def _free(text: str, spans: list[dict]) -> list[tuple[int, int]]:
+    """(start, end) of the terms outside all spans."""
     terms = [m.span() for m in _TERM.finditer(text)]
     covered = np.zeros(len(terms), bool)
     starts, ends = np.array([t[0] for t in terms], int), np.array([t[1] for t in terms], int)
-    for a, b, _ in spans:
-        covered[np.searchsorted(ends, a, "right"):np.searchsorted(starts, b)] = True
-    free = np.flatnonzero(~covered)
-    out = []
-    for i, (a, b, _) in enumerate(spans):
-        left = np.searchsorted(ends[free], a, "right")
-        right = np.searchsorted(starts[free], b)
-        out += [(i, *terms[j]) for j in free[max(0, left - reach):right + reach]]
-    return out
+    for s in spans:
+        covered[np.searchsorted(ends, s["start"], "right"):np.searchsorted(starts, s["end"])] = True
+    return [terms[i] for i in np.flatnonzero(~covered)]
 
 
 def _hashes(texts: list[str]) -> np.ndarray:
@@ -113,36 +106,50 @@ def _hashes(texts: list[str]) -> np.ndarray:
     return X.span_hashes(X.prefix_sums(data), offsets[:-1], offsets[1:])
 
 
+def _terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, text) of every term of the texts."""
+    data = X.LOWER[data]
+    starts, ends, owner = X.words(data, offsets, X.ALPHANUMERIC)
+    return X.span_hashes(X.prefix_sums(data), starts, ends), owner
+
+
 _SPAN = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string())])
-_TERMS = pa.struct([("entity", pa.int64()), ("term", pa.int64()),
-                    ("start", pa.int64()), ("end", pa.int64())])
 SPANS = "array<struct<start:bigint,end:bigint,kind:string>>"
 
 
-def mentions(docs: DataFrame, reach: int = REACH) -> DataFrame:
-    """(id, base, terms) of every document; terms are the (entity, term, start, end) near spans."""
+def mentions(docs: DataFrame) -> DataFrame:
+    """(id, name, base, entities, words) of every document; no words where there are no spans."""
+    longs = pa.list_(pa.int64())
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            base, near = [], []
+            base, names, sizes = [], [], []
             for text in batch.column("text"):
                 text = text.as_py() or ""
                 spans = base_spans(text)
-                terms = _near(text, spans, reach) if spans else []
                 base.append([dict(start=a, end=b, kind=k) for a, b, k in spans])
-                if terms:
-                    entities = _hashes([_entity(text[a:b], k) for a, b, k in spans]).view(np.int64)
-                    names = _hashes([text[a:b].translate(_LOWER) for _, a, b in terms])
-                    near.append([dict(entity=int(entities[i]), term=int(t), start=a, end=b)
-                                 for (i, a, b), t in zip(terms, names.view(np.int64), strict=True)])
-                else:
-                    near.append([])
+                found = {_entity(text[a:b], k) for a, b, k in spans}
+                names += found
+                sizes.append(len(found))
+            ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            data, offsets = X.packed(pc.if_else(
+                pa.array(ends[1:] > ends[:-1]), batch.column("text"), pa.scalar("")))
+            words, places = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
+            for a, b in X.pieces(offsets):
+                hashes, owner = _terms(*X.cut(data, offsets, a, b))
+                own, at = X.distinct_per_text(hashes, owner, b - a)
+                words.append(own)
+                places.append(at[1:] + places[-1][-1])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("name"), pa.array(base, pa.list_(_SPAN)),
-                 pa.array(near, pa.list_(_TERMS))], ["id", "name", "base", "terms"])
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(
+                     _hashes(names).view(np.int64))),
+                 pa.ListArray.from_arrays(pa.array(np.concatenate(places).astype(np.int32)), pa.array(
+                     np.concatenate(words).view(np.int64))).cast(longs)],
+                ["id", "name", "base", "entities", "words"])
 
     return docs.select("id", F.xxhash64("text").alias("name"), "text").mapInArrow(
-        work, f"id long, name long, base {SPANS}, "
-              "terms array<struct<entity:bigint,term:bigint,start:bigint,end:bigint>>")
+        work, f"id long, name long, base {SPANS}, entities array<long>, words array<long>")
 
 
 def documents_with(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
@@ -152,10 +159,7 @@ def documents_with(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
             texts, offsets = X.packed(batch.column("text"))
             found = [np.zeros(0, np.uint64)]
             for a, b in X.pieces(offsets):
-                data, places = X.cut(texts, offsets, a, b)
-                data = X.LOWER[data]
-                starts, ends, owner = X.words(data, places, _LETTERS)
-                terms = X.span_hashes(X.prefix_sums(data), starts, ends)
+                terms, owner = _terms(*X.cut(texts, offsets, a, b))
                 hit = passes(wanted, terms)
                 found.append(X.distinct_per_text(terms[hit], owner[hit], b - a)[0])
             terms, n = np.unique(np.concatenate(found), return_counts=True)
@@ -166,46 +170,100 @@ def documents_with(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
             .groupBy("term").agg(F.sum("n").alias("n")))
 
 
-def disclosures(rows: DataFrame, docs: DataFrame, support: int = SUPPORT,
-                least: float = GENERALISE) -> DataFrame:
-    """(entity, term, disclosure) from `least` on, over the mentions of all documents."""
-    total = docs.count()
-    each = rows.select("id", "name", F.explode("terms").alias("t")).select(
-        "id", "name", "t.entity", "t.term").distinct()
+def recurring(rows: DataFrame, total: int, support: int) -> tuple[DataFrame, DataFrame]:
+    """((name, copies, words, entities), (entity, of_entity)) of what can have terms.
+
+    An entity in fewer than `support` different texts has no term, so it is left out. Equal texts
+    are one row with the number of their copies.
+    """
+    firsts = rows.where(F.size("entities") > 0).groupBy("name").agg(
+        F.min("id").alias("id"), F.count("*").alias("copies"))
+    each = kept(rows.select("id", "entities").join(firsts.select("id", "copies"), "id").select(
+        "id", "copies", F.explode("entities").alias("entity")), "entities")
+    entities = kept(each.groupBy("entity").agg(
+        F.sum("copies").alias("of_entity"), F.count("*").alias("texts"))
+        .where((F.col("texts") >= support) & (F.col("of_entity") < total)).drop("texts"), "recurring")
+    texts = each.join(entities, "entity").groupBy("id", "copies").agg(
+        F.collect_list("entity").alias("entities"))
+    return kept(rows.select("id", "name", "words").join(texts, "id").drop("id"), "texts"), entities
+
+
+def disclosures(texts: DataFrame, entities: DataFrame, docs: DataFrame, total: int,
+                support: int = SUPPORT, least: float = GENERALISE) -> DataFrame:
+    """(entity, term, disclosure) from `least` on, over whole documents."""
+    each = texts.select("copies", "words", F.explode("entities").alias("entity")).select(
+        "copies", "entity", F.explode("words").alias("term"))
     pairs = kept(each.groupBy("entity", "term").agg(
-        F.count("*").alias("together"), F.countDistinct("name").alias("texts"))
+        F.sum("copies").alias("together"), F.count("*").alias("texts"))
         .where(F.col("texts") >= support).drop("texts"), "pairs")
     terms = documents_with(docs, key_bitmap(pairs.select("term").distinct(), "term"))
-    entities = each.select("id", "entity").distinct().groupBy("entity").agg(
-        F.count("*").alias("of_entity"))
     surprise = F.log(total / F.col("of_entity"))
     shared = F.log(total * F.col("together") / (F.col("n") * F.col("of_entity")))
     return (pairs.join(terms, "term").join(entities, "entity")
-            .where(surprise > 0).withColumn("disclosure", shared / surprise)
+            .withColumn("disclosure", shared / surprise)
             .where(F.col("disclosure") >= least).select("entity", "term", "disclosure"))
 
 
-def sanitisation(docs: DataFrame, id: str = "doc_id", text: str = "text", reach: int = REACH,
+def disclosing(texts: DataFrame, strong: DataFrame) -> DataFrame:
+    """(name, terms): the terms of each text that disclose one of its entities, and how far."""
+    wanted = key_bitmap(strong.select("term").distinct(), "term")
+
+    def sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = batch.column("words")
+            owner, flat = pc.list_parent_indices(words).to_numpy(), words.flatten().to_numpy()
+            hit = passes(wanted, flat)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("name").take(pa.array(owner[hit])),
+                 batch.column("entities").take(pa.array(owner[hit])), pa.array(flat[hit])],
+                ["name", "entities", "term"])
+
+    found = texts.select("name", "entities", "words").mapInArrow(
+        sieve, "name long, entities array<long>, term long")
+    return (found.select("name", "term", F.explode("entities").alias("entity"))
+            .join(strong, ["entity", "term"])
+            .groupBy("name", "term").agg(F.max("disclosure").alias("disclosure"))
+            .groupBy("name").agg(F.collect_list(F.struct("term", "disclosure")).alias("terms")))
+
+
+def occurrences(docs: DataFrame, remove: float) -> DataFrame:
+    """(id, added): every place outside base spans where one of a document's terms stands."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            added = []
+            for text, base, terms in zip(*(batch.column(c) for c in ("text", "base", "terms")),
+                                         strict=True):
+                text, known = text.as_py(), {t["term"]: t["disclosure"] for t in terms.as_py()}
+                places = _free(text, base.as_py())
+                hashes = _hashes([text[a:b].translate(_LOWER) for a, b in places]).view(np.int64)
+                added.append([
+                    dict(start=a, end=b, kind="remove" if known[t] >= remove else "generalise")
+                    for (a, b), t in zip(places, hashes.tolist(), strict=True) if t in known])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), pa.array(added, pa.list_(_SPAN))], ["id", "added"])
+
+    return docs.select("id", "text", "base", "terms").mapInArrow(work, f"id long, added {SPANS}")
+
+
+def sanitisation(docs: DataFrame, id: str = "doc_id", text: str = "text",
                  support: int = SUPPORT, generalise: float = GENERALISE, remove: float = REMOVE
                  ) -> DataFrame:
     """One row per row of docs: id, base, added; both arrays of (start, end, kind).
 
     Positions are code points, ends exclusive. `base` are the personal data by form, `added` the
-    terms that disclose an entity of the same document: of kind `generalise` or `remove`, by the
+    terms that disclose an entity of the same document, wherever they stand in it: of kind `generalise` or `remove`, by the
     entity they disclose most. Documents without base spans get none. Null and empty texts have
     no spans but count as documents. Ids must be distinct integers; a row without one gives no
     row and counts nowhere. Other columns are ignored, so their names cannot clash.
     """
     docs = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")).where(
         "id is not null")
-    rows = kept(mentions(docs, reach), "mentions")
-    strong = disclosures(rows, docs, support, generalise)
-    added = (rows.select("id", F.explode("terms").alias("t")).select("id", "t.*")
-             .join(strong, ["entity", "term"])
-             .groupBy("id", "start", "end").agg(F.max("disclosure").alias("disclosure"))
-             .groupBy("id").agg(F.sort_array(F.collect_list(F.struct(
-                 "start", "end", F.when(F.col("disclosure") >= remove, "remove")
-                 .otherwise("generalise").alias("kind")))).alias("added")))
+    rows = kept(mentions(docs), "mentions")
+    total = rows.count()
+    texts, entities = recurring(rows, total, support)
+    strong = kept(disclosures(texts, entities, docs, total, support, generalise), "strong")
+    marked = kept(rows.select("id", "name", "base").join(disclosing(texts, strong), "name"), "marked")
+    added = occurrences(joined(docs, marked.drop("name")), remove)
     return rows.select("id", "base").join(added, "id", "left").select(
         F.col("id").alias(id), "base", F.coalesce("added", F.array().cast(SPANS)).alias("added"))
 
