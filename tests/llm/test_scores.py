@@ -171,6 +171,51 @@ def test_descent_is_projected_least_squares(spark):
     assert np.allclose(rates, best)
 
 
+def _least_squares(n, p, target, steps=300_000):
+    """Converged nonnegative least squares, in the metric of the whole Gram matrix."""
+    whiten = np.linalg.inv((p * n[:, None]).T @ p)
+    rates = np.ones(len(n))
+    for _ in range(steps):
+        new = np.maximum(0, rates - p @ whiten @ ((rates * n) @ p - target))
+        if np.abs(new - rates).max() < 1e-13:
+            break
+        rates = new
+    return (rates * n) @ p
+
+
+@pytest.mark.parametrize("weights", [[0.899, 0.1, 0.001], [0.999, 0.0009, 0.0001], [0.05, 0.05, 0.9]])
+def test_rare_domains_reach_what_least_squares_can(spark, weights):
+    rng = np.random.default_rng(5)
+    n = rng.integers(1, 50, 400).astype(float)
+    rare = rng.uniform(0, 4e-3, 400) * (rng.random(400) < 0.05)  # sum n p^2 near 1e-7 of the tokens
+    common = rng.uniform(0.0, 1.0, 400) * (1 - rare)
+    p = np.column_stack([common, 1 - rare - common, rare])
+    rows = spark.createDataFrame([(int(a), [float(x) for x in b]) for a, b in zip(n, p, strict=True)],
+                                 "n_words long, scores array<double>")
+    target = np.array(weights) * n.sum()
+    history, missed = M.settled(rows, weights, M.descent(rows, weights))
+    reached = (M._rates(p, history) * n) @ p
+    assert np.allclose(missed, reached - target, atol=1e-6 * n.sum())
+    best = _least_squares(n, p, target)
+    whiten = np.linalg.inv((p * n[:, None]).T @ p)
+    error = lambda totals: (totals - target) @ whiten @ (totals - target)
+    assert error(reached) <= error(best) * (1 + 1e-3) + 1e-6 * n.sum()
+
+
+def test_rare_targets_are_not_missed(spark):
+    n, rare = np.full(200, 100.0), np.zeros(200)
+    rare[:4] = 2e-3
+    p = np.column_stack([np.linspace(0, 1, 200) * (1 - rare), np.linspace(1, 0, 200) * (1 - rare), rare])
+    rows = spark.createDataFrame([(int(a), [float(x) for x in b]) for a, b in zip(n, p, strict=True)],
+                                 "n_words long, scores array<double>")
+    weights = [0.5, 0.49996, 0.00004 * 4]
+    target = np.array(weights) / sum(weights) * n.sum()
+    _, missed = M.settled(rows, weights, M.descent(rows, weights))
+    assert (np.abs(missed) <= 1e-6 * target).all()
+    begun = (M._rates(p, M.descent(rows, weights)) * n) @ p
+    assert abs(begun[2] - target[2]) > 0.1 * target[2]  # what the steps alone leave
+
+
 def test_mixture_of_nothing(spark, documents):
     none = labels(spark, [])
     assert M.mixing_rates(documents([]), none, F.expr(DOMAIN), {"a": 1.0, "b": 2.0}).count() == 0

@@ -10,7 +10,9 @@ matrix  sum n p p', so its Lipschitz constant is at most 1 and the step size nee
 
     y = (Gram + ridge)^-1 (totals - target),   r <- max(0, r - p y)
 
-The ridge keeps rates within reason where the posteriors hardly tell two domains apart.
+The ridge keeps rates within reason where the posteriors hardly tell two domains apart, but it also
+slows what few documents tell of. So the steps only begin: `settled` ends with the y of least squares
+itself, whose rates are those that differ least from the ones the steps have led to.
 
 Rates are never stored between steps. They follow from the posteriors and the short history of y, so
 a step is one aggregation of a few numbers, and a lost executor loses nothing.
@@ -18,6 +20,7 @@ a step is one aggregation of a few numbers, and a lost executor loses nothing.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +34,11 @@ from voxlake.llm.storage import kept
 STEPS = 60
 TOLERANCE = 1e-6  # of all tokens
 RIDGE = 1e-3  # of the mean of the Gram matrix's diagonal
+CLOSE = 1e-7  # of a domain's target that may be missed
+SLACKS = 1e-2, 1e-4, 1e-6, 1e-8, 1e-9  # how much a change of rates counts beside a missed target
+LENGTHS = 4.0 ** -np.arange(10)  # of a Newton step, tried in one pass
+
+_log = logging.getLogger(__name__)
 
 
 def domain_posteriors(docs: DataFrame, labels: DataFrame, domains: int, sample: int = SAMPLE
@@ -100,6 +108,77 @@ def descent(rows: DataFrame, weights: list[float], steps: int = STEPS,
     return history
 
 
+def _dual(rows: DataFrame, history: np.ndarray, ys: np.ndarray) -> list[tuple]:
+    """(half the squared rates by tokens, totals, Gram matrix of rates above 0) for each last y."""
+    k = ys.shape[1]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((len(ys), 1 + k + k * k))
+        for batch in batches:
+            if len(batch):
+                p, n = _posteriors(batch), batch.column("n_words").to_numpy().astype(float)
+                before = _rates(p, history)
+                for i, y in enumerate(ys):
+                    rate = np.maximum(0.0, before - p @ y)
+                    weighted = p * (n * (rate > 0))[:, None]
+                    sums[i] += np.concatenate([[(n * rate * rate).sum() / 2], (n * rate) @ p,
+                                               (weighted.T @ p).ravel()])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(range(sums.size), pa.int32()), pa.array(sums.ravel())], ["at", "x"])
+
+    out = np.zeros(len(ys) * (1 + k + k * k))
+    for row in rows.select("n_words", "scores").mapInArrow(work, "at int, x double").groupBy(
+            "at").agg(F.sum("x").alias("x")).collect():
+        out[row["at"]] = row["x"]
+    return [(x[0], x[1:1 + k], x[1 + k:].reshape(k, k)) for x in out.reshape(len(ys), -1)]
+
+
+def settled(rows: DataFrame, weights: list[float], history: np.ndarray
+            ) -> tuple[np.ndarray, np.ndarray]:
+    """(history with one y more, tokens by which each domain still misses its target).
+
+    The last y is the minimum of the dual of least squares, found by Newton steps until the gradient
+    is zero for every domain, or floating point finds no lower value: convex, with as many unknowns
+    as domains. Slack falls by degrees, so targets that cannot be met lead to large y step by step. What is still missed then is what no rates of 0 or more can reach.
+    """
+    k = len(weights)
+    gram = gram_matrix(rows, k)
+    tokens = rows.agg(F.sum("n_words")).first()[0] or 0
+    target = np.array(weights) / sum(weights) * tokens
+    scale = 1 / np.sqrt(np.maximum(np.diag(gram), np.finfo(float).tiny))
+
+    def valued(y: np.ndarray, found: tuple, ridge: np.ndarray) -> tuple[float, np.ndarray]:
+        value, totals, _ = found
+        return value + target @ y + y @ ridge @ y / 2, target - totals + ridge @ y
+
+    def lowest(tried: np.ndarray, ridge: np.ndarray) -> tuple[float, np.ndarray, tuple]:
+        each = _dual(rows, history, tried)
+        values = [valued(*pair, ridge)[0] for pair in zip(tried, each, strict=True)]
+        best = int(np.argmin(values))
+        return values[best], tried[best], each[best]
+
+    y = np.zeros(k)
+    found, before = _dual(rows, history, y[None])[0], SLACKS[0]
+    for slack in SLACKS if tokens else ():
+        if (np.abs(found[1] - target) <= CLOSE * target).all():
+            break
+        ridge = slack * gram
+        # a missed target stays as it is if y grows as the slack falls, a met one if y stays
+        value, y, found = lowest(np.array([y, y * (before / slack)]), ridge)
+        before = slack
+        while True:
+            slope = valued(y, found, ridge)[1]
+            curve = (found[2] + ridge) * np.outer(scale, scale)
+            step = -scale * (np.linalg.pinv(curve, rcond=1e-13, hermitian=True) @ (scale * slope))
+            if (np.abs(slope) <= CLOSE * target).all() or not step.any():
+                break
+            found_ = lowest(y + LENGTHS[:, None] * step, ridge)
+            if not found_[0] < value:
+                break
+            value, y, found = found_
+    return np.vstack([history, y]), found[1] - target
+
+
 def mixing_rates(docs: DataFrame, labels: DataFrame, label: Column, weights: dict[str, float],
                  id: str = "doc_id", text: str = "text", sample: int = SAMPLE, steps: int = STEPS
                  ) -> DataFrame:
@@ -108,8 +187,8 @@ def mixing_rates(docs: DataFrame, labels: DataFrame, label: Column, weights: dic
     `label` is a condition on a row of labels that gives the number of its domain in `weights`, or
     null; a repeated id counts for the largest. Tokens are words between blanks. Null, blank and
     empty texts have no tokens and the posterior of the classifier's bias; they get a rate as any
-    other. Targets that no rates reach are met as closely as least squares can after `steps`. No
-    labels: equal posteriors, so equal rates. No documents: no rows. Ids must be distinct integers;
+    other. Targets that no rates reach are met as closely as least squares can; the log has what
+    each domain misses. `steps` bounds the steps before the last one only. No labels: equal posteriors, so equal rates. No documents: no rows. Ids must be distinct integers;
     a row without one gives no row. Other columns are ignored.
     """
     known = (labels.select(F.col(id).cast("long").alias("id"), label.cast("int").alias("label"))
@@ -118,6 +197,8 @@ def mixing_rates(docs: DataFrame, labels: DataFrame, label: Column, weights: dic
     rows = kept(domain_posteriors(texts_of(docs, id, text), known, len(weights), sample),
                 "posteriors")
     history = descent(rows, list(weights.values()), steps)
+    history, missed = settled(rows, list(weights.values()), history)
+    _log.info("tokens beside the target: %s", dict(zip(weights, missed.tolist(), strict=True)))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
