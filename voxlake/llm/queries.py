@@ -1,22 +1,26 @@
 """One registered query per operator: thin, over whole tables, with production parameters."""
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxlake.llm.decontamination import contamination, covered
 from voxlake.llm.near_duplicates import near_duplicates
+from voxlake.llm.periodic_runs import periodic_runs, repeated_tails, run_digest
 from voxlake.llm.quality_classifier import quality_scores
 from voxlake.llm.repeated_passages import without_repeats
 from voxlake.llm.sanitisation import KINDS, sanitisation, span_text
 from voxlake.llm.source_mixing import mixing_rates
 from voxlake.llm.storage import ship_package
+from voxlake.llm.token_alignment import alignment
 from voxlake.llm.token_counts import COUNTS, edit_aware_counts
+from voxlake.llm.token_files import token_files
 from voxlake.llm.top_k import top_k
 from voxlake.llm.toxicity import toxicity_scores
 from voxlake.llm.url_filter import Rule, url_host, url_verdicts
-from voxlake.settings import lend_shared_folder
+from voxlake.settings import lend_shared_folder, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -124,3 +128,30 @@ CLEANING = [(r"[\w.%+-]+@[\w-]+(?:\.[\w-]+)+", "<email>"), (r"([$%&#*!])\1+", ""
 def op8_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return edit_aware_counts(table(spark, sf, "documents"), CLEANING, TOKENIZER, PRE_TOKENS,
                              columns=COUNTS)
+
+
+TOKENIZERS = "/opt/tokenizers"
+END_OF_DOCUMENT = 2
+
+
+def tokenizer_file(name: str, folder: str = TOKENIZERS) -> bytes:
+    """A tokenizer's file, read by the driver; tasks get its content."""
+    return Path(folder, name).read_bytes()
+
+
+@query
+def op11_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    found = token_files(table(spark, sf, "documents"), shared_folder(spark, "token-files"),
+                        tokenizer_file("byte_bpe_50k.json"), END_OF_DOCUMENT)
+    return found.select("doc_id", "start", "n_tokens", F.crc32("tokens").alias("ids_crc32"))
+
+
+@query
+def op12_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    return alignment(table(spark, sf, "documents"), tokenizer_file("byte_bpe_50k.json"),
+                     tokenizer_file("piece_bpe_32k.model"))
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    return run_digest(periodic_runs(table(spark, sf, "documents"), prepared=repeated_tails))

@@ -30,6 +30,15 @@ def packed(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+def packed_bytes(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(data, offsets) of an Arrow array of large binary values without nulls."""
+    _, places, data = values.buffers()
+    offsets = np.frombuffer(places, np.int64)[values.offset:values.offset + len(values) + 1]
+    if data is None or not len(values):
+        return np.zeros(0, np.uint8), np.zeros(len(values) + 1, np.int64)
+    return np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]], offsets - offsets[0]
+
+
 def pieces(offsets: np.ndarray, size: int = PIECE) -> Iterator[tuple[int, int]]:
     """Ranges of texts that hold about `size` bytes each."""
     first, n = 0, len(offsets) - 1
