@@ -42,6 +42,10 @@ def gold_summary(silver: DataFrame) -> DataFrame:
         _mean("collected_delay_seconds").alias("avg_collected_delay_seconds"),
         *[F.count_if(F.col("sentiment") == s).alias(f"{s}_comment_count") for s in SENTIMENTS],
     )
+    return _with_shares(metrics)
+
+
+def _with_shares(metrics: DataFrame) -> DataFrame:
     total = F.col("total_comments")
     shares = {f"{s}_ratio": ratio(F.col(f"{s}_comment_count"), total, 4) for s in SENTIMENTS}
     return metrics.withColumns({
@@ -63,11 +67,62 @@ def gold_breakdown(silver: DataFrame) -> DataFrame:
         F.count_if("is_reply").alias("reply_comment_count"),
         _mean("text_length").alias("avg_text_length"),
     )
+    return _with_ratio(per_sentiment)
+
+
+def _with_ratio(per_sentiment: DataFrame) -> DataFrame:
     total = F.sum("comment_count").over(Window.partitionBy(*GRAIN))
     return (per_sentiment.withColumn("comment_ratio", ratio(F.col("comment_count"), total, 4))
             .select(*GOLD_BREAKDOWN.names))
 
 
+def gold_sums(silver: DataFrame) -> DataFrame:
+    """What Gold adds up, by date, video and sentiment. Sums of pieces of Silver add up to the whole's."""
+    measures = {"like_count": ("likes", "liked"), "reply_count": ("reply_sum", "reply_rows"),
+                "text_length": ("length_sum", "length_rows"),
+                "collected_delay_seconds": ("delay_sum", "delay_rows")}
+    return with_event_date(silver).groupBy(*GRAIN, "sentiment").agg(
+        F.count("*").alias("comments"), F.count_if("is_reply").alias("replies"),
+        *[f(c).alias(name) for c, names in measures.items()
+          for f, name in zip((F.sum, F.count), names, strict=True)])
+
+
+def gold_authors(silver: DataFrame) -> DataFrame:
+    """Who commented on a video on a date. Sets of pieces unite to the whole's."""
+    return with_event_date(silver).select(*GRAIN, "author").distinct()
+
+
+def _mean_of(total: str, rows: str) -> Column:
+    return F.round(F.sum(total) / F.sum(rows), 2)
+
+
+def summary_of_parts(sums: DataFrame, authors: DataFrame) -> DataFrame:
+    """`gold_summary` of the Silver whose pieces these sums and authors are of."""
+    counted = authors.groupBy(*GRAIN).agg(F.count_distinct("author").alias("unique_author_count"))
+    metrics = sums.groupBy(*GRAIN).agg(
+        F.sum("comments").alias("total_comments"),
+        (F.sum("comments") - F.sum("replies")).alias("top_level_comment_count"),
+        F.sum("replies").alias("reply_comment_count"),
+        F.sum("likes").alias("total_likes"),
+        _mean_of("likes", "liked").alias("avg_likes_per_comment"),
+        _mean_of("reply_sum", "reply_rows").alias("avg_reply_count"),
+        _mean_of("length_sum", "length_rows").alias("avg_text_length"),
+        _mean_of("delay_sum", "delay_rows").alias("avg_collected_delay_seconds"),
+        *[F.coalesce(F.sum(F.when(F.col("sentiment") == s, F.col("comments"))), F.lit(0))
+          .alias(f"{s}_comment_count") for s in SENTIMENTS])
+    return _with_shares(metrics.join(counted, list(GRAIN)))
+
+
+def breakdown_of_parts(sums: DataFrame) -> DataFrame:
+    """`gold_breakdown` of the Silver whose pieces these sums are of."""
+    return _with_ratio(sums.groupBy(*GRAIN, "sentiment").agg(
+        F.sum("comments").alias("comment_count"),
+        _mean_of("likes", "liked").alias("avg_likes"),
+        _mean_of("reply_sum", "reply_rows").alias("avg_replies"),
+        F.sum("replies").alias("reply_comment_count"),
+        _mean_of("length_sum", "length_rows").alias("avg_text_length")))
+
+
 def touched_dates(rows: DataFrame) -> DataFrame:
     """The event dates in a batch: at most one short row per calendar day."""
     return with_event_date(rows).select("event_date").distinct()

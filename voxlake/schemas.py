@@ -34,9 +34,35 @@ SILVER = T.StructType(
               ("collected_delay_seconds", _LONG), ("silver_processed_at", _TS)).fields
     + PREDICTION_FIELDS.fields)
 
-# At rest Silver also names its scorer and carries the partition column.
+# At rest Silver also names its scorer and the batch or epoch that brought the row, and carries its
+# partition columns. batch_id says in which piece a row lies: its own batch's, or a compacted one.
 SILVER_STORED = T.StructType(
-    SILVER.fields + _struct(("scorer", _STR), ("event_date", T.DateType())).fields)
+    SILVER.fields + _struct(("scorer", _STR), ("landed_in", _STR), ("batch_id", _STR),
+                            ("event_date", T.DateType())).fields)
+
+# What is behind the watermark, as Bronze had it.
+LATE = T.StructType(BRONZE.fields + _struct(("batch_id", _STR)).fields)
+
+# What Gold is made of: sums that add up over pieces, and sets of authors that unite.
+GOLD_SUMS = _struct(
+    ("event_date", T.DateType()), ("video_id", _STR), ("sentiment", _STR),
+    ("comments", _LONG), ("replies", _LONG),
+    ("likes", _LONG), ("liked", _LONG), ("reply_sum", _LONG), ("reply_rows", _LONG),
+    ("length_sum", _LONG), ("length_rows", _LONG), ("delay_sum", _LONG), ("delay_rows", _LONG),
+    ("batch_id", _STR))
+GOLD_AUTHORS = _struct(
+    ("event_date", T.DateType()), ("video_id", _STR), ("author", _STR), ("batch_id", _STR))
+
+# A batch: how much Bronze holds of it, a checksum of that, where it came from, and the dates to
+# refresh until it is done.
+BATCHES = _struct(
+    ("rows", _LONG), ("content", _STR), ("files", T.ArrayType(_STR)),
+    ("dates", T.ArrayType(T.DateType())), ("done", T.BooleanType()), ("batch_id", _STR))
+
+# An epoch of the Silver stream: rows in, of these late, and the latest time seen.
+PROGRESS = _struct(
+    ("query", _STR), ("epoch", _LONG), ("rows", _LONG), ("late", _LONG), ("latest", _TS),
+    ("batch_id", _STR))
 
 GOLD_SUMMARY = _struct(
     ("event_date", T.DateType()), ("video_id", _STR),

@@ -53,6 +53,31 @@ class TableLayout:
     def quarantine(self) -> str:
         return f"{self.root}/quarantine"
 
+    @property
+    def late(self) -> str:
+        """Rows that came behind the watermark."""
+        return f"{self.root}/late"
+
+    @property
+    def sums(self) -> str:
+        """Partial sums of Gold, one piece for each piece of Silver."""
+        return f"{self.root}/gold_parts/sums"
+
+    @property
+    def authors(self) -> str:
+        """Who commented where, one piece for each piece of Silver."""
+        return f"{self.root}/gold_parts/authors"
+
+    @property
+    def batches(self) -> str:
+        """The manifest: an entry for each batch that has been taken in."""
+        return f"{self.root}/batches"
+
+    @property
+    def progress(self) -> str:
+        """An entry for each epoch of the Silver stream."""
+        return f"{self.root}/progress"
+
     def checkpoint(self, query: str) -> str:
         return f"{self.root}/_checkpoints/{query}"
 

@@ -7,12 +7,25 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voxlake.schemas import (
-    BRONZE_STORED, GOLD_BREAKDOWN, GOLD_SUMMARY, SILVER_STORED, ddl_columns)
+    BATCHES, BRONZE_STORED, GOLD_AUTHORS, GOLD_BREAKDOWN, GOLD_SUMMARY, GOLD_SUMS, LATE, PROGRESS,
+    SILVER_STORED, ddl_columns)
 from voxlake.settings import TableLayout
 
+# The signs that Spark escapes in the folder of a partition, besides control characters.
+_ESCAPED = "\"#%'*/:=?\\\x7f{[]^"
+
 PARTITION_COLUMNS = ("batch_id", "event_date", "ingested_date")
 
 
+def parts(layout: TableLayout) -> Iterator[tuple[str, T.StructType]]:
+    """(path, schema) of the tables that are no table of the catalog: they serve the others."""
+    yield layout.sums, GOLD_SUMS
+    yield layout.authors, GOLD_AUTHORS
+    yield layout.batches, BATCHES
+    yield layout.progress, PROGRESS
+    yield layout.late, LATE
+
+
 def contracts(layout: TableLayout) -> Iterator[tuple[str, str, T.StructType]]:
     """(table name, path, schema) of every table."""
     yield layout.bronze_name, layout.bronze, BRONZE_STORED
@@ -32,7 +45,7 @@ def ensure_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str
 
 
 def ensure_tables(spark: SparkSession, layout: TableLayout) -> None:
-    for _, path, schema in contracts(layout):
+    for path, schema in [*[c[1:] for c in contracts(layout)], *parts(layout)]:
         ensure_table(spark, path, schema, layout.fmt)
 
 
@@ -58,20 +71,29 @@ def overwrite_touched(rows: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 
 def batch_name(batch: str) -> str:
-    """A batch's name as it can stand in a path."""
-    return "".join(c if c.isalnum() or c in ".-" else "_" for c in batch)
+    """A batch's name as it stands in a path; Spark reads the name itself from it.
+
+    Different names never share a folder: a sign that a path cannot hold is escaped, not replaced.
+    """
+    if not batch:
+        raise ValueError("a batch needs a name")
+    return "".join(f"%{ord(c):02X}" if c in _ESCAPED or ord(c) < 32 else c for c in batch)
+
+
+def batch_folder(path: str, batch: str) -> str:
+    return f"{path}/batch_id={batch_name(batch)}"
 
 
 def overwrite_batch(rows: DataFrame, path: str, batch: str, fmt: str = "parquet") -> None:
     """Write the rows of one batch; the same batch again replaces what it wrote before."""
     by = [c for c in partitioning(rows.schema) if c != "batch_id"]
-    writer = rows.drop("batch_id").write.format(fmt).mode("overwrite").partitionBy(*by)
     if fmt == "delta":
-        (rows.withColumn("batch_id", F.lit(batch_name(batch))).write.format(fmt).mode("overwrite")
-         .option("replaceWhere", f"batch_id = '{batch_name(batch)}'")
-         .partitionBy(*partitioning(rows.schema)).save(path))
+        name = batch.replace("'", "''")
+        (rows.withColumn("batch_id", F.lit(batch)).write.format(fmt).mode("overwrite")
+         .option("replaceWhere", f"batch_id = '{name}'").partitionBy("batch_id", *by).save(path))
     else:
-        writer.save(f"{path}/batch_id={batch_name(batch)}")
+        (rows.drop("batch_id").write.format(fmt).mode("overwrite").partitionBy(*by)
+         .save(batch_folder(path, batch)))
 
 
 def gather(rows: DataFrame) -> DataFrame:
@@ -104,6 +126,15 @@ def show_written(spark: SparkSession, layout: TableLayout) -> None:
             spark.catalog.refreshTable(f"{layout.database}.{name}")
 
 
+def list_databases(spark: SparkSession) -> DataFrame:
+    return spark.sql("SHOW DATABASES")
+
+
+def use_database(spark: SparkSession, database: str) -> None:
+    """Names without a database mean tables of this one from now on."""
+    spark.sql(f"USE {database}")
+
+
 def list_tables(spark: SparkSession, database: str) -> DataFrame:
     return spark.sql(f"SHOW TABLES IN {database}").select("namespace", "tableName")
 

@@ -1,11 +1,13 @@
 """Three chained queries: messages -> Bronze -> Silver -> Gold, each with its own checkpoint.
 
-Messages are decoded once; Bronze and quarantine are written per epoch, and a retried epoch replaces
-what it wrote. Silver is an append-only streaming sink with a commit log. Gold is refreshed for the
-dates a batch touches; repeating a refresh changes nothing.
-Stop a query with its stop() method; it resumes from its checkpoint.
+Messages are decoded once. Each table is written per epoch, and a retried epoch replaces what it wrote.
+Silver and what Gold is made of are the same pieces that batch builds write, so both may feed one lake,
+and dates may be compacted between runs. Gold is merged for the dates whose pieces are new;
+repeating that changes nothing. `stop_gracefully` lets running epochs end; a query resumes from its
+checkpoint.
 """
 
+import time
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
@@ -13,15 +15,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from voxlake.fixed_values import LATENESS
 from voxlake.functions.slang import SlangTerm
 from voxlake.operators.cleaning import admit, with_clean_text
-from voxlake.operators.gold import touched_dates
 from voxlake.operators.scoring import Scorer, score
-from voxlake.plans.lakehouse import KEYWORDS, land_messages, refresh_gold, silver_at_rest
-from voxlake.schemas import BRONZE, SILVER_STORED
+from voxlake.plans.lakehouse import KEYWORDS, land_messages, silver_at_rest
+from voxlake.plans.landing import land_epoch, merge_gold
+from voxlake.schemas import BRONZE, GOLD_SUMS
 from voxlake.settings import TableLayout
-from voxlake.sources.tables import ensure_tables, partitioning, show_written
+from voxlake.sources.swaps import finish_swaps
+from voxlake.sources.tables import ensure_tables, show_written
 from voxlake.streaming.dedup import dedup_stream
+from voxlake.streaming.late import split_epoch
 
 
 def message_stream(spark: SparkSession, source: str = "text", **options: str) -> DataFrame:
@@ -44,13 +49,13 @@ def table_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet",
 
 
 def _start(writer: DataStreamWriter, layout: TableLayout, name: str, once: bool,
-           path: str | None = None, every: str | None = None) -> StreamingQuery:
+           every: str | None = None) -> StreamingQuery:
     writer = writer.queryName(name).option("checkpointLocation", layout.checkpoint(name))
     if once:
         writer = writer.trigger(availableNow=True)
     elif every:
         writer = writer.trigger(processingTime=every)
-    return writer.start(path) if path else writer.start()
+    return writer.start()
 
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
@@ -85,17 +90,15 @@ def _settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
                 spark.conf.set(key, value)
 
 
-def _sink(rows: DataFrame, layout: TableLayout, schema) -> DataStreamWriter:
-    return (rows.select(*schema.names).writeStream.format(layout.fmt).outputMode("append")
-            .partitionBy(*partitioning(schema)))
+def _query_id(batch: DataFrame) -> str:
+    """The same when the query goes on from its checkpoint."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
 
 
 def start_bronze(messages: DataFrame, layout: TableLayout, once: bool = False) -> StreamingQuery:
     """Well-formed messages into Bronze, malformed ones into quarantine, in one pass."""
     def land(batch: DataFrame, epoch: int) -> None:
-        # the id stays the same when the query goes on from its checkpoint
-        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        land_messages(batch, layout, f"{query}-{epoch}")
+        land_messages(batch, layout, f"{_query_id(batch)}-{epoch}")
         show_written(batch.sparkSession, layout)
 
     return _start(messages.writeStream.foreachBatch(land), layout, "bronze", once)
@@ -123,8 +126,34 @@ def start_silver(spark: SparkSession, layout: TableLayout, scorer: Scorer = KEYW
     bronze = table_stream(spark, layout.bronze, BRONZE, layout.fmt, **options)
     rows = silver_stream(bronze, scorer, terms, bounded,
                          _copy_number(layout.fmt, spread) if spread else None)
+
+    def land(batch: DataFrame, epoch: int) -> None:
+        finish_swaps(batch.sparkSession, layout.root)
+        land_epoch(batch, layout, _query_id(batch), epoch)
+        show_written(batch.sparkSession, layout)
+
     with _settings(spark, state_store(spark)):
-        return _start(_sink(rows, layout, SILVER_STORED), layout, "silver", once, layout.silver)
+        return _start(rows.writeStream.outputMode("append").foreachBatch(land), layout, "silver", once)
+
+
+def start_silver_keeping_late(spark: SparkSession, layout: TableLayout, scorer: Scorer = KEYWORDS,
+                              terms: Sequence[SlangTerm] = (), lateness: str = LATENESS,
+                              once: bool = False, **options: str) -> StreamingQuery:
+    """Bronze into Silver; rows behind the watermark go to the table of late rows instead.
+
+    The watermark of an epoch is the latest time of collection that earlier epochs have seen, but not
+    beyond their ingestion, less `lateness`. It is kept in the progress table, so a retried epoch finds
+    the same. Keys are looked up in Silver; the query keeps no state of its own.
+    """
+    bronze = table_stream(spark, layout.bronze, BRONZE, layout.fmt, **options)
+
+    def land(batch: DataFrame, epoch: int) -> None:
+        session, query = batch.sparkSession, _query_id(batch)
+        finish_swaps(session, layout.root)
+        split_epoch(batch, layout, query, epoch, scorer, terms, lateness)
+        show_written(session, layout)
+
+    return _start(bronze.writeStream.foreachBatch(land), layout, "silver", once)
 
 
 def late_rows(query: StreamingQuery) -> int:
@@ -142,18 +171,35 @@ def _copy_number(fmt: str, spread: int) -> Column:
 
 def start_gold(spark: SparkSession, layout: TableLayout, once: bool = False,
                every: str | None = None, **options: str) -> StreamingQuery:
-    """Refresh Gold for the dates in each new piece of Silver.
+    """Merge Gold for the dates of each new piece of Silver.
 
-    A refresh reads whole days, so `every` ("10 minutes") is worth setting on big tables.
+    The stream is that of the pieces' sums: a row for each date, video and sentiment of an epoch or
+    batch, wherever it came from. Silver itself is not read.
     """
-    silver = table_stream(spark, layout.silver, SILVER_STORED, layout.fmt, **options)
+    sums = table_stream(spark, layout.sums, GOLD_SUMS, layout.fmt,
+                        **{"ignoreMissingFiles": "true", **options})
 
-    def refresh(batch: DataFrame, _epoch: int) -> None:
-        refresh_gold(batch.sparkSession, layout, touched_dates(batch))
+    def merge(batch: DataFrame, _epoch: int) -> None:
+        merge_gold(batch.sparkSession, layout, [
+            r.event_date for r in batch.select("event_date").distinct().collect()])
         show_written(batch.sparkSession, layout)
 
-    writer = silver.select("event_date").writeStream.outputMode("update").foreachBatch(refresh)
-    return _start(writer, layout, "gold", once, every=every)
+    writer = sums.select("event_date").writeStream.outputMode("update").foreachBatch(merge)
+    return _start(writer, layout, "gold", once, every)
+
+
+def stop_gracefully(queries: Sequence[StreamingQuery], patience: float = 600) -> None:
+    """Let each query end the epoch it is in, in the given order, then stop it.
+
+    What an earlier query has still written is left to the later ones' next start, or to the epochs
+    that they run meanwhile. After `patience` seconds a query is stopped in its epoch, which is then
+    repeated.
+    """
+    for query in queries:
+        until = time.monotonic() + patience
+        while query.isActive and query.status["isTriggerActive"] and time.monotonic() < until:
+            time.sleep(0.05)
+        query.stop()
 
 
 def run_available(spark: SparkSession, messages: DataFrame, layout: TableLayout,
