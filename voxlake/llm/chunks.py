@@ -11,7 +11,7 @@ import functools
 import itertools
 import json
 import os
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -21,23 +21,30 @@ import tokenizers
 
 from voxlake.llm import textops as X
 
-CACHED = 400_000  # distinct chunks a worker remembers
+CACHED = 600_000  # distinct chunks a worker remembers
 _BLOCK = 1_000  # chunks encoded as one text
 _BLANKS = b" \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f"
 #: Last bytes of the blanks beyond ASCII: behind such a byte no chunk begins.
 _DOUBTFUL = bytes([*range(0x80, 0x8B), 0x8E, 0x9F, 0xA0, 0xA8, 0xA9, 0xAF])
 _FIRM = X.byte_class(lambda b: b not in _BLANKS and b not in _DOUBTFUL and b > 0x20)
+_LETTER = X.byte_class(lambda b: 65 <= b <= 90 or 97 <= b <= 122)
+_SIGN = X.byte_class(lambda b: 0x21 <= b <= 0x7E and not chr(b).isalnum() and b != 0x27)
 
 
-def chunk_edges(data: np.ndarray, offsets: np.ndarray, begin: bytes = b" \t\n") -> np.ndarray:
+def chunk_edges(data: np.ndarray, offsets: np.ndarray, begin: bytes = b" \t\n",
+                letters: bool = False) -> np.ndarray:
     """Where chunks begin in the texts that `offsets` bound, and the end of the last.
 
     `begin` are the blanks a chunk may begin with; without any each text is one chunk. A text
-    begins a chunk, unless it is empty.
+    begins a chunk, unless it is empty. `letters`: also between an ASCII letter and another sign of
+    ASCII that is no letter, digit, blank or apostrophe.
     """
     start = np.zeros(len(data) + 1, bool)
     if begin and len(data):
         start[1:-1] = _FIRM[data[:-1]] & X.byte_class(lambda b: b in begin)[data[1:]]
+        if letters:
+            letter, sign = _LETTER[data], _SIGN[data]
+            start[1:-1] |= (letter[:-1] & sign[1:]) | (sign[:-1] & letter[1:])
     start[offsets] = True
     return np.flatnonzero(start)
 
@@ -78,25 +85,13 @@ class ByteLevel:
                  and not any(a["lstrip"] or a["rstrip"] or a["single_word"]
                              or set(a["content"]) & set(" \t\n") for a in added))
         self.begin = b" \t\n" if alone else b""
+        self.special = [] if plain else [a["content"].encode() for a in added]
 
-    def encode(self, chunks: Sequence[bytes]) -> list[list[int]]:
-        """Tokens of each chunk. Chunks that may stand in a row are encoded as one text."""
+    def encode(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all chunks, where each chunk's begin and the last's end)."""
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the cores are Spark's
-        rows = [i for i, c in enumerate(chunks) if c[0] in self.begin and _FIRM[c[-1]]]
-        alone = sorted(set(range(len(chunks))) - set(rows))
-        out: list[list[int]] = [[]] * len(chunks)
-        for i, ids in zip(alone, self._ids([chunks[i] for i in alone]), strict=True):
-            out[i] = ids
-        blocks = [rows[i:i + _BLOCK] for i in range(0, len(rows), _BLOCK)]
-        found = self._ids([b"".join([chunks[i] for i in block]) for block in blocks])
-        for block, ids in zip(blocks, found, strict=True):
-            ends = np.cumsum(self.token_sizes[ids])
-            stops = np.searchsorted(ends, np.cumsum([len(chunks[i]) for i in block]), "right").tolist()
-            start = 0
-            for i, stop in zip(block, stops, strict=True):
-                out[i] = ids[start:stop]
-                start = stop
-        return out
+        return _in_blocks(chunks, [_after_blank(c, self.begin) for c in chunks], self._ids,
+                          self.token_sizes)
 
     def _ids(self, texts: list[bytes]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(
@@ -112,10 +107,11 @@ class ByteLevel:
         printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         others = [b for b in range(256) if b not in printable]
         byte = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
-        out = [b""] * (1 + max(vocabulary.values(), default=0))
-        for token, i in vocabulary.items():
-            out[i] = bytes(byte[c] for c in token if c in byte)
+        known = self.tokenizer.get_vocab(with_added_tokens=False)
+        whole = self.tokenizer.get_vocab(with_added_tokens=True)
+        out = [b""] * (1 + max(whole.values(), default=0))
+        for token, i in whole.items():
+            out[i] = bytes(byte[c] for c in token if c in byte) if token in known else token.encode()
         return out
 
 
@@ -131,48 +127,96 @@ class Pieces:
         self.token_bytes = [
             bytes([int(name[3:-1], 16)]) if self.model.is_byte(i)
             else name.replace("▁", " ").encode() for i, name in enumerate(names)]
+        self.token_sizes = np.array([len(t) for t in self.token_bytes], np.int64)
         self.space = self.model.piece_to_id("▁")
         if b" " not in self.begin:
             self.begin = b""
 
-    def encode(self, chunks: Sequence[bytes]) -> list[list[int]]:
-        """Tokens of chunks of a text with a space in front; one that begins otherwise gets none."""
+    def encode(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all chunks, where each chunk's begin and the last's end).
+
+        They are chunks of a text with a space in front, which the library adds again: one that begins
+        otherwise gets none.
+        """
+        return _in_blocks(chunks, [_after_blank(c, b" ") for c in chunks], self._ids,
+                          self.token_sizes)
+
+    def _ids(self, chunks: list[bytes]) -> list[list[int]]:
         texts = [c.decode() for c in chunks]
         found = self.model.encode([t[1:] if t.startswith(" ") else t for t in texts], num_threads=1)
         return [ids if t.startswith(" ") or ids[:1] != [self.space] else ids[1:]
                 for t, ids in zip(texts, found, strict=True)]
 
 
-class Remembered:
-    """What `make` answers for distinct chunks (a list of bytes); at most `most` answers are kept."""
+def _after_blank(chunk: bytes, begin: bytes) -> bool:
+    """Whether a chunk may stand in a row with others: none of its neighbours can change its tokens."""
+    return chunk[0] in begin and bool(_FIRM[chunk[-1]])
+
+
+def _in_blocks(chunks: list[bytes], joinable: list[bool], encode: Callable[[list[bytes]], list],
+               sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Encode chunks that may stand in a row as one text, which is cut by the bytes of its tokens."""
+    rows = [i for i, fits in enumerate(joinable) if fits]
+    blocks = [rows[i:i + _BLOCK] for i in range(0, len(rows), _BLOCK)]
+    lengths = np.fromiter(map(len, chunks), np.int64, len(chunks))
+    counts, pieces, alone = np.zeros(len(chunks), np.int64), [], set(range(len(chunks))) - set(rows)
+    for block, ids in zip(blocks, encode([b"".join([chunks[i] for i in b]) for b in blocks]),
+                          strict=True):
+        ids = np.array(ids, np.int32)
+        ends, stops = np.cumsum(sizes[ids]), np.cumsum(lengths[block])
+        if len(ends) and ends[-1] == stops[-1] and np.isin(stops, ends).all():
+            counts[block] = np.diff(np.searchsorted(ends, stops, "right"), prepend=0)
+            pieces.append((block, ids))
+        else:  # some token's bytes are not the text's: then chunk by chunk
+            alone.update(block)
+    alone = sorted(alone)
+    found = encode([chunks[i] for i in alone])
+    counts[alone] = [len(ids) for ids in found]
+    ends = np.concatenate([[0], np.cumsum(counts)])
+    out = np.zeros(int(ends[-1]), np.int32)
+    for block, ids in [*pieces, (alone, np.fromiter(itertools.chain.from_iterable(found), np.int32))]:
+        n = counts[block]
+        out[np.arange(len(ids)) + np.repeat(ends[block] - (np.cumsum(n) - n), n)] = ids
+    return out, ends
 
-    def __init__(self, make: Callable[[list[bytes]], list], most: int = CACHED):
-        self.make, self.most, self.known = make, most, {}
 
-    def __call__(self, chunks: list[bytes]) -> list:
-        new = [c for c in chunks if c not in self.known]
-        if len(self.known) + len(new) > self.most:
-            self.known.clear()
+class Remembered:
+    """Tokens of distinct chunks, encoded once; those of about `most` chunks are kept."""
+
+    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]],
+                 most: int = CACHED):
+        self.encode, self.most = encode, most
+        self._forget()
+
+    def _forget(self) -> None:
+        self.places: dict[bytes, int] = {}
+        self.ids, self.ends = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)]
+
+    def __call__(self, chunks: list[bytes]) -> tuple[pa.LargeListArray, np.ndarray]:
+        """(lists of ids, the list of each chunk)."""
+        new = [c for c in chunks if c not in self.places]
+        if len(self.places) + len(new) > self.most:
+            self._forget()
             new = chunks
-        self.known.update(zip(new, self.make(new), strict=True))
-        return [self.known[c] for c in chunks]
-
-
-def lists_of(lists: Sequence[Sequence[int]], kind: pa.DataType) -> pa.LargeListArray:
-    """Lists of integers as one Arrow array."""
-    ends = np.zeros(len(lists) + 1, np.int64)
-    np.cumsum(np.fromiter(map(len, lists), np.int64, len(lists)), out=ends[1:])
-    flat = np.fromiter(itertools.chain.from_iterable(lists), kind.to_pandas_dtype(), int(ends[-1]))
-    return pa.LargeListArray.from_arrays(pa.array(ends), pa.array(flat, kind))
-
-
-def encoded(chunks: pa.DictionaryArray, first: np.ndarray, encode: Callable[[list[bytes]], list]
+        if new:
+            ids, ends = self.encode(new)
+            self.places.update(zip(new, range(len(self.places), len(self.places) + len(new))))
+            self.ends.append(ends[1:] + self.ends[-1][-1])
+            self.ids.append(ids)
+        if len(self.ids) > 1:
+            self.ids, self.ends = [np.concatenate(self.ids)], [np.concatenate(self.ends)]
+        lists = pa.LargeListArray.from_arrays(pa.array(self.ends[0]), pa.array(self.ids[0]))
+        return lists, np.fromiter(map(self.places.__getitem__, chunks), np.int64, len(chunks))
+
+
+def encoded(chunks: pa.DictionaryArray, first: np.ndarray, remembered: Remembered
             ) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all chunks in order, where those of each text begin and the last end).
 
     Text i has chunks first[i] to first[i + 1] - 1.
     """
-    found = pc.take(lists_of(encode(chunks.dictionary.to_pylist()), pa.int32()), chunks.indices)
+    lists, places = remembered(chunks.dictionary.to_pylist())
+    found = pc.take(lists, pa.array(places[chunks.indices.to_numpy()]))
     ends = np.asarray(found.offsets, np.int64)
     return np.asarray(found.flatten()), ends[first] - ends[0]
 

@@ -32,6 +32,7 @@ from voxlake.llm.quality_classifier import texts_of
 from voxlake.llm.storage import kept
 
 STRETCH = 32_000  # characters of a stretch, about; a text without blanks is not cut
+CACHED = 300_000  # distinct chunks a worker remembers, for each tokenizer
 FAN = 8  # fragments that one step of the tree composes
 SLICE = 2 << 20  # bytes of text worked on at a time
 PART = 2_000_000  # id pairs whose counts are looked up in one pass
@@ -98,15 +99,14 @@ def stretches(docs: DataFrame, size: int = STRETCH) -> DataFrame:
 
 
 @functools.lru_cache(maxsize=2)
-def _encoders(a: bytes, b: bytes) -> tuple[list[Remembered], list[pa.Array], bytes]:
-    """Of both tokenizers: the encoder and the bytes of each id; and what chunks may begin with."""
-    both = byte_level(a, True), pieces(b)
-    if max(len(t.token_bytes) for t in both) > 1 << ID_BITS:
+def _encoders(a: bytes, b: bytes) -> tuple[list[tuple], list[pa.Array]]:
+    """Of both tokenizers: (encoder, what chunks begin with, cut at letters), and each id's bytes."""
+    first, second = byte_level(a, True), pieces(b)
+    if max(len(t.token_bytes) for t in (first, second)) > 1 << ID_BITS:
         raise ValueError(f"more than {1 << ID_BITS} ids")
-    begin = bytes(set(both[0].begin) & set(both[1].begin))
-    return ([Remembered(t.encode) for t in both],
-            [pa.array(t.token_bytes, pa.large_binary()) for t in both],
-            begin if b" " in begin else b"")
+    return ([(Remembered(first.encode, CACHED), first.begin, bool(first.begin)),
+             (Remembered(second.encode, CACHED), second.begin, False)],
+            [pa.array(t.token_bytes, pa.large_binary()) for t in (first, second)])
 
 
 _KINDS = {"a": pa.int32(), "b": pa.int32(), "sizes_a": pa.int32(), "sizes_b": pa.int32()}
@@ -122,17 +122,19 @@ def fragments(rows: DataFrame, a: bytes, b: bytes) -> DataFrame:
     shared = context.broadcast(a), context.broadcast(b)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoders, token_bytes, begin = _encoders(shared[0].value, shared[1].value)
+        encoders, token_bytes = _encoders(shared[0].value, shared[1].value)
         for batch in batches:
             for part in X.slices(batch, SLICE):
                 text = pc.fill_null(part.column("text"), "")
                 first = pc.and_(pc.equal(part.column("seq"), 0), pc.not_equal(text, ""))
                 data, offsets = X.packed(pc.binary_join_element_wise(
                     pc.if_else(first, " ", ""), text, ""))
-                edges = chunk_edges(data, offsets, begin)
-                chunks, row = chunk_array(data, edges), np.searchsorted(edges, offsets)
-                yield _fragments_of(part, data, offsets, token_bytes,
-                                    [encoded(chunks, row, encode) for encode in encoders])
+                tokens = []
+                for encoder, begin, letters in encoders:
+                    edges = chunk_edges(data, offsets, begin, letters)
+                    tokens.append(encoded(chunk_array(data, edges), np.searchsorted(edges, offsets),
+                                          encoder))
+                yield _fragments_of(part, data, offsets, token_bytes, tokens)
 
     return rows.mapInArrow(work, _FRAGMENT)
 

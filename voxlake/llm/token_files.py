@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxlake.llm import textops as X
@@ -27,7 +27,7 @@ from voxlake.llm.chunks import Remembered, byte_level, chunk_array, chunk_edges,
 from voxlake.llm.quality_classifier import texts_of
 from voxlake.llm.storage import kept
 
-FILE_BYTES = 32 << 20  # compressed frames of a file, about
+FILE_BYTES = 8 << 20  # compressed frames of a file, about: a task holds some files at a time
 LEVEL = 3  # of compression
 SLICE = 4 << 20  # bytes of text encoded at a time
 
@@ -48,7 +48,9 @@ def _remembered(source: bytes) -> Remembered:
 def _encoded(texts: pa.Array, source: bytes) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts, where each text's begin and the end of the last)."""
     data, offsets = X.packed(texts)
-    edges = chunk_edges(data, offsets, byte_level(source, False).begin)
+    own = byte_level(source, False)
+    whole = data.tobytes()  # a special token's string must stay in one chunk
+    edges = chunk_edges(data, offsets, own.begin, not any(s in whole for s in own.special))
     return encoded(chunk_array(data, edges), np.searchsorted(edges, offsets), _remembered(source))
 
 
@@ -172,39 +174,43 @@ def seek_tables(spark: SparkSession, path: str) -> DataFrame:
         work, "file string, first_id long, n_documents long, n_tokens long")
 
 
-def read_files(spark: SparkSession, path: str, wanted: list[int] | None = None) -> DataFrame:
-    """id, file, before (ids ahead of the document in its file) and tokens, its ids as bytes.
+def read_files(spark: SparkSession, path: str, wanted: list[int] | None = None,
+               starts: dict[str, int] | None = None) -> DataFrame:
+    """id, file, start and tokens (the document's ids as bytes).
 
-    `wanted`: only these documents, and only their frames are decompressed. A frame that does not
+    start counts the ids of all documents before, in the file or, with `starts_of_files`, in all of
+    them. `wanted`: only these documents, and only their frames are decompressed. A frame that does not
     have its checksum fails the run.
     """
     asked = None if wanted is None else np.unique(np.array(wanted, np.int64))
+    shared = spark.sparkContext.broadcast(starts or {})
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = zstandard.ZstdDecompressor()
         for batch in batches:
             for file, content in zip(batch.column("file"), batch.column("content"), strict=True):
-                table = TokenFile(content.as_py())
+                table, file = TokenFile(content.as_py()), file.as_py()
+                first = shared.value.get(file, 0)
                 places = (np.arange(len(table.ids)) if asked is None
                           else np.flatnonzero(np.isin(table.ids, asked)))
                 for part in np.split(places, np.flatnonzero(np.diff(
                         np.cumsum(table.sizes[places]) // SLICE)) + 1):
                     yield pa.RecordBatch.from_arrays([
                         pa.array(table.ids[part], pa.int64()),
-                        pa.array([file.as_py()] * len(part), pa.string()),
-                        pa.array(table.before[part], pa.int64()),
+                        pa.array([file] * len(part), pa.string()),
+                        pa.array(table.before[part] + first, pa.int64()),
                         pa.array([table.tokens(int(p), reader) for p in part], pa.binary())],
-                        ["id", "file", "before", "tokens"])
+                        ["id", "file", "start", "tokens"])
 
     return _contents(spark, path).mapInArrow(
-        work, "id long, file string, before long, tokens binary")
+        work, "id long, file string, start long, tokens binary")
 
 
-def starts_of_files(spark: SparkSession, path: str) -> DataFrame:
-    """file and start, the ids in all files before it: one short row for each file."""
-    earlier = Window.orderBy("first_id").rowsBetween(Window.unboundedPreceding, -1)
-    return seek_tables(spark, path).select(
-        "file", F.coalesce(F.sum("n_tokens").over(earlier), F.lit(0)).alias("start"))
+def starts_of_files(spark: SparkSession, path: str) -> dict[str, int]:
+    """The ids in all files before each one. Files, not documents: the driver lists them anyway."""
+    found = seek_tables(spark, path).toArrow().sort_by("first_id")
+    counts = found["n_tokens"].to_numpy()
+    return dict(zip(found["file"].to_pylist(), (np.cumsum(counts) - counts).tolist(), strict=True))
 
 
 def token_files(docs: DataFrame, path: str, tokenizer: bytes, end: int, id: str = "doc_id",
@@ -218,6 +224,5 @@ def token_files(docs: DataFrame, path: str, tokenizer: bytes, end: int, id: str
     """
     spark = docs.sparkSession
     write_files(kept(frames(docs, tokenizer, end, id, text), "frames"), path, target)
-    return (read_files(spark, path).join(starts_of_files(spark, path), "file")
-            .select(F.col("id").alias(id), (F.col("start") + F.col("before")).alias("start"),
-                    F.expr("length(tokens) div 4").alias("n_tokens"), "tokens"))
+    return read_files(spark, path, starts=starts_of_files(spark, path)).select(
+        F.col("id").alias(id), "start", F.expr("length(tokens) div 4").alias("n_tokens"), "tokens")
