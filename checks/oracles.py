@@ -184,6 +184,26 @@ FROM (SELECT {iso('event_date')} event_date, video_id, sentiment, count(*) n,
 JOIN ({summary()}) t ON b.event_date = t.event_date AND b.video_id = t.video_id"""
 
 
+def breakdown_of(rows: str) -> str:
+    """The breakdown of given Silver rows."""
+    def mean(x: str) -> str:
+        return half_up(f"sum({x})", "count(*)", 2)
+    return f"""
+SELECT {iso('event_date')} event_date, video_id, sentiment, count(*) comment_count,
+  {half_up('count(*)', 'sum(count(*)) OVER (PARTITION BY event_date, video_id)', 4)} comment_ratio,
+  {mean('like_count')} avg_likes, {mean('reply_count')} avg_replies,
+  count(*) FILTER (is_reply) reply_comment_count, {mean('text_length')} avg_text_length
+FROM ({rows}) GROUP BY event_date, video_id, sentiment"""
+
+
+#: Which of three arrivals a comment is in.
+ARRIVAL = "CASE WHEN doc_id % 50 = 7 THEN 2 WHEN doc_id % 1000 < 500 THEN 0 ELSE 1 END"
+
+C_THIRD_CORRECTED = f"""
+SELECT * REPLACE (text || CASE WHEN doc_id % 3 = 0 THEN ' love great' ELSE '' END AS text)
+FROM ({C_SENT})"""
+
+
 # --- slang -------------------------------------------------------------------------------------
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
@@ -559,4 +579,60 @@ SELECT {iso('event_date')} event_date, video_id, comment_id, author, like_count,
   text_length, collected_delay_seconds, positive_score, negative_score, sentiment,
   'keyword' scorer FROM ({silver(C_SENT)})"""
     sql["stream_end_to_end"] = summary(C_SENT)
+    sql["one_silver"] = sql["stream_silver"]
+    sql["gold_merged"] = breakdown()
+    names = "(VALUES (0, 'in/a'), (1, 'in_a'), (2, 'in a'), (3, 'in%2Fa')) names(i, batch_id)"
+    sql["batch_names"] = f"""
+SELECT batch_id, bronze_rows, bronze_rows manifest_rows, true done, silver_rows FROM {names}
+JOIN (SELECT doc_id % 4 i, count(*) bronze_rows FROM documents GROUP BY 1) b USING (i)
+JOIN (SELECT doc_id % 4 i, count(*) silver_rows FROM ({silver(C_SENT)}) GROUP BY 1) s USING (i)"""
+    sql["corrected_batch"] = summary(C_THIRD_CORRECTED)
+    corrected = f"""
+SELECT s.* REPLACE (CASE WHEN l.doc_id IS NULL THEN s.sentiment WHEN toxic = 1 THEN 'negative'
+  WHEN quality = 1 THEN 'positive' ELSE 'neutral' END AS sentiment)
+FROM ({silver()}) s LEFT JOIN labels l ON s.doc_id = l.doc_id"""
+    sql["correct_stored"] = f"SELECT *, comment_count silver_count FROM ({breakdown_of(corrected)})"
+    best = "ORDER BY like_count DESC, event_time, comment_id"
+    sql["top_liked_comments"] = f"""
+SELECT video_id, comment_id, like_count,
+  CAST(row_number() OVER (PARTITION BY video_id {best}) AS INT) AS rank
+FROM ({silver()}) QUALIFY rank <= 3"""
+    sql["top_liked_ties"] = f"""
+SELECT video_id, sentiment, comment_id, like_count,
+  CAST(rank() OVER (PARTITION BY video_id, sentiment ORDER BY like_count DESC) AS INT) AS rank
+FROM ({silver()}) QUALIFY rank <= 2"""
+    sql["replies_per_day"] = f"""
+SELECT {iso('event_date')} event_date, count(*) comment_count,
+  count(*) FILTER (is_reply) reply_count FROM ({silver()}) GROUP BY event_date"""
+
+    def trend(rows: str, hours: int) -> str:
+        width = hours * 3600
+        start = f"{seconds('event_time')} // {width} * {width}"
+        return f"""
+SELECT CAST({start} AS BIGINT) window_start, CAST({start} + {width} AS BIGINT) window_end, sentiment,
+  count(*) comment_count, {half_up('sum(like_count)', 'count(*)', 2)} avg_likes
+FROM ({rows}) GROUP BY 1, 2, sentiment"""
+
+    def arrivals(rows: str, when: str) -> str:
+        """Rows with the watermark that earlier arrivals have left, in seconds; null at first."""
+        return f"""
+SELECT r.*, a.arrival, a.border, a.last FROM (SELECT *, {ARRIVAL} arrival FROM ({rows})) r JOIN (
+  SELECT arrival, max(latest) OVER (ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+    - 172800 border, max(latest) OVER () - 172800 AS last
+  FROM (SELECT {ARRIVAL} arrival, max({seconds(when)}) latest FROM ({rows}) GROUP BY 1)) a USING (arrival)"""
+
+    sql["sentiment_trend"] = trend(silver(), 6)
+    timely = (f"SELECT * FROM ({arrivals(silver(), 'event_time')}) WHERE border IS NULL OR "
+              f"({seconds('event_time')} // 86400 + 1) * 86400 > border")
+    sql["sentiment_trend_stream_windows"] = (
+        f"SELECT * FROM ({trend(timely, 24)}) WHERE window_end <= "
+        f"(SELECT max(last) FROM ({arrivals(silver(), 'event_time')}))")
+    seen = "greatest(collected_at, event_time)"
+    marked = f"SELECT *, coalesce({seconds(seen)} < border, false) late FROM ({arrivals(C_SENT, seen)})"
+    sql["late_rows_kept"] = f"""
+WITH marked AS ({marked})
+SELECT 'late' place, comment_id, CAST(1 AS BIGINT) n FROM marked WHERE late
+UNION ALL SELECT 'main', comment_id, 1 FROM ({silver(C_SENT)})
+  WHERE doc_id NOT IN (SELECT doc_id FROM marked WHERE late)
+UNION ALL SELECT 'metric', CAST(arrival + 1 AS VARCHAR), count(*) FILTER (late) FROM marked GROUP BY arrival"""
     return sql

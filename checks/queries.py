@@ -1,8 +1,9 @@
 """One registered query per operator. Dates leave as ISO text, times as epoch seconds."""
 
 from collections.abc import Callable
+from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,13 +26,18 @@ from voxlake.operators.dedup import first_per_key
 from voxlake.operators.scoring import Scorer, score, with_hits
 from voxlake.operators.threads import flatten_threads
 from voxlake.plans.lakehouse import (
-    build_lakehouse, land_messages, refresh_gold, scored_comments, silver_at_rest, silver_comments)
-from voxlake.schemas import API_PAGE, GOLD_SUMMARY
+    build_lakehouse, land_messages, manifest, refresh_gold, scored_comments, silver_at_rest,
+    silver_comments)
+from voxlake.plans.landing import compact_silver, correct_silver, silver_table
+from voxlake.schemas import API_PAGE, BRONZE_STORED, GOLD_BREAKDOWN, GOLD_SUMMARY
 from voxlake.settings import TableLayout, lend_shared_folder, shared_folder
 from voxlake.sources import records as REC
 from voxlake.sources import tables as TAB
 from voxlake.streaming.dedup import dedup_stream
-from voxlake.streaming.pipeline import message_stream, run_available, silver_stream
+from voxlake.streaming.late import late_table, progress
+from voxlake.streaming.pipeline import (
+    message_stream, run_available, sentiment_trend_stream, silver_stream, start_bronze,
+    start_silver_keeping_late)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -120,6 +126,84 @@ def build_twice(spark, sf):
     return TAB.read_table(spark, layout.summary, GOLD_SUMMARY)
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Rows with the number their id ends in, stamped with one time of ingestion."""
+    return rows.withColumn("ingested_at", F.timestamp_seconds(F.lit(V.START + 10_000_000)))
+
+
+@query
+def one_silver(spark, sf):
+    """A stream, a batch build that overlaps it, a compaction, and the stream once more: one Silver."""
+    layout = TableLayout(shared_folder(spark, "one_silver"))
+    rows, third = V.copied(spark, sf), F.col("comment_id").cast("long") % 3
+    folder = f"{layout.root}/messages"
+    REC.keyed_messages(rows.filter(third == 0)).select("value").write.mode("append").text(folder)
+    run_available(spark, message_stream(spark, path=folder), layout)
+    build_lakehouse(spark, _numbered(rows.filter(third < 2)), layout, batch="overlapping")
+    compact_silver(spark, layout, date(2024, 1, 5))
+    REC.keyed_messages(rows.filter(third > 0)).select("value").write.mode("append").text(folder)
+    run_available(spark, message_stream(spark, path=folder), layout)
+    compact_silver(spark, layout, date(2030, 1, 1))
+    return silver_table(spark, layout).select(
+        "event_date", "video_id", "comment_id", "author", "like_count", "text_clean",
+        "text_length", "collected_delay_seconds", "positive_score", "negative_score",
+        "sentiment", "scorer")
+
+
+@query
+def gold_merged(spark, sf):
+    """Old days get late rows: Gold is merged from the pieces' sums and authors."""
+    layout = TableLayout(shared_folder(spark, "merged"))
+    rows = _numbered(V.duplicated(spark, sf))
+    late = F.col("comment_id").cast("long") % 5 == 0
+    build_lakehouse(spark, rows.filter(~late), layout, batch="punctual")
+    build_lakehouse(spark, rows.filter(late), layout, batch="late")
+    return TAB.read_table(spark, layout.breakdown, GOLD_BREAKDOWN)
+
+
+@query
+def batch_names(spark, sf):
+    """Batches whose names differ in one sign each keep their rows, and the manifest knows them."""
+    layout = TableLayout(shared_folder(spark, "names"))
+    rows = _numbered(V.sentiments(spark, sf))
+    for i, name in enumerate(("in/a", "in_a", "in a", "in%2Fa")):
+        build_lakehouse(spark, rows.filter(F.col("comment_id").cast("long") % 4 == i), layout,
+                        batch=name)
+    landed = TAB.read_table(spark, layout.bronze, BRONZE_STORED).groupBy("batch_id").agg(
+        F.count("*").alias("bronze_rows"))
+    kept = silver_table(spark, layout).groupBy("landed_in").agg(F.count("*").alias("silver_rows"))
+    known = manifest(spark, layout).select("batch_id", F.col("rows").alias("manifest_rows"), "done")
+    return landed.join(known, "batch_id").join(
+        kept.withColumnRenamed("landed_in", "batch_id"), "batch_id")
+
+
+@query
+def corrected_batch(spark, sf):
+    """A batch comes again with other texts and without some keys, which another batch has too."""
+    layout = TableLayout(shared_folder(spark, "corrected"))
+    rows = _numbered(V.sentiments(spark, sf))
+    third = F.col("comment_id").cast("long") % 3
+    build_lakehouse(spark, rows.filter(third < 2), layout, batch="one")
+    build_lakehouse(spark, rows.filter(third > 0), layout, batch="two")
+    compact_silver(spark, layout, date(2024, 1, 4))
+    other = F.concat("text", F.lit(" love great"))
+    build_lakehouse(spark, rows.filter(third == 0).withColumn("text", other), layout, batch="one")
+    return TAB.read_table(spark, layout.summary, GOLD_SUMMARY)
+
+
+@query
+def correct_stored(spark, sf):
+    """Corrections written into Silver, twice; Gold follows."""
+    layout = TableLayout(shared_folder(spark, "correct"))
+    build_lakehouse(spark, _numbered(V.duplicated(spark, sf)), layout, batch="one")
+    for _ in range(2):
+        correct_silver(spark, layout, V.corrections(spark, sf))
+    stored = silver_table(spark, layout).groupBy("event_date", "video_id", "sentiment").agg(
+        F.count("*").alias("silver_count"))
+    return stored.join(TAB.read_table(spark, layout.breakdown, GOLD_BREAKDOWN),
+                       ["event_date", "video_id", "sentiment"])
+
+
 @query
 def quarantine_rows(spark, sf):
     """Messages of two batches, one repeated: what is broken, and how much is well-formed."""
@@ -567,6 +651,29 @@ def top_positive_authors(spark, sf):
     return R.top_positive_authors(_silver(spark, sf))
 
 
+@query
+def top_liked_comments(spark, sf):
+    return R.top_liked_comments(_silver(spark, sf)).select(
+        "video_id", "comment_id", "like_count", "rank")
+
+
+@query
+def top_liked_ties(spark, sf):
+    """With those that tie, over sentiments of a video."""
+    return R.top_liked_comments(_silver(spark, sf), 2, ["video_id", "sentiment"], keep_ties=True
+                                ).select("video_id", "sentiment", "comment_id", "like_count", "rank")
+
+
+@query
+def replies_per_day(spark, sf):
+    return R.replies_per_day(_silver(spark, sf))
+
+
+@query
+def sentiment_trend(spark, sf):
+    return R.sentiment_trend(_silver(spark, sf), "6 hours")
+
+
 @query
 def negative_sample(spark, sf):
     return R.negative_sample(silver_comments(V.duplicated(spark, sf)))
@@ -730,3 +837,41 @@ def stream_end_to_end(spark, sf):
     run_available(spark, messages, layout)
     return TAB.read_table(spark, layout.summary, GOLD_SUMMARY)
 
+
+def _arrival() -> Column:
+    """Which of three arrivals a comment is in: half, the rest, and some that are very late."""
+    n = F.col("comment_id").cast("long")
+    return F.when(n % 50 == 7, 2).when(n % 1000 < 500, 0).otherwise(1)
+
+
+@query
+def late_rows_kept(spark, sf):
+    """Three arrivals: what is two days late goes to a table of its own, and is counted."""
+    layout = TableLayout(shared_folder(spark, "late"))
+    rows, folder = V.sentiments(spark, sf), f"{layout.root}/messages"
+    TAB.ensure_tables(spark, layout)
+    for k in range(3):
+        REC.keyed_messages(rows.filter(_arrival() == k)).select("value").write.mode("append").text(folder)
+        start_bronze(message_stream(spark, path=folder), layout, once=True).awaitTermination()
+        start_silver_keeping_late(spark, layout, once=True).awaitTermination()
+    found = progress(spark, layout)
+    return (silver_table(spark, layout).select(F.lit("main").alias("place"), "comment_id",
+                                               F.lit(1).cast("long").alias("n"))
+            .unionByName(late_table(spark, layout).select(
+                F.lit("late").alias("place"), "comment_id", F.lit(1).cast("long").alias("n")))
+            .unionByName(found.where("rows > 0").select(
+                F.lit("metric").alias("place"),
+                F.row_number().over(Window.orderBy("epoch")).cast("string").alias("comment_id"),
+                F.col("late").alias("n"))))
+
+
+@query
+def sentiment_trend_stream_windows(spark, sf):
+    """The trend of a stream in three arrivals: closed windows, late rows left out."""
+    root = shared_folder(spark, "trend")
+    rows = _silver(spark, sf).select("comment_id", "event_time", "sentiment", "like_count")
+    for k in range(3):
+        rows.filter(_arrival() == k).coalesce(1).write.mode("append").parquet(f"{root}/silver")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{root}/silver")
+        closed = _drain(sentiment_trend_stream(stream), root, "closed")
+    return closed

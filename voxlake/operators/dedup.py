@@ -42,7 +42,12 @@ def new_records_only(incoming: DataFrame, landed: DataFrame, key: str = "comment
             .unionByName(tidy.filter(blank)).drop("_key"))
 
 
-WORDS = 1 << 17  # of a sieve, 64 bits each: a megabyte, however many keys there are
+WORDS = 1 << 17  # of a sieve at most, 64 bits each: a megabyte, however many keys there are
+
+
+def sieve_words(keys: int) -> int:
+    """Words for about so many keys, some 16 bits for each, within bounds."""
+    return min(WORDS, 1 << max(10, (max(keys, 1) // 4 - 1).bit_length()))
 
 
 def key_hash(keys: Sequence[str] = KEYS) -> Column:

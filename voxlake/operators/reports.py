@@ -65,3 +65,37 @@ def breakdown_report(breakdown: DataFrame) -> DataFrame:
 def largest_breakdowns(breakdown: DataFrame) -> DataFrame:
     return breakdown.select("video_id", "sentiment", "comment_count").orderBy(
         F.desc("comment_count"), "video_id", "sentiment")
+
+
+def replies_per_day(rows: DataFrame, by: str = "event_time") -> DataFrame:
+    """Comments and, of these, replies for each day."""
+    return rows.groupBy(F.to_date(by).alias("event_date")).agg(
+        F.count("*").alias("comment_count"), F.count_if("is_reply").alias("reply_count"))
+
+
+def top_liked_comments(rows: DataFrame, k: int = 3, by: Sequence[str] = ("video_id",),
+                       tie_break: Sequence[str] = ("event_time", "comment_id"),
+                       keep_ties: bool = False) -> DataFrame:
+    """The k comments with most likes of each group, with their rank.
+
+    Among equal likes the first by `tie_break` comes first; with `keep_ties` all that equal the k-th
+    stay and share a rank. Spark limits each task to the k best of a group before the shuffle, so a giant
+    group costs k rows a task (with ties kept, those that tie too).
+    """
+    likes = F.desc_nulls_last("like_count")
+    order = [likes] if keep_ties else [likes, *tie_break]
+    rank = (F.rank() if keep_ties else F.row_number()).over(Window.partitionBy(*by).orderBy(*order))
+    return rows.withColumn("rank", rank).filter(F.col("rank") <= k)
+
+
+def sentiment_trend(rows: DataFrame, width: str = "1 day", by: str = "event_time") -> DataFrame:
+    """Comments and their mean likes per window of time and sentiment.
+
+    A batch counts all rows. Of a stream with a watermark a window comes out once, when the
+    watermark has passed its end; rows later than that are dropped.
+    """
+    return (rows.groupBy(F.window(by, width).alias("w"), "sentiment")
+            .agg(F.count("*").alias("comment_count"), F.sum("like_count").alias("likes"))
+            .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                    "sentiment", "comment_count",
+                    F.round(F.col("likes") / F.col("comment_count"), 2).alias("avg_likes")))

@@ -135,7 +135,7 @@ def build_lakehouse(spark: SparkSession, incoming: DataFrame, layout: TableLayou
     content, files = fingerprint(landed), incoming.inputFiles()
     entry = manifest(spark, layout).filter(F.col("batch_id") == batch).first()
     if not (entry and entry.done and (entry.rows, entry.content) == content):
-        dates = _replace(spark, layout, batch, landed, bronze, entry, scorer, terms,
+        dates = _replace(spark, layout, batch, landed, content[0], bronze, entry, scorer, terms,
                          lambda dates: _note(spark, layout, batch, content, files, dates, False))
         merge_gold(spark, layout, dates)
         _note(spark, layout, batch, content, files, dates, True)
@@ -144,7 +144,7 @@ def build_lakehouse(spark: SparkSession, incoming: DataFrame, layout: TableLayou
 
 
 def _replace(spark: SparkSession, layout: TableLayout, batch: str, landed: DataFrame,
-             bronze: DataFrame, entry, scorer: Scorer, terms: Sequence[SlangTerm],
+             rows: int, bronze: DataFrame, entry, scorer: Scorer, terms: Sequence[SlangTerm],
              announce: Callable[[set[date]], None]) -> set[date]:
     """Put a batch's rows into Silver in place of those it brought before; the dates that change.
 
@@ -152,7 +152,7 @@ def _replace(spark: SparkSession, layout: TableLayout, batch: str, landed: DataF
     """
     silver = silver_table(spark, layout)
     unique = first_per_key(admit(landed)).withColumn("landed_in", F.lit(batch))
-    fresh = without_known(unique, silver.filter(F.col("landed_in") != batch), admit(landed))
+    fresh = without_known(unique, silver.filter(F.col("landed_in") != batch), admit(landed), rows)
     dates: set[date] = set() if entry is None else set(entry.dates or [])
     landing = Landing(spark, layout)
     if entry is not None:

@@ -50,7 +50,8 @@ def split_epoch(bronze: DataFrame, layout: TableLayout, query: str, epoch: int,
         overwrite_batch(marked.where("late").drop("late"), layout.late, name, layout.fmt)
         punctual = marked.where("not late").drop("late")
         known = silver_table(spark, layout).where(F.col("landed_in") != name)
-        fresh = without_known(first_per_key(admit(punctual)), known, admit(punctual))
+        fresh = without_known(first_per_key(admit(punctual)), known, admit(punctual),
+                              punctual.count())
         landing = Landing(spark, layout)
         landing.replace_batch(silver_at_rest(
             score(with_clean_text(fresh), scorer, terms), name), name)

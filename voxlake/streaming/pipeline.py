@@ -18,10 +18,11 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from voxlake.fixed_values import LATENESS
 from voxlake.functions.slang import SlangTerm
 from voxlake.operators.cleaning import admit, with_clean_text
+from voxlake.operators.reports import sentiment_trend
 from voxlake.operators.scoring import Scorer, score
 from voxlake.plans.lakehouse import KEYWORDS, land_messages, silver_at_rest
 from voxlake.plans.landing import land_epoch, merge_gold
-from voxlake.schemas import BRONZE, GOLD_SUMS
+from voxlake.schemas import BRONZE, GOLD_SUMS, SILVER_STORED
 from voxlake.settings import TableLayout
 from voxlake.sources.swaps import finish_swaps
 from voxlake.sources.tables import ensure_tables, show_written
@@ -188,6 +189,22 @@ def start_gold(spark: SparkSession, layout: TableLayout, once: bool = False,
     return _start(writer, layout, "gold", once, every)
 
 
+def sentiment_trend_stream(silver: DataFrame, width: str = "1 day", lateness: str = LATENESS
+                           ) -> DataFrame:
+    """Windows of a stream of Silver that no more row can change, for output mode append."""
+    return sentiment_trend(silver.withWatermark("event_time", lateness), width)
+
+
+def start_trend(spark: SparkSession, layout: TableLayout, target: str, width: str = "1 day",
+                lateness: str = LATENESS, once: bool = False, **options: str) -> StreamingQuery:
+    """Append each closed window of Silver to a table at `target`."""
+    silver = table_stream(spark, layout.silver, SILVER_STORED, layout.fmt,
+                          **{"ignoreMissingFiles": "true", **options})
+    writer = (sentiment_trend_stream(silver, width, lateness).writeStream.format(layout.fmt)
+              .outputMode("append").option("path", target))
+    return _start(writer, layout, "trend", once)
+
+
 def stop_gracefully(queries: Sequence[StreamingQuery], patience: float = 600) -> None:
     """Let each query end the epoch it is in, in the given order, then stop it.
 
