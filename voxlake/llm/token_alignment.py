@@ -22,6 +22,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -75,7 +76,7 @@ def composed(left: Fragment, right: Fragment) -> Fragment:
 # --- stretches and their fragments --------------------------------------------------------------
 
 def stretches(docs: DataFrame, size: int = STRETCH) -> DataFrame:
-    """docs (id, text) as id, seq, text: texts cut where both tokenizers can start afresh.
+    """docs (id, text) as id, seq, n, text: texts cut in n where both tokenizers can start afresh.
 
     Texts of one stretch stay where they are. Those of the others are dealt out by id and seq, so
     that many tasks encode one long document.
@@ -89,12 +90,14 @@ def stretches(docs: DataFrame, size: int = STRETCH) -> DataFrame:
                 n = len(edges) - 1
                 yield pa.RecordBatch.from_arrays([
                     pa.array([id.as_py()] * n, pa.int64()), pa.array(range(n), pa.int64()),
-                    pa.array([text[i:j] for i, j in zip(edges[:-1], edges[1:], strict=True)],
-                             pa.string())], ["id", "seq", "text"])
+                    pa.array([n] * n, pa.int64()), pa.array([text[i:j] for i, j in zip(
+                        edges[:-1], edges[1:], strict=True)], pa.string())],
+                    ["id", "seq", "n", "text"])
 
     whole = F.coalesce(F.length("text"), F.lit(0)) <= size
-    short = docs.where(whole).select("id", F.lit(0).cast("long").alias("seq"), "text")
-    long = docs.where(~whole).mapInArrow(work, "id long, seq long, text string")
+    short = docs.where(whole).select(
+        "id", F.lit(0).cast("long").alias("seq"), F.lit(1).cast("long").alias("n"), "text")
+    long = docs.where(~whole).mapInArrow(work, "id long, seq long, n long, text string")
     return short.unionByName(long.repartition("id", "seq"))
 
 
@@ -109,8 +112,28 @@ def _encoders(a: bytes, b: bytes) -> tuple[list[tuple], list[pa.Array]]:
             [pa.array(t.token_bytes, pa.large_binary()) for t in (first, second)])
 
 
-_KINDS = {"a": pa.int32(), "b": pa.int32(), "sizes_a": pa.int32(), "sizes_b": pa.int32()}
-_FRAGMENT = "id long, seq long, valid boolean, " + ", ".join(f"{c} array<int>" for c in _KINDS)
+_FRAGMENT = "id long, seq long, n long, valid boolean, tokens binary"
+
+
+def packed(whole: Fragment) -> bytes:
+    """A fragment as a table keeps it: much smaller than arrays, and so are the batches of it."""
+    head = np.array([len(x) for x in whole], np.int32)
+    return _packer().compress(np.concatenate([head, *whole]).astype("<i4").tobytes())
+
+
+def unpacked(content: bytes) -> Fragment:
+    flat = np.frombuffer(_unpacker().decompress(content), "<i4").astype(np.int64)
+    return Fragment(*np.split(flat[4:], np.cumsum(flat[:3])))
+
+
+@functools.cache
+def _packer() -> zstandard.ZstdCompressor:
+    return zstandard.ZstdCompressor(level=1)
+
+
+@functools.cache
+def _unpacker() -> zstandard.ZstdDecompressor:
+    return zstandard.ZstdDecompressor()
 
 
 def fragments(rows: DataFrame, a: bytes, b: bytes) -> DataFrame:
@@ -158,29 +181,29 @@ def _fragments_of(rows: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray,
         row = np.repeat(np.arange(len(size)), np.diff(begin))
         places.append(row << 40 | (ends[1:] - row_ends[row]))
     common = np.intersect1d(*places, assume_unique=True)
-    columns = {}
-    for name, (ids, begin), place in zip("ab", tokens, places, strict=True):
-        # parts end behind a token at a common end, and with the row
-        stops = np.searchsorted(place, common, "right")
-        at = np.searchsorted(common >> 40, np.arange(len(size)), "right")
-        bounds = np.insert(stops, at, begin[1:])
-        starts = np.concatenate([[0], bounds[:-1]])
-        columns[name] = pa.ListArray.from_arrays(pa.array(begin, pa.int32()), pa.array(ids, pa.int32()))
-        columns[f"sizes_{name}"] = pa.ListArray.from_arrays(
-            pa.array(np.concatenate([[0], at + np.arange(1, len(size) + 1)]), pa.int32()),
-            pa.array(bounds - starts, pa.int32()))
+    # parts end behind a token at a common end, and with the row
+    at = np.searchsorted(common >> 40, np.arange(len(size)), "right")
+    first = np.concatenate([[0], at + np.arange(1, len(size) + 1)])
+    sizes = []
+    for (_, begin), place in zip(tokens, places, strict=True):
+        bounds = np.insert(np.searchsorted(place, common, "right"), at, begin[1:])
+        sizes.append(np.diff(bounds, prepend=0))
+    out = []
+    for i in range(len(size)):
+        part = slice(first[i], first[i + 1])
+        out.append(packed(Fragment(*[ids[begin[i]:begin[i + 1]] for ids, begin in tokens],
+                                   *[s[part] for s in sizes])))
     return pa.RecordBatch.from_arrays(
-        [rows.column("id"), rows.column("seq"), pa.array(valid), *[columns[c] for c in _KINDS]],
-        ["id", "seq", "valid", *_KINDS])
+        [*[rows.column(c) for c in ("id", "seq", "n")], pa.array(valid), pa.array(out, pa.binary())],
+        ["id", "seq", "n", "valid", "tokens"])
 
 
 def _step(rows: pd.DataFrame) -> pd.DataFrame:
     rows = rows.sort_values("seq")
-    whole = functools.reduce(composed, [
-        Fragment(r.a, r.b, r.sizes_a, r.sizes_b) for r in rows.itertuples()])
+    whole = functools.reduce(composed, map(unpacked, rows["tokens"]))
     return pd.DataFrame({"id": rows["id"].iloc[:1], "seq": rows["seq"].iloc[:1] // FAN,
-                         "valid": [bool(rows["valid"].all())],
-                         **{name: [x] for name, x in zip(_KINDS, whole, strict=True)}})
+                         "n": rows["n"].iloc[:1], "valid": [bool(rows["valid"].all())],
+                         "tokens": [packed(whole)]})
 
 
 def reduced(parts: DataFrame, most: int) -> DataFrame:
@@ -192,17 +215,13 @@ def reduced(parts: DataFrame, most: int) -> DataFrame:
 
 
 def documents(docs: DataFrame, a: bytes, b: bytes, size: int = STRETCH) -> DataFrame:
-    """A table with the fragment of every document (id, text)."""
+    """The fragment of every document (id, text), from tables."""
     parts = kept(fragments(stretches(docs, size), a, b), "fragments")
-    # a document is long if it has a second stretch
-    long = parts.where("seq > 0").groupBy("id").agg(F.max("seq").alias("last"))
-    most = long.agg(F.max("last")).first()[0]
+    cut = parts.where("n > 1")
+    most = cut.agg(F.max("n")).first()[0]
     if most is None:
         return parts
-    long = kept(long, "long-documents")
-    cut = parts.join(long.select("id"), "id", "left_semi")
-    return kept(parts.join(long.select("id"), "id", "left_anti").unionByName(
-        reduced(cut, most + 1)), "documents")
+    return parts.where("n = 1").unionByName(kept(reduced(cut, most), "long-documents"))
 
 
 # --- links, pair counts, results ----------------------------------------------------------------
@@ -222,15 +241,22 @@ def aligned(batch: pa.RecordBatch) -> Iterator[tuple[int, int, Aligned]]:
 
     A document's prefix is a group of its own, as the document begins there.
     """
-    lists = {name: batch.column(name) for name in _KINDS}
-    ends = {name: np.asarray(x.offsets, np.int64) for name, x in lists.items()}
-    for first, last in X.pieces(ends["a"] - ends["a"][0] if len(batch) else np.zeros(1), TOKENS):
-        flat = {name: np.asarray(lists[name].values, np.int64)[ends[name][first]:ends[name][last]]
-                for name in _KINDS}
-        parts = np.repeat(np.arange(first, last), np.diff(ends["sizes_a"][first:last + 1]))
-        used = flat["sizes_a"] > 0
-        yield first, last, Aligned(flat["a"], flat["b"], flat["sizes_a"][used],
-                                   flat["sizes_b"][used], parts[used])
+    first, held, tokens = 0, [], 0
+    for row, content in enumerate(batch.column("tokens")):
+        held.append(unpacked(content.as_py()))
+        tokens += len(held[-1].a)
+        if tokens >= TOKENS:
+            yield first, row + 1, _together(held, first)
+            first, held, tokens = row + 1, [], 0
+    if held:
+        yield first, len(batch), _together(held, first)
+
+
+def _together(held: list[Fragment], first: int) -> Aligned:
+    a, b, sizes_a, sizes_b = map(np.concatenate, zip(*held, strict=True))
+    used = sizes_a > 0
+    rows = np.repeat(np.arange(first, first + len(held)), [len(x.sizes_a) for x in held])
+    return Aligned(a, b, sizes_a[used], sizes_b[used], rows[used])
 
 
 def _products(a: np.ndarray, b: np.ndarray, first_a: np.ndarray, first_b: np.ndarray,
@@ -278,7 +304,7 @@ def pair_counts(rows: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(pairs), pa.array(times.astype(np.int64))], ["pair", "count"])
 
-    return (rows.where("valid").select(*_KINDS).mapInArrow(work, "pair long, count long")
+    return (rows.where("valid").select("tokens").mapInArrow(work, "pair long, count long")
             .groupBy("pair").agg(F.sum("count").alias("count")))
 
 
@@ -291,7 +317,7 @@ def link_sums(rows: DataFrame, counts: DataFrame, part: int = PART) -> DataFrame
     spark = rows.sparkSession
     total = counts.count()
     passes = max(1, math.ceil(total / part))
-    valid = rows.where("valid").select("id", *_KINDS)
+    valid = rows.where("valid").select("id", "tokens")
     sums = []
     for k in range(passes):
         mine = counts.where(F.pmod(F.xxhash64("pair"), F.lit(passes)) == k)
@@ -354,7 +380,7 @@ def _summaries(rows: DataFrame) -> DataFrame:
                 ["id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"])
 
     none = [F.lit(0).cast("long").alias(c) for c in ("n_a", "n_b", "n_groups", "n_links")]
-    return (rows.where("valid").select("id", *_KINDS).mapInArrow(
+    return (rows.where("valid").select("id", "tokens").mapInArrow(
         work, "id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string")
         .unionByName(rows.where("not valid").select("id", *none, F.lit("").alias("groups_sha256"))))
 
