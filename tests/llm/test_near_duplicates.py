@@ -31,7 +31,7 @@ def brute_force(rows, similarity=85):
 
 
 def check(documents, rows):
-    found = by_id(N.near_duplicates(documents(rows)))
+    found = by_id(N.near_duplicates(documents(rows), similarity=85))
     assert {i: (r.n_shingles, r.component_id, r.kept) for i, r in found.items()} \
         == brute_force(rows)
 
@@ -112,3 +112,27 @@ def test_lower_similarities_find_all_their_links(documents, prose):
         assert {i: (r.n_shingles, r.component_id, r.kept) for i, r in found.items()} == expected
         assert all(expected[10 * i + 1][1] == 10 * i for i in range(60))
     assert brute_force(rows, 85) != brute_force(rows, 80) != brute_force(rows, 50)
+
+
+def similar(prose, percent, seed):
+    """Two texts of 300 words whose similarity is just above or at `percent`, by changed words."""
+    base = prose(300, seed)
+    best = None
+    for changed in range(1, 12):
+        other = varied(base, [20 * i + 7 for i in range(changed)])
+        a, b = shingles(base), shingles(other)
+        if 100 * len(a & b) >= percent * len(a | b):
+            best = other
+    return base, best
+
+
+def test_the_default_links_from_eighty(documents, prose):
+    rows = []
+    for k, percent in enumerate((80, 81, 82, 83, 84, 86, 70)):
+        a, b = similar(prose, percent, 20 + k)
+        rows += [(10 * k, a), (10 * k + 1, b)]
+    expected = brute_force(rows, 80)
+    assert sum(not first for *_, first in expected.values()) == 6
+    assert expected != brute_force(rows, 85)
+    found = by_id(N.near_duplicates(documents(rows)))
+    assert {i: (r.n_shingles, r.component_id, r.kept) for i, r in found.items()} == expected

@@ -56,7 +56,7 @@ def test_decisions_of_the_stages(spark):
     kept_ids = lambda stage: {
         r.doc_id for r in stage(spark, docs, SF).select("doc_id").collect()}
     assert kept_ids(corpus_pipeline.without_copies) == {
-        i for i, (_, _, first) in grouped(rows).items() if first}
+        i for i, (_, _, first) in grouped(rows, 80).items() if first}
     items = [(r.item_id, r.text) for r in queries.table(spark, SF, "benchmark").collect()]
     assert kept_ids(corpus_pipeline.without_benchmark) == {
         i for i, (_, hit, _) in contaminated(rows, items).items() if not hit}

@@ -32,7 +32,7 @@ from voxlake.llm.graph import components
 from voxlake.llm.storage import kept
 
 WORDS = 5
-SIMILARITY = 85  # in hundredths
+SIMILARITY = 80  # in hundredths; for stages on word shingles
 MISS_RISK = 2.5e-7  # that a pair at the similarity shares no band
 SAMPLES = 130  # at most, where bands of one row do not need more
 SKETCH_WORDS = 8  # of 64 bits
@@ -232,7 +232,8 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text",
     """One row per row of docs: id, n_shingles, component_id, kept.
 
     component_id is the smallest id reachable over links of at least `similarity` hundredths;
-    kept says that it is the row's own. Null and blank texts have no shingles and no links. Ids
+    kept says that it is the row's own. Links are decided on the full sets of the shingles' 64-bit
+    hashes. Null and blank texts have no shingles and no links. Ids
     must be distinct integers; a row without an id takes no part and gives no row. Other columns
     of docs are ignored, so their names cannot clash.
     """
