@@ -592,6 +592,14 @@ SELECT s.* REPLACE (CASE WHEN l.doc_id IS NULL THEN s.sentiment WHEN toxic = 1 T
   WHEN quality = 1 THEN 'positive' ELSE 'neutral' END AS sentiment)
 FROM ({silver()}) s LEFT JOIN labels l ON s.doc_id = l.doc_id"""
     sql["correct_stored"] = f"SELECT *, comment_count silver_count FROM ({breakdown_of(corrected)})"
+    sql["distinct_by_week"] = f"""
+SELECT {iso("date_trunc('week', event_date)")} period, count(DISTINCT video_id) videos,
+  count(DISTINCT author) authors, true videos_close, true authors_close
+FROM ({silver()}) GROUP BY 1"""
+    sql["replay_lines"] = f"""
+SELECT count(*) + count(*) FILTER (CAST(comment_id AS BIGINT) % 50 = 0) incoming,
+  count(*) FILTER (reasons = '') published, count(*) FILTER (reasons <> '') quarantined,
+  count(*) FILTER (CAST(comment_id AS BIGINT) % 50 = 0) broken FROM ({judged(False)})"""
     best = "ORDER BY like_count DESC, event_time, comment_id"
     sql["top_liked_comments"] = f"""
 SELECT video_id, comment_id, like_count,

@@ -29,7 +29,8 @@ from voxlake.plans.lakehouse import (
     build_lakehouse, land_messages, manifest, refresh_gold, scored_comments, silver_at_rest,
     silver_comments)
 from voxlake.plans.landing import compact_silver, correct_silver, silver_table
-from voxlake.schemas import API_PAGE, BRONZE_STORED, GOLD_BREAKDOWN, GOLD_SUMMARY
+from voxlake.schemas import (
+    API_PAGE, BRONZE_STORED, GOLD_AUTHORS, GOLD_BREAKDOWN, GOLD_SKETCHES, GOLD_SUMMARY)
 from voxlake.settings import TableLayout, lend_shared_folder, shared_folder
 from voxlake.sources import records as REC
 from voxlake.sources import tables as TAB
@@ -38,6 +39,7 @@ from voxlake.streaming.late import late_table, progress
 from voxlake.streaming.pipeline import (
     message_stream, run_available, sentiment_trend_stream, silver_stream, start_bronze,
     start_silver_keeping_late)
+from voxlake.streaming.replay import replay_counts, start_replay
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -191,6 +193,22 @@ def corrected_batch(spark, sf):
     return TAB.read_table(spark, layout.summary, GOLD_SUMMARY)
 
 
+@query
+def distinct_by_week(spark, sf):
+    """Videos and authors of each week, exact and from stored sketches, which must be within 5 %."""
+    layout = TableLayout(shared_folder(spark, "sketches"))
+    rows = _numbered(V.duplicated(spark, sf))
+    for k in range(2):
+        build_lakehouse(spark, rows.filter(F.col("comment_id").cast("long") % 2 == k), layout,
+                        batch=f"half {k}")
+    sketches, authors = [TAB.read_table(spark, path, schema) for path, schema in (
+        (layout.sketches, GOLD_SKETCHES), (layout.authors, GOLD_AUTHORS))]
+    return G.distinct_exact(authors).join(G.distinct_estimates(sketches), "period").select(
+        "period", "videos", "authors",
+        *[(F.abs(F.col(f"approx_{c}") - F.col(c)) <= 0.05 * F.col(c)).alias(f"{c}_close")
+          for c in ("videos", "authors")])
+
+
 @query
 def correct_stored(spark, sf):
     """Corrections written into Silver, twice; Gold follows."""
@@ -875,3 +893,14 @@ def sentiment_trend_stream_windows(spark, sf):
         stream = spark.readStream.schema(rows.schema).parquet(f"{root}/silver")
         closed = _drain(sentiment_trend_stream(stream), root, "closed")
     return closed
+
+
+@query
+def replay_lines(spark, sf):
+    """Lines in several files replayed two files an epoch, broken ones among them: what is counted."""
+    root = shared_folder(spark, "replay")
+    folder = _message_folder(spark, V.flawed(spark, sf).repartition(5, "comment_id"), root)
+    start_replay(spark, folder, f"{root}/out", 2, skip_invalid=True, default_source="",
+                 once=True).awaitTermination()
+    return replay_counts(spark, f"{root}/out").agg(*[
+        F.sum(c).alias(c) for c in ("incoming", "published", "quarantined", "broken")])

@@ -225,3 +225,24 @@ def test_late_rows_are_kept_and_counted(spark, layout):
         counts = {r.epoch: (r.rows, r.late) for r in LATE.progress(spark, layout).collect()}
         assert counts == {0: (2, 0), 1: (4, 1)}
         epoch(1, at("c", 2), at("d", 3), at("b", 5), comment("e", event_time=None, collected_at=None))
+
+
+def test_sketches_of_pieces_unite(spark, layout):
+    for i in range(2):
+        build(spark, layout, [comment(f"{i}-{k}", author=f"a{(i + 1) * k}", event_time=T0 + 7 * i * DAY,
+                                      collected_at=T0 + 7 * i * DAY) for k in range(30)], f"b{i}")
+    sketches = spark.read.parquet(layout.sketches)
+    by_month = G.distinct_estimates(sketches, "month").first()
+    exact = G.distinct_exact(TAB.read_table(spark, layout.authors, N.GOLD_AUTHORS), "month").first()
+    assert (exact.videos, exact.authors) == (1, 45)
+    assert by_month.approx_videos == 1 and abs(by_month.approx_authors - 45) <= 2
+
+
+def test_estimates_are_within_their_bound(spark):
+    rows = spark.range(200_000).select(
+        F.lit(T0.date()).alias("event_date"), F.col("id").cast("string").alias("author"),
+        (F.col("id") % 20_000).cast("string").alias("video_id"),
+        (F.col("id") % 8).alias("piece"))
+    found = G.distinct_estimates(G.day_sketches(rows, ("event_date", "piece"))).first()
+    assert abs(found.approx_authors - 200_000) < 0.05 * 200_000
+    assert abs(found.approx_videos - 20_000) < 0.05 * 20_000

@@ -1,8 +1,9 @@
-"""Jobs for spark-submit: python -m voxlake {ingest,build,bronze,silver,gold,evaluate,register} ..."""
+"""Jobs for spark-submit: python -m voxlake {ingest,replay,build,bronze,silver,gold,...} ..."""
 
 import argparse
 import importlib
 import json
+from datetime import date
 
 from pyspark.sql import SparkSession
 
@@ -10,18 +11,21 @@ from voxlake.functions.slang import slang_terms
 from voxlake.operators.scoring import Scorer, choose_scorer
 from voxlake.operators.threads import flatten_threads
 from voxlake.plans.evaluation import evaluate_file
-from voxlake.plans.ingestion import ingest
+from voxlake.plans.ingestion import ingest, ingest_lines
 from voxlake.plans.lakehouse import build_lakehouse
+from voxlake.plans.landing import compact_silver, correct_silver
 from voxlake.settings import ScoringSettings, TableLayout
-from voxlake.sources.records import message_lines, read_api_pages, read_json_lines, read_slang
+from voxlake.sources.records import message_lines, read_api_pages, read_slang
 from voxlake.sources.tables import ensure_tables, register_tables
 from voxlake.streaming import pipeline as P
+from voxlake.streaming.replay import replay_counts, start_replay
 
 
 def _arguments() -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="voxlake")
     parser.add_argument("job", choices=(
-        "ingest", "build", "bronze", "silver", "gold", "evaluate", "register"))
+        "ingest", "replay", "build", "bronze", "silver", "gold", "compact", "correct", "evaluate",
+        "register"))
     parser.add_argument("--root", required=True, help="folder of the tables, or of the evaluation")
     parser.add_argument("--input", help="JSON lines, labelled CSV, or folder of messages")
     parser.add_argument("--kafka", nargs=2, metavar=("SERVERS", "TOPIC"))
@@ -32,7 +36,12 @@ def _arguments() -> argparse.Namespace:
     parser.add_argument("--label-column", default="manual_label")
     parser.add_argument("--notes-column", default="reviewer_notes")
     parser.add_argument("--review-column")
-    parser.add_argument("--batch", help="name of the batch to build; the input's path if not given")
+    parser.add_argument("--batch", help="name of the batch to build; one of its own if not given. A "
+                                        "batch of the same name replaces what it brought before")
+    parser.add_argument("--files", type=int, default=1, help="files of an epoch of a replay")
+    parser.add_argument("--before", help="compact dates before this one, such as 2026-05-01")
+    parser.add_argument("--keep-late", action="store_true",
+                        help="silver: late rows go to a table of their own")
     parser.add_argument("--pages", action="store_true", help="ingest API pages, not records")
     parser.add_argument("--landed", help="table with the comment_id values already there")
     parser.add_argument("--video", help="the only video that ingested records may belong to")
@@ -73,17 +82,29 @@ def main() -> None:
                       args.batch_size, args.slang, args.model).show(truncate=False)
         return
     if args.job == "ingest":
-        read = read_api_pages if args.pages else read_json_lines
-        rows = read(spark, args.input)
         landed = spark.read.parquet(args.landed) if args.landed else None
-        counts = ingest(flatten_threads(rows) if args.pages else rows, args.root, landed,
-                        args.video, args.skip_invalid)
+        if args.pages:
+            counts = ingest(flatten_threads(read_api_pages(spark, args.input)), args.root, landed,
+                            args.video, args.skip_invalid)
+        else:
+            counts = ingest_lines(message_lines(spark, args.input), args.root, landed, args.video,
+                                  args.skip_invalid)
         return print(json.dumps(counts))
+    if args.job == "replay":
+        start_replay(spark, args.input, args.root, args.files, expected_video=args.video,
+                     skip_invalid=args.skip_invalid, once=args.once).awaitTermination()
+        return replay_counts(spark, args.root).show(truncate=False)
+    if args.job == "compact":
+        finished = compact_silver(spark, layout, date.fromisoformat(args.before))
+        return print(json.dumps([str(day) for day in finished]))
+    if args.job == "correct":
+        fixes = spark.read.option("header", "true").csv(args.input)
+        return print(json.dumps([str(day) for day in correct_silver(spark, layout, fixes)]))
     if args.job == "register":
         return register_tables(spark, layout)
     if args.job == "build":
         build_lakehouse(spark, message_lines(spark, args.input), layout, _scorer(args),
-                        _terms(spark, args.slang), args.batch or args.input)
+                        _terms(spark, args.slang), args.batch)
         return
     ensure_tables(spark, layout)
     if args.job == "bronze":
@@ -92,8 +113,8 @@ def main() -> None:
             if args.kafka else P.message_stream(spark, path=args.input))
         query = P.start_bronze(source, layout, args.once)
     elif args.job == "silver":
-        query = P.start_silver(spark, layout, _scorer(args), _terms(spark, args.slang),
-                               once=args.once)
+        start = P.start_silver_keeping_late if args.keep_late else P.start_silver
+        query = start(spark, layout, _scorer(args), _terms(spark, args.slang), once=args.once)
     else:
         query = P.start_gold(spark, layout, args.once, args.every)
     query.awaitTermination()

@@ -53,6 +53,10 @@ GOLD_SUMS = _struct(
 GOLD_AUTHORS = _struct(
     ("event_date", T.DateType()), ("video_id", _STR), ("author", _STR), ("batch_id", _STR))
 
+GOLD_SKETCHES = _struct(
+    ("videos", T.BinaryType()), ("authors", T.BinaryType()), ("batch_id", _STR),
+    ("event_date", T.DateType()))
+
 # A batch: how much Bronze holds of it, a checksum of that, where it came from, and the dates to
 # refresh until it is done.
 BATCHES = _struct(

@@ -68,6 +68,11 @@ class TableLayout:
         """Who commented where, one piece for each piece of Silver."""
         return f"{self.root}/gold_parts/authors"
 
+    @property
+    def sketches(self) -> str:
+        """Sketches of videos and authors, one for each piece of Silver."""
+        return f"{self.root}/gold_parts/sketches"
+
     @property
     def batches(self) -> str:
         """The manifest: an entry for each batch that has been taken in."""

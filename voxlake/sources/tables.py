@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voxlake.schemas import (
-    BATCHES, BRONZE_STORED, GOLD_AUTHORS, GOLD_BREAKDOWN, GOLD_SUMMARY, GOLD_SUMS, LATE, PROGRESS,
-    SILVER_STORED, ddl_columns)
+    BATCHES, BRONZE_STORED, GOLD_AUTHORS, GOLD_BREAKDOWN, GOLD_SKETCHES, GOLD_SUMMARY, GOLD_SUMS,
+    LATE, PROGRESS, SILVER_STORED, ddl_columns)
 from voxlake.settings import TableLayout
 
 # The signs that Spark escapes in the folder of a partition, besides control characters.
@@ -21,6 +21,7 @@ def parts(layout: TableLayout) -> Iterator[tuple[str, T.StructType]]:
     """(path, schema) of the tables that are no table of the catalog: they serve the others."""
     yield layout.sums, GOLD_SUMS
     yield layout.authors, GOLD_AUTHORS
+    yield layout.sketches, GOLD_SKETCHES
     yield layout.batches, BATCHES
     yield layout.progress, PROGRESS
     yield layout.late, LATE
