@@ -572,6 +572,22 @@ SELECT count(*) total_rows, count(*) FILTER (is_match = 'yes') correct_rows,
   count(*) FILTER (is_match = 'no') mismatch_count, 'keyword' evaluation_mode,
   least(count(*) FILTER (is_match = 'no'), 20) listed FROM ({DETAIL})"""
 
+    def value(field: str, name: str, number: str, rows: str) -> str:
+        return (f"SELECT '{field}' field, {name} AS name, CAST({number} AS DOUBLE) AS value "
+                f"FROM ({rows})")
+
+    matrix, labels = sql["confusion_matrix"], ("positive", "neutral", "negative")
+    sql["eval_summary_fields"] = union([
+        *[value(c, "''", c, sql["eval_accuracy"]) for c in (
+            "total_rows", "correct_rows", "agreement_accuracy", "mismatch_count")],
+        value("macro_f1", "''", "macro_f1", sql["macro_f1"]),
+        value("actual_distribution", "actual_label", "positive + neutral + negative", matrix),
+        *[value("predicted_distribution", f"'{s}'", f"sum({s})", matrix) for s in labels],
+        *[value(c, "label", c, RATES) for c in ("precision", "recall", "f1_score", "support")],
+        *[value("confusion", f"actual_label || ' as {s}'", s, matrix) for s in labels],
+        value("mismatch", "idx", "row_number() OVER (ORDER BY review_bucket <> 'reviewed', "
+              "CAST(predicted_confidence AS DOUBLE), CAST(idx AS BIGINT))", sql["top_mismatches"]),
+        value("bucket", "review_bucket", "accuracy", sql["accuracy_by_bucket"])])
     sql["stream_dedup"] = f"""
 SELECT DISTINCT video_id, comment_id, text_clean FROM ({admitted(C_DUP)})"""
     sql["stream_silver"] = f"""

@@ -791,6 +791,49 @@ def eval_summary(spark, sf):
         F.size("v.top_mismatches").cast("long").alias("listed"))
 
 
+def _pair_name(predicted: str) -> Callable[[Column], Column]:
+    return lambda m: F.concat_ws(" as ", m["actual_label"], F.lit(predicted))
+
+
+@query
+def eval_summary_fields(spark, sf):
+    """Every field of the written summary, and the bucket table beside it, a row for each value."""
+    folder, detail = shared_folder(spark, "fields"), _detail(spark, sf)
+    REC.write_summary(E.evaluation_summary(detail), f"{folder}/summary")
+    E.accuracy_by_bucket(detail).write.json(f"{folder}/buckets")
+    counts = "positive: long, neutral: long, negative: long"
+    schema = (f"total_rows long, correct_rows long, agreement_accuracy double, macro_f1 double, "
+              f"mismatch_count long, actual_distribution struct<{counts}>, "
+              f"predicted_distribution struct<{counts}>, "
+              f"confusion_matrix array<struct<actual_label: string, {counts}>>, "
+              f"label_metrics array<struct<label: string, precision: double, recall: double, "
+              f"f1_score: double, support: long>>, top_mismatches array<struct<idx: string>>")
+    parsed = spark.read.text(f"{folder}/summary").select(
+        F.from_json("value", schema).alias("v")).select("v.*")
+
+    def entry(field, name, value):
+        return F.struct(F.lit(field).alias("field"), name.alias("name"),
+                        value.cast("double").alias("value"))
+
+    def per_label(array, field, name, value):
+        return F.transform(array, lambda m: entry(field, name(m), m[value]))
+
+    sides = ("actual_distribution", "predicted_distribution")
+    labels = ("positive", "neutral", "negative")
+    values = F.concat(
+        F.array(*[entry(c, F.lit(""), F.col(c)) for c in (
+            "total_rows", "correct_rows", "agreement_accuracy", "macro_f1", "mismatch_count")]),
+        F.array(*[entry(side, F.lit(s), F.col(side)[s]) for side in sides for s in labels]),
+        *[per_label("label_metrics", c, lambda m: m["label"], c)
+          for c in ("precision", "recall", "f1_score", "support")],
+        *[per_label("confusion_matrix", "confusion", _pair_name(s), s) for s in labels],
+        F.transform("top_mismatches", lambda m, i: entry("mismatch", m["idx"], i + 1)))
+    buckets = spark.read.schema("review_bucket string, accuracy double").json(f"{folder}/buckets")
+    return parsed.select(F.explode(values).alias("e")).select("e.*").unionByName(buckets.select(
+        F.lit("bucket").alias("field"), F.col("review_bucket").alias("name"),
+        F.col("accuracy").alias("value")))
+
+
 # --- predictor and streams ---------------------------------------------------------------------
 
 @query
