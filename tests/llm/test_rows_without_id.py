@@ -7,13 +7,17 @@ import corpus_pipeline
 from tests.llm.conftest import by_id
 from voxlake.llm.decontamination import contamination
 from voxlake.llm.near_duplicates import near_duplicates
+from voxlake.llm.periodic_runs import periodic_runs
 from voxlake.llm.quality_classifier import quality_scores
-from voxlake.llm.queries import CLEANING, DOMAIN, PRE_TOKENS, TOKENIZER
+from voxlake.llm.queries import CLEANING, DOMAIN, PRE_TOKENS, TOKENIZER, tokenizer_file
 from voxlake.llm.repeated_passages import without_repeats
 from voxlake.llm.sanitisation import masked, sanitisation
 from voxlake.llm.source_mixing import mixing_rates
+from voxlake.llm.token_alignment import alignment
 from voxlake.llm.token_counts import edit_aware_counts
+from voxlake.llm.token_files import token_files
 from voxlake.llm.toxicity import toxicity_scores
+from voxlake.settings import shared_folder
 
 
 def operators(spark):
@@ -30,11 +34,17 @@ def operators(spark):
         "tokens": lambda d: edit_aware_counts(d, CLEANING, TOKENIZER, PRE_TOKENS),
         "leaks": lambda d: contamination(d, benchmark),
         "private": sanitisation,
+        "files": lambda d: token_files(d, shared_folder(spark, "files"),
+                                       tokenizer_file("byte_bpe_50k.json"), 2),
+        "alignment": lambda d: alignment(d, tokenizer_file("byte_bpe_50k.json"),
+                                         tokenizer_file("piece_bpe_32k.model")),
+        "runs": periodic_runs,
     }
 
 
 @pytest.mark.parametrize("name", [
-    "mixing", "toxicity", "quality", "near", "repeats", "tokens", "leaks", "private"])
+    "mixing", "toxicity", "quality", "near", "repeats", "tokens", "leaks", "private", "files",
+    "alignment", "runs"])
 def test_operators(spark, documents, name):
     rows = [(i, f"text {i} some words of an item " * 9) for i in range(1, 7)]
     operator = operators(spark)[name]

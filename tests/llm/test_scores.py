@@ -222,3 +222,11 @@ def test_mixture_of_nothing(spark, documents):
     found = by_id(M.mixing_rates(documents([(1, None), (2, "a b")]), none, F.expr(DOMAIN),
                                  {"a": 1.0, "b": 1.0}))
     assert found[1].n_tokens == 0 and found[2].rate == pytest.approx(1.0)
+
+
+@pytest.mark.parametrize("weights", [{"a": 0.0, "b": 0.0}, {"a": -1.0, "b": 2.0},
+                                     {"a": float("nan"), "b": 1.0}, {}])
+def test_weights_that_mean_nothing_are_refused(documents, spark, weights):
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    with pytest.raises(ValueError):
+        M.mixing_rates(documents([(1, "a b")]), none, F.expr(DOMAIN), weights)

@@ -189,7 +189,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text:
     score is the probability of label 1; nothing but the text goes into it. Labels are learned
     from rows whose `fold` is not `held_out`, `sample` of them at most. Null and empty texts have
     no features and get the score of the bias; so do all texts if there are no labels. Labels
-    that are neither 0 nor 1 are not used, of a repeated one any may be. Ids must be distinct
+    that are neither 0 nor 1 are not used; a repeated id counts with its largest. Ids must be distinct
     integers; a row without one gives no row. Other columns are ignored.
     """
     usable = (labels.select(F.col(id).cast("long").alias("id"),

@@ -21,6 +21,7 @@ a step is one aggregation of a few numbers, and a lost executor loses nothing.
 from __future__ import annotations
 
 import logging
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -184,13 +185,15 @@ def mixing_rates(docs: DataFrame, labels: DataFrame, label: Column, weights: dic
                  ) -> DataFrame:
     """One row per row of docs: id, n_tokens, p_<domain> of each domain, rate.
 
-    `label` is a condition on a row of labels that gives the number of its domain in `weights`, or
+    Weights are finite, none is negative and not all are 0; others are refused. `label` is a condition on a row of labels that gives the number of its domain in `weights`, or
     null; a repeated id counts for the largest. Tokens are words between blanks. Null, blank and
     empty texts have no tokens and the posterior of the classifier's bias; they get a rate as any
     other. Targets that no rates reach are met as closely as least squares can; the log has what
     each domain misses. `steps` bounds the steps before the last one only. No labels: equal posteriors, so equal rates. No documents: no rows. Ids must be distinct integers;
     a row without one gives no row. Other columns are ignored.
     """
+    if not (all(math.isfinite(w) and w >= 0 for w in weights.values()) and any(weights.values())):
+        raise ValueError(f"weights must be finite, not negative and not all 0: {weights}")
     known = (labels.select(F.col(id).cast("long").alias("id"), label.cast("int").alias("label"))
              .where(F.col("id").isNotNull() & F.col("label").between(0, len(weights) - 1))
              .groupBy("id").agg(F.max("label").alias("label")))

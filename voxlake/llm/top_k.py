@@ -123,7 +123,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id: str = "vec_id",
 
     Partners are all rows with another id, of as many components; score is the integer inner
     product of the components floor(scale * x). Fewer than k partners: all of them; ties go to
-    the smaller id. Vectors that are null or hold a null or non-finite component take no part.
+    the smaller id. Of a repeated query id one vector, any of them, asks; as partners all of its
+    vectors count, each with a row of its own. Vectors that are null or hold a null or non-finite component take no part.
     Every query meets every bucket that its threshold does not rule out, block by block.
     """
     rows = kept(integer_vectors(vectors.where(F.col(id).isNotNull()), id, vector, scale), "vectors")

@@ -131,8 +131,8 @@ def url_verdicts(pages: DataFrame, listing: Column, rules: list[Rule], url: str
     """All columns of pages, then host, path, rule and verdict.
 
     `listing` is a condition on a row of pages: it puts the row's address, host and path, on the
-    block list, for every row with that address. The longest fitting rule decides; without one, a
-    listed address is blocked and any other allowed. A null URL or one without :// has an empty
+    block list, for every row with that address. The longest fitting rule decides, of equally long
+    ones that with the longer host, of equal rules the last given; without one, a listed address is blocked and any other allowed. A null URL or one without :// has an empty
     host and path, and the empty address is a key like any other. A condition that is null lists
     nothing. Columns of pages named host, path, rule or verdict are replaced.
 
