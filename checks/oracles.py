@@ -658,5 +658,6 @@ WITH marked AS ({marked})
 SELECT 'late' place, comment_id, CAST(1 AS BIGINT) n FROM marked WHERE late
 UNION ALL SELECT 'main', comment_id, 1 FROM ({silver(C_SENT)})
   WHERE doc_id NOT IN (SELECT doc_id FROM marked WHERE late)
-UNION ALL SELECT 'metric', CAST(arrival + 1 AS VARCHAR), count(*) FILTER (late) FROM marked GROUP BY arrival"""
+UNION ALL SELECT 'metric', CAST(row_number() OVER (ORDER BY arrival) AS VARCHAR),
+  count(*) FILTER (late) FROM marked GROUP BY arrival"""
     return sql
