@@ -10,6 +10,7 @@ from voxlake.llm import quality_classifier as Q
 from voxlake.llm import source_mixing as M
 from voxlake.llm import textops as X
 from voxlake.llm import toxicity as T
+from voxlake.llm.labels import bounded
 
 
 def labels(spark, rows):
@@ -230,3 +231,25 @@ def test_weights_that_mean_nothing_are_refused(documents, spark, weights):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     with pytest.raises(ValueError):
         M.mixing_rates(documents([(1, "a b")]), none, F.expr(DOMAIN), weights)
+
+
+def test_labels_without_a_document_do_not_use_up_the_sample(spark, documents):
+    docs = documents([(i, "text") for i in range(40)]).select(F.col("doc_id").alias("id"), "text")
+    marks = spark.createDataFrame([(i, i % 2) for i in range(0, 4000, 2)], "id long, label int")
+    found = [r.id for r in bounded(marks, docs, 15).collect()]
+    assert len(found) == 15 and all(i < 40 for i in found)
+    assert sorted(r.id for r in bounded(marks, docs, 100).collect()) == list(range(0, 40, 2))
+    assert bounded(marks, docs.limit(0), 5).isEmpty()
+
+
+def test_report_of_a_mixture(spark):
+    rows = [(10, 0.9, 0.1, 1.0), (30, 0.2, 0.8, 0.5), (20, 0.5, 0.5, 0.0), (0, 0.5, 0.5, 7.0)]
+    rated = spark.createDataFrame(rows, "n_tokens long, p_a double, p_b double, rate double")
+    found = {r.domain: r for r in M.mixture_report(rated, {"a": 3.0, "b": 1.0}).collect()}
+    assert found["a"].target == pytest.approx(45) and found["b"].target == pytest.approx(15)
+    assert found["a"].expected == pytest.approx(sum(n * p * r for n, p, _, r in rows))
+    assert found["b"].expected == pytest.approx(sum(n * p * r for n, _, p, r in rows))
+    share = sum(n * r for n, *_, r in rows) ** 2 / (60 * sum(n * r * r for n, *_, r in rows))
+    assert found["a"].effective_share == pytest.approx(share)
+    empty = M.mixture_report(rated.limit(0), {"a": 1.0, "b": 1.0}).collect()
+    assert [(r.target, r.expected, r.effective_share) for r in empty] == [(0, 0, None)] * 2

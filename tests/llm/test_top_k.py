@@ -69,3 +69,18 @@ def test_products_beyond_doubles_stay_exact():
     assert T._products(big, big)[0, 0] == min((2 ** 40 + 1) ** 2 + 1, 2 ** 63 - 1)
     small = np.array([[2.0 ** 28 + 1, 3.0]])
     assert T._products(small, small)[0, 0] == (2 ** 28 + 1) ** 2 + 9
+
+
+def test_only_wanted_blocks_are_dealt(spark):
+    vectors = spark.createDataFrame([(i, i % 4, i % 3, 2) for i in range(120)],
+                                    "id long, bucket int, block long, dim int")
+    wanted = spark.createDataFrame([(2, 1, 0, 0), (2, 1, 0, 5), (2, 3, 2, 0), (9, 1, 1, 0)],
+                                   "dim int, bucket int, block long, part long")
+    dealt = [(r.bucket, r.block, r.part) for r in T._dealt(vectors, wanted).collect()]
+    assert {x: dealt.count(x) for x in set(dealt)} == {(1, 0, 0): 10, (1, 0, 5): 10, (3, 2, 0): 10}
+
+
+def test_of_a_repeated_query_id_the_smallest_vector_asks(spark):
+    rows = [(50, [2.0, 0.0]), (50, [1.0, 9.0]), (50, [1.0, 5.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0])]
+    found = T.top_k(table(spark, rows), F.col("vec_id") % 50 == 0, 1).collect()
+    assert [(r.query_id, r.vec_id, r.score) for r in found] == [(50, 2, 5 * 256 * 256)]

@@ -14,11 +14,6 @@ def fold(id: str, folds: int = 4) -> Column:
     return (F.crc32(F.col(id).cast("string").cast("binary")) % folds).cast("int")
 
 
-def bounded(labels: DataFrame, rows: int) -> DataFrame:
-    """At most `rows` labelled ids, the same for the same labels: those that come first by hash."""
-    return labels.orderBy(F.xxhash64("id"), "id").limit(rows)
-
-
 def joined(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """docs (id, text) with the columns of labels; unlabelled texts are sieved before the shuffle."""
     wanted = key_bitmap(labels, "id")
@@ -28,3 +23,12 @@ def joined(docs: DataFrame, labels: DataFrame) -> DataFrame:
             yield batch.filter(pa.array(passes(wanted, batch.column("id").to_numpy())))
 
     return docs.mapInArrow(sieve, docs.schema).join(labels, "id")
+
+
+def bounded(labels: DataFrame, docs: DataFrame, rows: int) -> DataFrame:
+    """At most `rows` labels (id, ...) of docs, the same for the same tables: the first by hash.
+
+    Labels without a document do not count towards the bound.
+    """
+    found = joined(docs.select("id"), labels.select("id"))
+    return labels.join(found, "id", "left_semi").orderBy(F.xxhash64("id"), "id").limit(rows)

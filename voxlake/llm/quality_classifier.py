@@ -148,7 +148,7 @@ def fitted(docs: DataFrame, labels: DataFrame, classes: int, rows: int = SAMPLE)
 
     The sampled ids, a bounded number, are broadcast; so texts are not shuffled to find theirs.
     """
-    sample = bounded(labels, rows)
+    sample = bounded(labels, docs, rows)
     found = _examples(docs.join(F.broadcast(sample), "id")).toArrow().sort_by("id")
     rows = zip(found["label"].to_pylist(), found["buckets"], found["weights"], strict=True)
     # views of what Arrow holds, not copies

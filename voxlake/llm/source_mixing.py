@@ -180,6 +180,29 @@ def settled(rows: DataFrame, weights: list[float], history: np.ndarray
     return np.vstack([history, y]), found[1] - target
 
 
+def mixture_report(rated: DataFrame, weights: dict[str, float]) -> DataFrame:
+    """(domain, target, expected, effective_share) for each domain of `mixing_rates`' rows.
+
+    target and expected are tokens: the domain's share of the corpus by its weight, and what the rates
+    give. effective_share says for the whole mixture how much of the corpus speaks in it, with
+    n tokens and rate r: (sum n r)^2 / (sum n * sum n r^2), 1 where all rates are equal, less the
+    more the rates differ. It is null without tokens or rates. One aggregation, whatever the number of rows.
+    """
+    n, r = F.col("n_tokens"), F.col("rate")
+    sums = rated.agg(F.coalesce(F.sum(n), F.lit(0)).alias("tokens"),
+                     F.sum(n * r).alias("drawn"), F.sum(n * r * r).alias("squared"),
+                     *[F.coalesce(F.sum(n * r * F.col(f"p_{name}")), F.lit(0.0)).alias(f"t_{name}")
+                       for name in weights])
+    whole = float(sum(weights.values()))
+    domains = F.array(*[F.struct(F.lit(name).alias("domain"),
+                                 (F.col("tokens") * (weight / whole)).alias("target"),
+                                 F.col(f"t_{name}").alias("expected"))
+                        for name, weight in weights.items()])
+    share = F.try_divide(F.col("drawn") * F.col("drawn"), F.col("tokens") * F.col("squared"))
+    return sums.select(F.explode(domains).alias("d"), share.alias("effective_share")).select(
+        "d.*", "effective_share")
+
+
 def mixing_rates(docs: DataFrame, labels: DataFrame, label: Column, weights: dict[str, float],
                  id: str = "doc_id", text: str = "text", sample: int = SAMPLE, steps: int = STEPS
                  ) -> DataFrame:
@@ -188,8 +211,8 @@ def mixing_rates(docs: DataFrame, labels: DataFrame, label: Column, weights: dic
     Weights are finite, none is negative and not all are 0; others are refused. `label` is a condition on a row of labels that gives the number of its domain in `weights`, or
     null; a repeated id counts for the largest. Tokens are words between blanks. Null, blank and
     empty texts have no tokens and the posterior of the classifier's bias; they get a rate as any
-    other. Targets that no rates reach are met as closely as least squares can; the log has what
-    each domain misses. `steps` bounds the steps before the last one only. No labels: equal posteriors, so equal rates. No documents: no rows. Ids must be distinct integers;
+    other. Targets that no rates reach are met as closely as least squares can; the log, and
+    `mixture_report` of the result, have what each domain misses. `steps` bounds the steps before the last one only. No labels: equal posteriors, so equal rates. No documents: no rows. Ids must be distinct integers;
     a row without one gives no row. Other columns are ignored.
     """
     if not (all(math.isfinite(w) and w >= 0 for w in weights.values()) and any(weights.values())):

@@ -97,14 +97,21 @@ def best_of_block(q: pd.DataFrame, c: pd.DataFrame, k: int) -> pd.DataFrame:
     return pd.concat(out).astype({"query_id": "int64", "vec_id": "int64", "score": "int64"})
 
 
+def _dealt(vectors: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The vectors of the wanted blocks, once for each part that wants them; no others move on.
+
+    wanted is a stored table, so Spark knows its size and broadcasts it only if it is small.
+    """
+    return vectors.join(wanted, ["dim", "bucket", "block"])
+
+
 def _blocks(queries: DataFrame, places: DataFrame, vectors: DataFrame, k: int, parts: int
             ) -> DataFrame:
     """Best k of each (query, block) in `places`; queries are dealt to `parts` groups."""
     item = ["dim", "bucket", "block", "part"]
     asked = queries.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts).cast("long"))).join(
         places, "id").select(*item, "id", "v", "norm", "least")
-    dealt = vectors.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"),
-                                                            F.lit(parts - 1).cast("long"))))
+    dealt = _dealt(vectors, kept(asked.select(*item).distinct(), "wanted"))
     return asked.groupBy(*item).cogroup(dealt.select(*item, "id", "v", "norm").groupBy(*item)) \
         .applyInPandas(lambda q, c: best_of_block(q, c, k) if len(q) and len(c) else
                        pd.DataFrame({n: np.zeros(0, np.int64)
@@ -123,13 +130,15 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id: str = "vec_id",
 
     Partners are all rows with another id, of as many components; score is the integer inner
     product of the components floor(scale * x). Fewer than k partners: all of them; ties go to
-    the smaller id. Of a repeated query id one vector, any of them, asks; as partners all of its
-    vectors count, each with a row of its own. Vectors that are null or hold a null or non-finite component take no part.
+    the smaller id. Of a repeated query id one vector asks, the smallest by its components,
+    fewer components first; as partners all of its vectors count, each with a row of its own. Vectors that are null or hold a null or non-finite component take no part.
     Every query meets every bucket that its threshold does not rule out, block by block.
     """
     rows = kept(integer_vectors(vectors.where(F.col(id).isNotNull()), id, vector, scale), "vectors")
     queries = rows.join(vectors.where(is_query).select(F.col(id).cast("long").alias("id"))
-                        .distinct(), "id", "left_semi").dropDuplicates(["id"])
+                        .distinct(), "id", "left_semi")
+    first = queries.groupBy("id").agg(F.min(F.struct("dim", "v", "norm")).alias("first"))
+    queries = kept(first.select("id", "first.*"), "queries")
     edges = rows.groupBy("dim").agg(F.percentile_approx(
         "norm", [i / buckets for i in range(1, buckets)], 1000).alias("edges"))
     placed = rows.join(edges, "dim").withColumn(

@@ -360,7 +360,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text
     seen, unseen = likelihood_ratios(counts)
     parts = models(docs.sparkSession, seen, unseen, counts.count())
 
-    sample = F.broadcast(bounded(usable.where(fold("id") == curve_fold), CALIBRATION))
+    sample = F.broadcast(bounded(usable.where(fold("id") == curve_fold), docs, CALIBRATION))
     fit = measured(docs.join(sample, "id"), parts).select("peak", "mean", "label").toArrow()
     peak, mean, marked = (fit[c].to_numpy().astype(float) for c in ("peak", "mean", "label"))
     weights = [float(w) for w in logistic(np.column_stack([peak, mean]), marked)]
