@@ -17,7 +17,7 @@ from voxlake.llm.quality_classifier import quality_scores
 from voxlake.llm.queries import DOMAIN, WEIGHTS, table
 from voxlake.llm.sanitisation import masked, sanitisation
 from voxlake.llm.source_mixing import mixing_rates
-from voxlake.llm.storage import kept, ship_package
+from voxlake.llm.storage import finished, ship_package
 from voxlake.settings import lend_shared_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -80,9 +80,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each stage's rows are written and read again."""
+    """All stages over documents; each stage's rows are written and read again.
+
+    A stage's own tables go once its rows are written, the stages' once the last one's are.
+    """
     lend_shared_folder(spark)
-    docs = table(spark, sf_dir, "documents")
-    for name, build in STAGES[:-1]:
-        docs = kept(build(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+
+    def chained() -> DataFrame:
+        docs = table(spark, sf_dir, "documents")
+        for name, build in STAGES[:-1]:
+            docs = finished(spark, functools.partial(build, spark, docs, sf_dir), name)
+        return STAGES[-1][1](spark, docs, sf_dir)
+
+    return finished(spark, chained, STAGES[-1][0])
