@@ -69,6 +69,14 @@ def test_against_plain_python(documents, prose, stretch, part):
     assert {i: tuple(r)[1:] for i, r in found.items()} == brute_force(rows)
 
 
+def test_texts_that_end_with_one_space(documents):
+    """The space behind the last word is a chunk of its own, and a token of the second tokenizer."""
+    rows = list(enumerate(["a word ", "x\n ", "ab ", "two words ", "end.\t", " c ", "🙂 "]))
+    found = by_id(T.alignment(documents(rows), A, B))
+    assert {i: tuple(r)[1:] for i, r in found.items()} == brute_force(rows)
+    assert all(r["n_a"] > 0 for r in found.values())
+
+
 def test_fragments_compose_in_any_order():
     pick = random.Random(5)
     for _ in range(200):

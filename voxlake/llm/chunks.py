@@ -136,7 +136,7 @@ class Pieces:
         """(ids of all chunks, where each chunk's begin and the last's end).
 
         They are chunks of a text with a space in front, which the library adds again: one that begins
-        otherwise gets none.
+        otherwise gets none, nor does a chunk that is a space and nothing else, as one at a text's end is.
         """
         return _in_blocks(chunks, [_after_blank(c, b" ") for c in chunks], self._ids,
                           self.token_sizes)
@@ -144,7 +144,8 @@ class Pieces:
     def _ids(self, chunks: list[bytes]) -> list[list[int]]:
         texts = [c.decode() for c in chunks]
         found = self.model.encode([t[1:] if t.startswith(" ") else t for t in texts], num_threads=1)
-        return [ids if t.startswith(" ") or ids[:1] != [self.space] else ids[1:]
+        return [[self.space] if t == " " else
+                ids if t.startswith(" ") or ids[:1] != [self.space] else ids[1:]
                 for t, ids in zip(texts, found, strict=True)]
 
 
