@@ -238,6 +238,38 @@ def test_sketches_of_pieces_unite(spark, layout):
     assert by_month.approx_videos == 1 and abs(by_month.approx_authors - 45) <= 2
 
 
+def test_files_follow_dates_only_where_a_table_is_kept_by_date(spark, layout):
+    """A date is one file of Silver and of Gold, whoever dealt the rows; what serves Gold has none."""
+    TAB.ensure_tables(spark, layout)
+    rows = [comment(f"{day}-{k}", event_time=T0 + day * DAY, collected_at=T0 + day * DAY)
+            for day in range(40) for k in range(6)]
+    dealt = stamped(spark, rows).repartition(6)
+    N.land_epoch(L.silver_at_rest(L.silver_comments(dealt)), layout, "q", 0)
+    assert len(files(layout.silver)) == 40
+    for path in (layout.sums, layout.authors, layout.sketches):
+        assert len(files(path)) <= 4
+        assert TAB.read_table(spark, path, N._SCHEMAS[path.rpartition("/")[2]]).count() == 40
+    N.merge_gold(spark, layout, [(T0 + day * DAY).date() for day in range(40)])
+    assert len(files(layout.summary)) == len(files(layout.breakdown)) == 40
+    assert len({Path(f).name.split("-")[1] for f in files(layout.summary)}) > 1  # more than one task
+    check_gold(spark, layout)
+    LATE.split_epoch(stamped(spark, [comment(f"l{r[2]}", event_time=r[0], collected_at=r[1])
+                                     for r in rows]).repartition(6).select(*BRONZE.names), layout, "r", 0)
+    assert len(files(layout.silver)) == 80
+
+
+def test_a_piece_that_changes_leaves_what_serves_the_others(spark, layout):
+    build(spark, layout, [comment(str(k), "good", event_time=T0 + k * DAY, collected_at=T0 + k * DAY)
+                          for k in range(3)], "one")
+    fixes = spark.createDataFrame([("1", "negative")], "comment_id string, sentiment string")
+    assert N.correct_silver(spark, layout, fixes) == [(T0 + DAY).date()]
+    N.merge_gold(spark, layout, [(T0 + k * DAY).date() for k in range(3)])
+    check_gold(spark, layout)
+    sums = TAB.read_table(spark, layout.sums, N.GOLD_SUMS).collect()
+    assert sorted((r.event_date, r.sentiment) for r in sums) == [
+        ((T0 + k * DAY).date(), "negative" if k == 1 else "positive") for k in range(3)]
+
+
 def test_estimates_are_within_their_bound(spark):
     rows = spark.range(200_000).select(
         F.lit(T0.date()).alias("event_date"), F.col("id").cast("string").alias("author"),
