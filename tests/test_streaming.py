@@ -64,6 +64,17 @@ def test_stream_equals_batch_and_resumes(spark, layout, posted, scorer):
     assert {r.scorer for r in silver.collect()} == {scorer.name}
 
 
+def test_a_stream_writes_one_file_a_date(spark, layout, tmp_path):
+    """The tasks of its dedup have rows of every date each; they are gathered before they are written."""
+    when = [T0 + timedelta(days=day) for day in range(12)]
+    post(spark, tmp_path / "m", [comment(f"{day}-{k}", event_time=at, collected_at=at)
+                                 for day, at in enumerate(when) for k in range(8)])
+    run(spark, tmp_path / "m", layout)
+    for path, schema in ((layout.silver, SILVER_STORED), (layout.summary, GOLD_SUMMARY)):
+        found = TAB.read_table(spark, path, schema)
+        assert len(found.inputFiles()) == found.select("event_date").distinct().count() == 12
+
+
 def test_malformed_messages_go_to_quarantine(spark, layout, posted):
     messages = P.message_stream(spark, path=str(posted))
     for _ in range(2):  # the second time there is nothing new

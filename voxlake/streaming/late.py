@@ -9,12 +9,13 @@ from voxlake.fixed_values import LATENESS
 from voxlake.functions.slang import SlangTerm
 from voxlake.operators.cleaning import admit, with_clean_text
 from voxlake.operators.dedup import first_per_key
+from voxlake.operators.gold import with_event_date
 from voxlake.operators.scoring import Scorer, score
 from voxlake.plans.lakehouse import KEYWORDS, silver_at_rest
 from voxlake.plans.landing import Landing, silver_table, without_known
 from voxlake.schemas import BRONZE, PROGRESS
 from voxlake.settings import TableLayout
-from voxlake.sources.tables import overwrite_batch, read_table
+from voxlake.sources.tables import gather, overwrite_batch, read_table
 
 
 def _when():
@@ -54,7 +55,7 @@ def split_epoch(bronze: DataFrame, layout: TableLayout, query: str, epoch: int,
                               punctual.count())
         landing = Landing(spark, layout)
         landing.replace_batch(silver_at_rest(
-            score(with_clean_text(fresh), scorer, terms), name), name)
+            score(with_clean_text(gather(with_event_date(fresh))), scorer, terms), name), name)
         landing.finish()
         progress = marked.agg(
             F.lit(query).alias("query"), F.lit(epoch).cast("long").alias("epoch"),
