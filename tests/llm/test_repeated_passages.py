@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -88,3 +89,19 @@ def test_rounds_sort_the_suffixes(seed):
             same = 0 if f != g else next(
                 (n for n, (p, q) in enumerate(zip(x, y, strict=True)) if p != q), len(x))
             assert common[k] == same
+
+
+def test_strings_are_laid_out_in_blocks():
+    """Besides the table itself, what is needed does not grow with the number of strings."""
+    strings = [bytes([k % 251]) * (100 + k % 69) for k in range(20_000)]
+    anchors = np.array([k % 69 % (len(s) - 99) for k, s in enumerate(strings)])
+    tracemalloc.start()
+    table = R._aligned(strings, anchors, 100, 32)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < table.nbytes + (16 << 20)
+    for k in (0, 999, 1_000, 1_070, 19_999):
+        left = 68 - anchors[k]
+        own = np.zeros(168, np.uint16)
+        own[left:left + len(strings[k])] = k % 251 + 1
+        assert np.array_equal(table[k], own)

@@ -38,6 +38,7 @@ ANCHOR = 32
 STRINGS = 15_000  # that a task builds at a time
 SLICE = 8 << 20  # bytes of text whose strings a task holds at a time
 SEGMENT = 1 << 18  # bytes of text that are hashed at a time
+BLOCK = 1_000  # strings whose symbols or windows are laid out, or handed on, at a time
 FAMILY = 20_000  # classes from which a family is cut, about
 SAMPLED = 64  # one document of so many tells which families are large
 PLAIN, CUT, REPEAT = 0, 1, 2  # the last two bits of a key
@@ -283,11 +284,13 @@ def column_rounds(symbols: np.ndarray, family: np.ndarray, cap: int
 def _aligned(strings: list[bytes], anchors: np.ndarray, length: int, anchor: int) -> np.ndarray:
     width, left = 2 * length - anchor, length - anchor
     out = np.zeros((len(strings), width), np.uint16)
-    sizes = np.array([len(s) for s in strings])
-    flat = np.frombuffer(b"".join(strings), np.uint8).astype(np.uint16) + 1
-    row = np.repeat(np.arange(len(strings)), sizes)
-    inner = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    out[row, inner + np.repeat(left - anchors, sizes)] = flat
+    for at in range(0, len(strings), BLOCK):
+        own = strings[at:at + BLOCK]
+        sizes = np.array([len(s) for s in own])
+        flat = np.frombuffer(b"".join(own), np.uint8).astype(np.uint16) + 1
+        row = np.repeat(np.arange(at, at + len(own)), sizes)
+        inner = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        out[row, inner + np.repeat(left - anchors[at:at + BLOCK], sizes)] = flat
     return out
 
 
@@ -315,6 +318,11 @@ def repeated_windows(family: np.ndarray, rank: np.ndarray, strings: list[bytes],
 BUILT = "kind int, a long, b long, doc long, start long, stop long"
 
 
+def _built(*columns: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in columns],
+                                      ["kind", "a", "b", "doc", "start", "stop"])
+
+
 def built(strings: DataFrame, length: int, anchor: int, at_once: int) -> DataFrame:
     """(kind, a, b, doc, start, stop): ranges of windows that are repeated in their family (kind 0),
 
@@ -322,7 +330,7 @@ def built(strings: DataFrame, length: int, anchor: int, at_once: int) -> DataFra
     """
     left = length - anchor
 
-    def build(rows: list[np.ndarray], held: list[bytes]) -> pa.RecordBatch:
+    def build(rows: list[np.ndarray], held: list[bytes]) -> Iterator[pa.RecordBatch]:
         key, doc, place = (np.concatenate(x) for x in zip(*rows, strict=True))
         family = np.cumsum(np.concatenate([[False], key[1:] != key[:-1]]))
         at = (place & 255).astype(np.int64)
@@ -334,29 +342,27 @@ def built(strings: DataFrame, length: int, anchor: int, at_once: int) -> DataFra
         row, begin = np.nonzero(edges == 1)
         _, end = np.nonzero(edges == -1)
         start = (place[row] >> 16) + begin - (left - at[row])
-        out = [np.zeros(len(row), np.int32), np.zeros(len(row), np.int64),
-               np.zeros(len(row), np.int64), doc[row], start, start + end - begin + length - 1]
+        yield _built(np.zeros(len(row), np.int32), np.zeros(len(row), np.int64),
+                     np.zeros(len(row), np.int64), doc[row], start, start + end - begin + length - 1)
         cut = np.flatnonzero((key & 3) == CUT)
-        if len(cut):
-            data = np.frombuffer(b"".join(held[i] for i in cut), np.uint8)
-            size = np.array([len(held[i]) for i in cut])
+        for first in range(0, len(cut), BLOCK):  # a string has up to 69 windows, each a row
+            own = cut[first:first + BLOCK]
+            data = np.frombuffer(b"".join(held[i] for i in own), np.uint8)
+            size = np.array([len(held[i]) for i in own])
             sums, base = X.prefix_sums(data), np.cumsum(size) - size
             n = size - length + 1
-            owner = np.repeat(np.arange(len(cut)), n)
+            owner = np.repeat(np.arange(len(own)), n)
             inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            fresh = ~flags[cut[owner], inner + left - at[cut[owner]]]
+            fresh = ~flags[own[owner], inner + left - at[own[owner]]]
             owner, inner = owner[fresh], inner[fresh]
             p = base[owner] + inner
             half = p + length // 2
             a = X.span_hashes(sums, p, p + length)
             b = X.mixed(X.span_hashes(sums, p, half) * np.uint64(3)
                         + X.span_hashes(sums, half, p + length))
-            start = (place[cut[owner]] >> 16) + inner
-            more = [np.ones(len(owner), np.int32), a.view(np.int64), b.view(np.int64),
-                    doc[cut[owner]], start, start + length]
-            out = [np.concatenate(x) for x in zip(out, more, strict=True)]
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in out],
-                                          ["kind", "a", "b", "doc", "start", "stop"])
+            start = (place[own[owner]] >> 16) + inner
+            yield _built(np.ones(len(owner), np.int32), a.view(np.int64), b.view(np.int64),
+                         doc[own[owner]], start, start + length)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, held = [], []
@@ -369,10 +375,10 @@ def built(strings: DataFrame, length: int, anchor: int, at_once: int) -> DataFra
                 end = int(np.searchsorted(whole, whole[-1]))
                 if end:
                     joined = [np.concatenate(x) for x in zip(*rows, strict=True)]
-                    yield build([tuple(x[:end] for x in joined)], held[:end])
+                    yield from build([tuple(x[:end] for x in joined)], held[:end])
                     rows, held = [tuple(x[end:] for x in joined)], held[end:]
         if held:
-            yield build(rows, held)
+            yield from build(rows, held)
 
     return strings.repartition("key").sortWithinPartitions("key").mapInArrow(work, BUILT)
 
