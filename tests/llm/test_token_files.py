@@ -100,3 +100,18 @@ def test_checksum_of_the_query(spark, documents):
     found = T.token_files(documents([(1, "one two")]), shared_folder(spark, "crc"), SOURCE, 2)
     ids = np.array(whole("one two") + [2], "<u4").tobytes()
     assert found.select(F.crc32("tokens")).first()[0] == zlib.crc32(ids)
+
+
+def test_the_library_is_given_bounded_texts():
+    own = C.ByteLevel(SOURCE, True)
+    texts = [b" word%d" % k * 900 for k in range(120)]
+    want, sizes = [e.ids for e in own.tokenizer.encode_batch([t.decode() for t in texts])], []
+
+    class Watched:
+        def encode_batch_fast(self, given, **how):
+            sizes.append(sum(map(len, given)))
+            return library.encode_batch_fast(given, **how)
+
+    library, own.tokenizer = own.tokenizer, Watched()
+    assert own._ids(texts) == want and own._ids([]) == []
+    assert len(sizes) > 3 and max(sizes) <= (1 << 17) + max(map(len, texts))

@@ -21,8 +21,9 @@ import tokenizers
 
 from voxlake.llm import textops as X
 
-CACHED = 600_000  # distinct chunks a worker remembers
+CACHED = 300_000  # distinct chunks a worker remembers, some 200 bytes each
 _BLOCK = 1_000  # chunks encoded as one text
+_AT_ONCE = 1 << 17  # bytes that the tokenizers library is given in one go, about
 _BLANKS = b" \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f"
 #: Last bytes of the blanks beyond ASCII: behind such a byte no chunk begins.
 _DOUBTFUL = bytes([*range(0x80, 0x8B), 0x8E, 0x9F, 0xA0, 0xA8, 0xA9, 0xAF])
@@ -94,8 +95,12 @@ class ByteLevel:
                           self.token_sizes)
 
     def _ids(self, texts: list[bytes]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(
-            [t.decode() for t in texts], add_special_tokens=False)]
+        # what the library returns takes some 100 bytes a token: only the ids are held on to
+        ends = np.cumsum([len(t) for t in texts], dtype=np.int64) // _AT_ONCE
+        parts = np.flatnonzero(np.diff(ends, prepend=-1, append=-1))
+        return [e.ids for a, b in itertools.pairwise(parts)
+                for e in self.tokenizer.encode_batch_fast(
+                    [t.decode() for t in texts[a:b]], add_special_tokens=False)]
 
     @functools.cached_property
     def token_sizes(self) -> np.ndarray:
@@ -195,19 +200,22 @@ class Remembered:
 
     def __call__(self, chunks: list[bytes]) -> tuple[pa.LargeListArray, np.ndarray]:
         """(lists of ids, the list of each chunk)."""
-        new = [c for c in chunks if c not in self.places]
-        if len(self.places) + len(new) > self.most:
+        found = np.fromiter(map(self.places.get, chunks, itertools.repeat(-1)), np.int64, len(chunks))
+        missing = np.flatnonzero(found < 0)
+        if len(self.places) + len(missing) > self.most:
             self._forget()
-            new = chunks
-        if new:
+            missing = np.arange(len(chunks))
+        if len(missing):
+            new, known = [chunks[i] for i in missing.tolist()], len(self.places)
             ids, ends = self.encode(new)
-            self.places.update(zip(new, range(len(self.places), len(self.places) + len(new))))
+            found[missing] = np.arange(known, known + len(new))
+            self.places.update(zip(new, range(known, known + len(new))))
             self.ends.append(ends[1:] + self.ends[-1][-1])
             self.ids.append(ids)
         if len(self.ids) > 1:
             self.ids, self.ends = [np.concatenate(self.ids)], [np.concatenate(self.ends)]
         lists = pa.LargeListArray.from_arrays(pa.array(self.ends[0]), pa.array(self.ids[0]))
-        return lists, np.fromiter(map(self.places.__getitem__, chunks), np.int64, len(chunks))
+        return lists, found
 
 
 def encoded(chunks: pa.DictionaryArray, first: np.ndarray, remembered: Remembered

@@ -29,7 +29,7 @@ from voxlake.llm.storage import kept
 
 FILE_BYTES = 8 << 20  # compressed frames of a file, about: a task holds some files at a time
 LEVEL = 3  # of compression
-SLICE = 4 << 20  # bytes of text encoded at a time
+SLICE = 2 << 20  # bytes of text encoded at a time
 
 # Fixed values of the format: magic numbers of skippable frames and of the table's end.
 NAMES_MAGIC = 0x184D2A50
