@@ -107,3 +107,9 @@ def test_spans_as_text(spark, documents):
 
 def test_no_documents(documents):
     assert S.sanitisation(documents([])).count() == 0
+
+
+def test_a_task_has_one_worker(documents):
+    """What sieves the texts and what looks for terms in them are stages of their own."""
+    plan = S.sanitisation(documents(corpus()))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1

@@ -263,7 +263,8 @@ def sanitisation(docs: DataFrame, id: str = "doc_id", text: str = "text",
     texts, entities = recurring(rows, total, support)
     strong = kept(disclosures(texts, entities, docs, total, support, generalise), "strong")
     marked = kept(rows.select("id", "name", "base").join(disclosing(texts, strong), "name"), "marked")
-    added = occurrences(joined(docs, marked.drop("name")), remove)
+    # kept, for else a broadcast join puts sieve and search into one task, with a worker process each
+    added = occurrences(kept(joined(docs, marked.drop("name")), "disclosed"), remove)
     return rows.select("id", "base").join(added, "id", "left").select(
         F.col("id").alias(id), "base", F.coalesce("added", F.array().cast(SPANS)).alias("added"))
 
