@@ -115,3 +115,20 @@ def test_the_library_is_given_bounded_texts():
     library, own.tokenizer = own.tokenizer, Watched()
     assert own._ids(texts) == want and own._ids([]) == []
     assert len(sizes) > 3 and max(sizes) <= (1 << 17) + max(map(len, texts))
+
+
+def test_frequent_chunks_stay_remembered():
+    import pyarrow as pa
+    own, asked = C.ByteLevel(SOURCE, False), []
+
+    def encode(chunks):
+        asked.extend(chunks.to_pylist())
+        return own.encode(chunks)
+
+    remembered, often = C.Remembered(encode, 60), [b" often%d" % i for i in range(20)]
+    for turn in range(9):
+        chunks = often + [b" rare%d,%d" % (turn, i) for i in range(15)] + [b"x\xc2\xa0", b"\n"][:turn % 3]
+        lists, places = remembered(pa.array(chunks, pa.large_binary()))
+        assert [lists[i].as_py() for i in places.tolist()] == [whole(c.decode()) for c in chunks]
+        assert len(remembered.known) <= 60
+    assert all(asked.count(c) == 1 for c in often)

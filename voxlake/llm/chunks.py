@@ -21,7 +21,7 @@ import tokenizers
 
 from voxlake.llm import textops as X
 
-CACHED = 300_000  # distinct chunks a worker remembers, some 200 bytes each
+CACHED = 300_000  # distinct chunks a worker remembers, some 40 bytes each
 _BLOCK = 1_000  # chunks encoded as one text
 _AT_ONCE = 1 << 17  # bytes that the tokenizers library is given in one go, about
 _BLANKS = b" \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f"
@@ -88,11 +88,10 @@ class ByteLevel:
         self.begin = b" \t\n" if alone else b""
         self.special = [] if plain else [a["content"].encode() for a in added]
 
-    def encode(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, chunks: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all chunks, where each chunk's begin and the last's end)."""
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the cores are Spark's
-        return _in_blocks(chunks, [_after_blank(c, self.begin) for c in chunks], self._ids,
-                          self.token_sizes)
+        return _in_blocks(chunks, self.begin, self._ids, self.token_sizes)
 
     def _ids(self, texts: list[bytes]) -> list[list[int]]:
         # what the library returns takes some 100 bytes a token: only the ids are held on to
@@ -137,14 +136,13 @@ class Pieces:
         if b" " not in self.begin:
             self.begin = b""
 
-    def encode(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, chunks: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all chunks, where each chunk's begin and the last's end).
 
         They are chunks of a text with a space in front, which the library adds again: one that begins
         otherwise gets none, nor does a chunk that is a space and nothing else, as one at a text's end is.
         """
-        return _in_blocks(chunks, [_after_blank(c, b" ") for c in chunks], self._ids,
-                          self.token_sizes)
+        return _in_blocks(chunks, b" ", self._ids, self.token_sizes)
 
     def _ids(self, chunks: list[bytes]) -> list[list[int]]:
         texts = [c.decode() for c in chunks]
@@ -154,29 +152,32 @@ class Pieces:
                 for t, ids in zip(texts, found, strict=True)]
 
 
-def _after_blank(chunk: bytes, begin: bytes) -> bool:
-    """Whether a chunk may stand in a row with others: none of its neighbours can change its tokens."""
-    return chunk[0] in begin and bool(_FIRM[chunk[-1]])
+def _after_blank(data: np.ndarray, offsets: np.ndarray, begin: bytes) -> np.ndarray:
+    """Which chunks may stand in a row with others: none of their neighbours can change their tokens."""
+    return X.byte_class(lambda b: b in begin)[data[offsets[:-1]]] & _FIRM[data[offsets[1:] - 1]]
 
 
-def _in_blocks(chunks: list[bytes], joinable: list[bool], encode: Callable[[list[bytes]], list],
+def _in_blocks(chunks: pa.LargeBinaryArray, begin: bytes, encode: Callable[[list[bytes]], list],
                sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Encode chunks that may stand in a row as one text, which is cut by the bytes of its tokens."""
-    rows = [i for i, fits in enumerate(joinable) if fits]
-    blocks = [rows[i:i + _BLOCK] for i in range(0, len(rows), _BLOCK)]
-    lengths = np.fromiter(map(len, chunks), np.int64, len(chunks))
-    counts, pieces, alone = np.zeros(len(chunks), np.int64), [], set(range(len(chunks))) - set(rows)
-    for block, ids in zip(blocks, encode([b"".join([chunks[i] for i in b]) for b in blocks]),
-                          strict=True):
-        ids = np.array(ids, np.int32)
-        ends, stops = np.cumsum(sizes[ids]), np.cumsum(lengths[block])
-        if len(ends) and ends[-1] == stops[-1] and np.isin(stops, ends).all():
-            counts[block] = np.diff(np.searchsorted(ends, stops, "right"), prepend=0)
+    fits = _after_blank(*X.packed_bytes(chunks), begin)
+    rows, alone = np.flatnonzero(fits), [np.flatnonzero(~fits)]
+    data, places = X.packed_bytes(chunks.take(pa.array(rows)))
+    firsts = range(0, len(rows), _BLOCK)
+    counts, pieces = np.zeros(len(chunks), np.int64), []
+    for i, ids in zip(firsts, encode([
+            data[places[i]:places[min(i + _BLOCK, len(rows))]].tobytes() for i in firsts]), strict=True):
+        block, ids = rows[i:i + _BLOCK], np.array(ids, np.int32)
+        ends = np.concatenate([[-1], np.cumsum(sizes[ids])])
+        stops = places[i + 1:i + 1 + len(block)] - places[i]
+        upto = np.searchsorted(ends, stops, "right") - 1
+        if ends[-1] == stops[-1] and (ends[upto] == stops).all():
+            counts[block] = np.diff(upto, prepend=0)
             pieces.append((block, ids))
         else:  # some token's bytes are not the text's: then chunk by chunk
-            alone.update(block)
-    alone = sorted(alone)
-    found = encode([chunks[i] for i in alone])
+            alone.append(block)
+    alone = np.sort(np.concatenate(alone))
+    found = encode(chunks.take(pa.array(alone)).to_pylist())
     counts[alone] = [len(ids) for ids in found]
     ends = np.concatenate([[0], np.cumsum(counts)])
     out = np.zeros(int(ends[-1]), np.int32)
@@ -187,35 +188,39 @@ def _in_blocks(chunks: list[bytes], joinable: list[bool], encode: Callable[[list
 
 
 class Remembered:
-    """Tokens of distinct chunks, encoded once; those of about `most` chunks are kept."""
+    """Tokens of distinct chunks, encoded once; those of about `most` chunks are kept.
 
-    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]],
+    Where there are more, the chunks that are asked for just then stay: frequent ones are among them.
+    """
+
+    def __init__(self, encode: Callable[[pa.LargeBinaryArray], tuple[np.ndarray, np.ndarray]],
                  most: int = CACHED):
         self.encode, self.most = encode, most
-        self._forget()
-
-    def _forget(self) -> None:
-        self.places: dict[bytes, int] = {}
-        self.ids, self.ends = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)]
-
-    def __call__(self, chunks: list[bytes]) -> tuple[pa.LargeListArray, np.ndarray]:
-        """(lists of ids, the list of each chunk)."""
-        found = np.fromiter(map(self.places.get, chunks, itertools.repeat(-1)), np.int64, len(chunks))
-        missing = np.flatnonzero(found < 0)
-        if len(self.places) + len(missing) > self.most:
-            self._forget()
-            missing = np.arange(len(chunks))
-        if len(missing):
-            new, known = [chunks[i] for i in missing.tolist()], len(self.places)
+        self.known = pa.array([], pa.large_binary())
+        self.ids, self.ends = np.zeros(0, np.int32), np.zeros(1, np.int64)
+
+    def _lists(self) -> pa.LargeListArray:
+        return pa.LargeListArray.from_arrays(pa.array(self.ends), pa.array(self.ids))
+
+    def __call__(self, chunks: pa.LargeBinaryArray) -> tuple[pa.LargeListArray, np.ndarray]:
+        """(lists of ids, the list of each chunk); no chunk may be there twice."""
+        found = pc.fill_null(pc.index_in(chunks, value_set=self.known), -1).to_numpy().astype(np.int64)
+        missing = found < 0
+        fresh = int(missing.sum())
+        if fresh and len(self.known) + fresh > self.most:
+            asked = pa.array(found[~missing])
+            lists = self._lists().take(asked)
+            self.known, self.ids = self.known.take(asked), np.asarray(lists.flatten())
+            self.ends = np.asarray(lists.offsets, np.int64) - lists.offsets[0].as_py()
+            found[~missing] = np.arange(len(asked))
+        if fresh:
+            new = chunks.filter(pa.array(missing))
             ids, ends = self.encode(new)
-            found[missing] = np.arange(known, known + len(new))
-            self.places.update(zip(new, range(known, known + len(new))))
-            self.ends.append(ends[1:] + self.ends[-1][-1])
-            self.ids.append(ids)
-        if len(self.ids) > 1:
-            self.ids, self.ends = [np.concatenate(self.ids)], [np.concatenate(self.ends)]
-        lists = pa.LargeListArray.from_arrays(pa.array(self.ends[0]), pa.array(self.ids[0]))
-        return lists, found
+            found[missing] = np.arange(len(self.known), len(self.known) + fresh)
+            self.known = pa.concat_arrays([self.known, new])
+            self.ends = np.concatenate([self.ends, ends[1:] + self.ends[-1]])
+            self.ids = np.concatenate([self.ids, ids])
+        return self._lists(), found
 
 
 def encoded(chunks: pa.DictionaryArray, first: np.ndarray, remembered: Remembered
@@ -224,7 +229,7 @@ def encoded(chunks: pa.DictionaryArray, first: np.ndarray, remembered: Remembere
 
     Text i has chunks first[i] to first[i + 1] - 1.
     """
-    lists, places = remembered(chunks.dictionary.to_pylist())
+    lists, places = remembered(chunks.dictionary)
     found = pc.take(lists, pa.array(places[chunks.indices.to_numpy()]))
     ends = np.asarray(found.offsets, np.int64)
     return np.asarray(found.flatten()), ends[first] - ends[0]
