@@ -154,6 +154,40 @@ def test_hot_key_copies_are_spread_and_thinned(spark, layout):
     assert sorted(op["numRowsUpdated"] for op in operators) == [201, 216]
 
 
+def state_operators(query):
+    return [op for p in query.recentProgress if p.numInputRows
+            for op in json.loads(p.json)["stateOperators"]]
+
+
+def test_open_stores_follow_the_cores_not_the_size(spark, layout, monkeypatch):
+    """An open store takes memory of its executor, however few keys it has; an epoch is written as ever."""
+    TAB.ensure_tables(spark, layout)
+    seen, land = [], P.land_epoch
+    monkeypatch.setattr(P, "land_epoch", lambda batch, *to: (
+        seen.append(batch.sparkSession.conf.get(P.PARTITIONS)), land(batch, *to)))
+    most = P.STATE_TASKS_A_CORE * spark.sparkContext.defaultParallelism
+    for batch, partitions, ids in (("one", 8 * most, range(40)), ("two", 2, range(20, 60))):
+        land_records(frame(spark, [comment(str(i)) for i in ids]).withColumn(
+            "ingested_at", F.current_timestamp()), layout, batch)
+        with P._settings(spark, {P.PARTITIONS: str(partitions)}):
+            query = P.start_silver(spark, layout, once=True)
+            query.awaitTermination()
+        # the second run goes on with the stores of the first
+        assert {op["numStateStoreInstances"] for op in state_operators(query)} == {most}
+        assert set(seen) == {str(partitions)}
+        seen.clear()
+    assert TAB.read_table(spark, layout.silver, SILVER_STORED).count() == 60
+
+
+def test_stores_of_an_executor_share_their_memory(spark):
+    wanted = P.state_store(spark)
+    shared = {key.rpartition(".")[2]: key for key in wanted}
+    assert wanted[shared["boundedMemoryUsage"]] == "true"
+    assert wanted[shared["maxMemoryUsageMB"]] == str(P.STATE_MB)
+    with P._settings(spark, {shared["maxMemoryUsageMB"]: "700"}):  # the user's stays
+        assert shared["maxMemoryUsageMB"] not in P.state_store(spark)
+
+
 def test_state_store_of_the_user_stays(spark):
     before = spark.conf.get(P.STATE_STORE)
     try:
