@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 from voxlake.operators import gold as G
 from voxlake.operators import quality as Q
 from voxlake.operators.scoring import KeywordPredictor, Scorer
-from voxlake.plans.lakehouse import land_records, silver_comments
+from voxlake.plans.lakehouse import build_lakehouse, land_records, silver_comments
 from voxlake.schemas import BRONZE, GOLD_BREAKDOWN, GOLD_SUMMARY, RECORD, SILVER_STORED
 from voxlake.sources import records as REC
 from voxlake.sources import tables as TAB
+from voxlake.sources.swaps import children
 from voxlake.streaming import pipeline as P
 from voxlake.streaming.dedup import dedup_stream
 
@@ -179,6 +180,23 @@ def test_open_stores_follow_the_cores_not_the_size(spark, layout, monkeypatch):
     assert TAB.read_table(spark, layout.silver, SILVER_STORED).count() == 60
 
 
+def test_an_epoch_beside_other_batches_runs_its_state_once(spark, layout):
+    """Its rows are asked for more than once when keys of others are looked up."""
+    rows = [comment(str(i), event_time=T0 + timedelta(days=i % 3)) for i in range(40)]
+    build_lakehouse(spark, frame(spark, rows[:20]), layout, batch="other")
+    land_records(frame(spark, rows[10:] + rows[30:]).withColumn("ingested_at", F.current_timestamp()),
+                 layout, "more")
+    query = P.start_silver(spark, layout, once=True)
+    query.awaitTermination()
+    assert [op["numRowsUpdated"] for op in state_operators(query)
+            if op["operatorName"] == "dedupe"] == [40]
+    assert {op["numStateStoreInstances"] for op in state_operators(query)} == {P.state_tasks(spark)}
+    silver = TAB.read_table(spark, layout.silver, SILVER_STORED)
+    assert silver.groupBy("landed_in").count().orderBy("count").select("count").collect() == [(20,), (20,)]
+    assert silver.select("comment_id").distinct().count() == 40
+    assert not children(spark, f"{layout.root}/_staging")
+
+
 def test_stores_of_an_executor_share_their_memory(spark):
     wanted = P.state_store(spark)
     shared = {key.rpartition(".")[2]: key for key in wanted}
