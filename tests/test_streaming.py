@@ -197,13 +197,12 @@ def test_an_epoch_beside_other_batches_runs_its_state_once(spark, layout):
     assert not children(spark, f"{layout.root}/_staging")
 
 
-def test_stores_of_an_executor_share_their_memory(spark):
+def test_memory_of_a_store_is_bounded(spark):
     wanted = P.state_store(spark)
-    shared = {key.rpartition(".")[2]: key for key in wanted}
-    assert wanted[shared["boundedMemoryUsage"]] == "true"
-    assert wanted[shared["maxMemoryUsageMB"]] == str(P.STATE_MB)
-    with P._settings(spark, {shared["maxMemoryUsageMB"]: "700"}):  # the user's stays
-        assert shared["maxMemoryUsageMB"] not in P.state_store(spark)
+    named = {key.rpartition(".")[2]: key for key in wanted}
+    assert wanted[named["writeBufferSizeMB"]] == wanted[named["blockCacheSizeMB"]] == str(P.STORE_MB)
+    with P._settings(spark, {named["writeBufferSizeMB"]: "64"}):  # the user's stays
+        assert named["writeBufferSizeMB"] not in P.state_store(spark)
 
 
 def test_state_store_of_the_user_stays(spark):
